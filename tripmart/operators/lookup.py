@@ -21,6 +21,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """Materialise a lookup and return it with its row count (the size proof)."""
+    df = materialize(df)
+    return df, df.count()
+
+
 def join_lookup(
     big: DataFrame,
     small: DataFrame,
@@ -29,10 +35,8 @@ def join_lookup(
     max_rows: int = 2_000_000,
 ) -> DataFrame:
     """Join ``big`` to a materialised ``small``, broadcasting it only under a proven row bound."""
-    small = materialize(small)
-    if small.count() <= max_rows:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+    small, rows = materialize_counted(small)
+    return big.join(broadcast_bounded(small, rows, max_rows), on, how)
 
 
 def broadcast_bounded(df: DataFrame, bound_rows: int, max_rows: int = 2_000_000) -> DataFrame:

@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.config import FIXTURE_CONFIG, RunConfig
+from tripmart.operators.lookup import materialize
 from tripmart.plans import gold, silver
 from tripmart.sources import fixtures
 from tripmart.sources.trips import bronze_trips
@@ -56,9 +57,14 @@ class Lake:
     def quarantine_zones(self) -> DataFrame:
         return self._zone_split[2]
 
+    @property
+    def zone_rows(self) -> int:
+        """Counted size of the valid zone lookup (bound for broadcasts)."""
+        return self._zone_split[3]
+
     @cached_property
     def trips_classified(self) -> DataFrame:
-        return silver.classify_trips(self.bronze_trips, self.silver_zones, self.cfg)
+        return silver.classify_trips(self.bronze_trips, self.silver_zones, self.cfg, self.zone_rows)
 
     @property
     def silver_trips(self) -> DataFrame:
@@ -108,3 +114,17 @@ class Lake:
     @cached_property
     def fact_trips(self) -> DataFrame:
         return gold.fact_trips(self)
+
+    # -- Publication ------------------------------------------------------------
+    def published(self) -> "Lake":
+        """Materialise the classified trips and the fact (reliable checkpoints).
+
+        Reports that read a layer several times then scan the written copy
+        instead of recomputing the pipeline per consumer, as a report run
+        after a pipeline refresh reads the published tables.
+        """
+        if not self.__dict__.get("_published"):
+            self.__dict__["trips_classified"] = materialize(self.trips_classified)
+            self.__dict__["fact_trips"] = materialize(self.fact_trips)
+            self.__dict__["_published"] = True
+        return self

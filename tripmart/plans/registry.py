@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.operators.dedup import number_duplicates
-from tripmart.plans import inventory, reports
+from tripmart.plans import expectations, gold_validation, inventory, reports, validation
 from tripmart.plans.lake import Lake
 from tripmart.plans.silver import hashed_trips
 
@@ -163,4 +163,22 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "kpi_by_airport": inventory.kpi_by_airport,
     "kpi_by_route": inventory.kpi_by_route,
     "kpi_baseline": inventory.kpi_baseline,
+    # Contract counters and validation reports
+    "silver_contract_counts": validation.silver_contract_counts,
+    "quarantine_contract_counts": validation.quarantine_contract_counts,
+    "silver_validation": validation.silver_validation,
+    "gold_aggregate_parity": gold_validation.gold_aggregate_parity,
+    "gold_fact_counts": gold_validation.gold_fact_counts,
+    "gold_record_parity": gold_validation.gold_record_parity,
+    "gold_foreign_keys": gold_validation.gold_foreign_keys,
+    "gold_dimension_stats": gold_validation.gold_dimension_stats,
+    "gold_validation": gold_validation.gold_validation,
+    # Expectation sets
+    "expectations_zones": expectations.expectations_zones,
+    "expectations_trips": expectations.expectations_trips,
+    "expectations_silver": expectations.expectations_silver,
+    "expectations_quarantine": expectations.expectations_quarantine,
+    "expectations_gold_source": expectations.expectations_gold_source,
+    "expectations_dim_date": expectations.expectations_dim_date,
+    "expectations_fact": expectations.expectations_fact,
 }

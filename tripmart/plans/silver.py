@@ -10,6 +10,7 @@ from tripmart.functions.identity import record_hash
 from tripmart.functions.measures import date_parts, duration_minutes
 from tripmart.operators.dedup import flag_duplicates
 from tripmart.operators.eligibility import add_eligibility
+from tripmart.operators.lookup import materialize_counted
 from tripmart.operators.normalize import HASH_COLUMNS, normalize_trips
 from tripmart.operators.quality import add_critical_reasons, add_row_flags, add_warnings
 from tripmart.operators.zones import attach_zones, classify_zones
@@ -17,14 +18,16 @@ from tripmart.operators.zones import attach_zones, classify_zones
 TECHNICAL_COLUMNS = ("_source_row_id", "_is_duplicate_canonical")
 
 
-def silver_zone_split(bronze_zones: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(classified, valid, quarantined) zone lookups."""
-    classified = classify_zones(bronze_zones)
-    return (
-        classified,
-        classified.where(~F.col("_is_quarantined")),
-        classified.where(F.col("_is_quarantined")),
-    )
+def silver_zone_split(bronze_zones: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """(classified, valid, quarantined, valid row count) zone lookups.
+
+    The classified lookup is materialised once (reliable checkpoint): both
+    outputs and every trip join read it, and its counted size is the bound
+    that lets the trip-side joins broadcast it.
+    """
+    classified, _ = materialize_counted(classify_zones(bronze_zones))
+    valid = classified.where(~F.col("_is_quarantined"))
+    return classified, valid, classified.where(F.col("_is_quarantined")), valid.count()
 
 
 def hashed_trips(bronze: DataFrame) -> DataFrame:
@@ -33,7 +36,9 @@ def hashed_trips(bronze: DataFrame) -> DataFrame:
     return normalized.withColumn("_record_hash", record_hash(HASH_COLUMNS))
 
 
-def classify_trips(bronze: DataFrame, valid_zones: DataFrame, cfg: RunConfig) -> DataFrame:
+def classify_trips(
+    bronze: DataFrame, valid_zones: DataFrame, cfg: RunConfig, zone_rows: int
+) -> DataFrame:
     """Every Bronze trip with zone attributes, identity, reasons, flags, eligibility.
 
     Plan shape: one scan of Bronze; one narrow aggregate for duplicate groups
@@ -42,7 +47,7 @@ def classify_trips(bronze: DataFrame, valid_zones: DataFrame, cfg: RunConfig) ->
     """
     flagged = flag_duplicates(hashed_trips(bronze), max_rows=cfg.broadcast_row_limit)
     zones = valid_zones.select("location_id", "borough", "zone", "service_zone")
-    enriched = attach_zones(flagged, zones)
+    enriched = attach_zones(flagged, zones, zone_rows, cfg.broadcast_row_limit)
     measured = enriched.withColumns(date_parts()).withColumn(
         "trip_duration_minutes", duration_minutes("pickup_datetime", "dropoff_datetime")
     ).withColumn("record_hash", F.col("_record_hash"))

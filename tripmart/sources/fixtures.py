@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.sources.inline import inline_rows
+
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture binding (FIXTURES.md §3).
 FIXTURE_VENDORS = (1, 2, 6, 7)
@@ -221,5 +223,5 @@ def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("Zone"),
         F.concat(F.lit("Z"), (F.col("n_nationkey") % 3).cast("string")).alias("service_zone"),
     )
-    dirty = spark.createDataFrame(FIXTURE_DIRTY_ZONES, RAW_ZONE_DDL)
+    dirty = inline_rows(spark, FIXTURE_DIRTY_ZONES, RAW_ZONE_DDL)
     return clean.unionByName(dirty)
