@@ -295,8 +295,10 @@ FINAL: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
+    from tripmart.oracle.validation import FINAL as VALIDATION
+
     out = {}
-    for key, final in FINAL.items():
+    for key, final in {**FINAL, **VALIDATION}.items():
         final = final.strip()
         if final.startswith(","):
             out[key] = CHAIN + final
