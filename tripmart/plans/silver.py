@@ -10,7 +10,6 @@ from tripmart.functions.identity import record_hash
 from tripmart.functions.measures import date_parts, duration_minutes
 from tripmart.operators.dedup import flag_duplicates
 from tripmart.operators.eligibility import add_eligibility
-from tripmart.operators.lookup import materialize_counted
 from tripmart.operators.normalize import HASH_COLUMNS, normalize_trips
 from tripmart.operators.quality import add_critical_reasons, add_row_flags, add_warnings
 from tripmart.operators.zones import attach_zones, classify_zones
@@ -21,11 +20,11 @@ TECHNICAL_COLUMNS = ("_source_row_id", "_is_duplicate_canonical")
 def silver_zone_split(bronze_zones: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """(classified, valid, quarantined, valid row count) zone lookups.
 
-    The classified lookup is materialised once (reliable checkpoint): both
-    outputs and every trip join read it, and its counted size is the bound
-    that lets the trip-side joins broadcast it.
+    The counted size of the valid lookup is the bound that lets the trip-side
+    joins broadcast it. The lookup is small and deterministic, so consumers
+    recompute it rather than materialise it.
     """
-    classified, _ = materialize_counted(classify_zones(bronze_zones))
+    classified = classify_zones(bronze_zones)
     valid = classified.where(~F.col("_is_quarantined"))
     return classified, valid, classified.where(F.col("_is_quarantined")), valid.count()
 

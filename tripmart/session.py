@@ -7,6 +7,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+HUGE_METHODS = "-XX:-DontCompileHugeMethods"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session configured like the tests and the bench expect."""
     return (
@@ -19,6 +22,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.ui.showConsoleProgress", "false")
+        # Rule projections generate wide methods; let the JIT compile methods
+        # above 8000 bytecodes instead of interpreting them (set the same
+        # option in spark.executor.extraJavaOptions on a cluster).
+        .config("spark.driver.extraJavaOptions", HUGE_METHODS)
+        .config("spark.executor.extraJavaOptions", HUGE_METHODS)
+        # Plans are built from many Column expressions; skip per-call Python
+        # stack capture (only used to decorate error messages).
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

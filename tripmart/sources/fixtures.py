@@ -38,8 +38,15 @@ FIXTURE_DIRTY_ZONES = [
 RAW_ZONE_DDL = "LocationID int, Borough string, Zone string, service_zone string"
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Parquet scan of a read-only input table, resolved once per session and path."""
+    key = (id(spark), f"{sf_dir}/{name}.parquet")
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(key[1])
+    return _SCANS[key]
 
 
 def _pick(values: tuple, index: Column) -> Column:
@@ -205,12 +212,24 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("_copies"),
     )
     # Duplicated lines are emitted twice by a generator: one pass, no re-scan.
-    return trips.select(
-        "*", F.explode("_copies").alias("_copy")
-    ).select(
+    out = trips.select("*", F.explode("_copies").alias("_copy")).select(
         *[c for c in trips.columns if c not in ("_line_id", "_copies")],
         (F.col("_line_id") + F.col("_copy")).alias("_source_row_id"),
     )
+    return spread(out, "_source_row_id")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a derived table that arrives in fewer partitions than cores.
+
+    A small single-file input (one Parquet row group) is read by one task;
+    every row-local operator downstream would then run on one core. Large
+    inputs already have at least one partition per core and are left as is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
