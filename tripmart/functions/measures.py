@@ -13,23 +13,22 @@ MONEY_SUM_TYPE = "decimal(20,2)"
 
 def date_parts(pickup: str = "pickup_datetime", dropoff: str = "dropoff_datetime") -> dict:
     """Calendar parts of pickup and dropoff (day of week: 1 = Sunday)."""
-    p, d = F.col(pickup), F.col(dropoff)
-    return {
-        "pickup_date": F.to_date(p),
-        "dropoff_date": F.to_date(d),
-        "pickup_year": F.year(p),
-        "dropoff_year": F.year(d),
-        "pickup_month": F.month(p),
-        "pickup_day": F.dayofmonth(p),
-        "pickup_hour": F.hour(p),
-        "pickup_day_of_week": F.dayofweek(p),
+    parts = {
+        "pickup_date": f"to_date({pickup})",
+        "dropoff_date": f"to_date({dropoff})",
+        "pickup_year": f"year({pickup})",
+        "dropoff_year": f"year({dropoff})",
+        "pickup_month": f"month({pickup})",
+        "pickup_day": f"dayofmonth({pickup})",
+        "pickup_hour": f"hour({pickup})",
+        "pickup_day_of_week": f"dayofweek({pickup})",
     }
+    return {name: F.expr(sql) for name, sql in parts.items()}
 
 
 def duration_minutes(start: str, end: str) -> Column:
     """Whole-second difference in minutes, rounded to 2 decimals (double)."""
-    seconds = F.unix_timestamp(F.col(end)) - F.unix_timestamp(F.col(start))
-    return F.round(seconds / F.lit(60), 2)
+    return F.expr(f"round((unix_timestamp({end}) - unix_timestamp({start})) / 60, 2)")
 
 
 def component_sum(columns: Sequence[str]) -> Column:

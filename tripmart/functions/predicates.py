@@ -28,12 +28,17 @@ def is_blank(c: Column) -> Column:
     return c.isNull() | (F.length(F.trim(c)) == 0)
 
 
-def reason_array(rules: Sequence[tuple[str, Column]], sort: bool = False) -> Column:
+def reason_array(rules: Sequence[tuple[str, Column | str]], sort: bool = False) -> Column:
     """Array of the codes whose predicate is true, in rule order (or sorted).
 
     A predicate evaluating to NULL does not fire, exactly like ``WHEN NULL``.
-    The result is never NULL, so ``size`` on it is always defined.
+    The result is never NULL, so ``size`` on it is always defined. Predicates
+    given as SQL text become one parsed expression.
     """
+    if all(isinstance(pred, str) for _, pred in rules):
+        cases = ", ".join(f"CASE WHEN {pred} THEN '{code}' END" for code, pred in rules)
+        text = f"filter(array({cases}), x -> x IS NOT NULL)"
+        return F.expr(f"array_sort({text})" if sort else text)
     fired = F.filter(
         F.array(*[F.when(pred, F.lit(code)) for code, pred in rules]),
         lambda x: x.isNotNull(),

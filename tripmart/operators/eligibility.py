@@ -3,175 +3,139 @@
 Built in two projection layers: first the booleans and the three statuses,
 then the reason array, its count and the overall status, which read them.
 Warnings are read through their source flags (a warning code is present
-exactly when its flag is true), so no array is searched per row.
+exactly when its flag is true), so no array is searched per row. Rules are
+SQL text over named sub-expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.config import TIP_SUPPORTED_PAYMENT_CODES
-from tripmart.functions.predicates import any_of, is_true, reason_array
-
-c = F.col
+from tripmart.functions.predicates import reason_array
 
 ELIGIBILITY_STATUSES = ("FULLY_ELIGIBLE", "PARTIALLY_ELIGIBLE", "REVIEW_REQUIRED")
 
 
-def _flags() -> dict[str, Column]:
-    """Named booleans shared by the eligibility rules."""
-    valid = is_true(~c("_is_quarantined"))
-    w = {
-        "dup": c("_is_duplicate_canonical"),
-        "zero": c("_is_zero_distance"),
-        "flex_pax": c("_is_expected_flex_fare_passenger_gap"),
-        "pax_missing": c("_is_unexpected_passenger_count_missing"),
-        "pax_nonpos": c("_is_non_positive_passenger_count"),
-        "neg_total": c("_is_negative_total_amount"),
-        "neg_fare": c("_is_negative_fare_amount"),
-        "neg_tip": c("_is_negative_tip_amount"),
-        "neg_comp": c("_has_negative_financial_component"),
-        "gap": c("_is_financially_unreconciled"),
-        "flex_rate": c("_is_expected_flex_fare_rate_gap"),
-        "rate": c("_is_unexpected_rate_code_gap"),
-        "vendor": c("_is_vendor_missing_or_unmapped"),
-        "payment": c("_is_payment_type_missing_or_unmapped"),
-        "cross": c("_is_cross_year_trip"),
-        "tip": c("_is_tip_reported_outside_supported_payment"),
-    }
-    passenger = valid & ~any_of([w["flex_pax"], w["pax_missing"], w["pax_nonpos"]])
-    distance = valid & ~w["zero"] & is_true(c("trip_distance") > 0)
-    duration = (
-        valid
-        & is_true(c("trip_duration_minutes") > 0)
-        & ~F.coalesce(c("_is_long_trip"), F.lit(True))
-    )
-    recorded = valid & c("total_amount").isNotNull()
-    breakdown = recorded & ~w["gap"]
-    rate = valid & ~any_of([w["flex_rate"], w["rate"]])
-    vendor = valid & ~w["vendor"]
-    payment = valid & ~w["payment"]
-    route = valid & c("pickup_zone_location_id").isNotNull() & c("dropoff_zone_location_id").isNotNull()
-    tip = (
-        recorded
-        & payment
-        & is_true(c("payment_type").isin(*TIP_SUPPORTED_PAYMENT_CODES))
-        & ~w["tip"]
-    )
-    negative = any_of([w["neg_total"], w["neg_fare"], w["neg_tip"], w["neg_comp"]])
-    reversal = w["neg_total"] & negative & ~w["gap"]
-    unusual_negative = negative & ~w["neg_total"]
-    financial_feature = breakdown & ~negative
-    categorical = rate & vendor & payment
-    efficiency = distance & duration
-    standard = efficiency & ~w["neg_total"] & ~w["dup"]
-    ml_standard = standard & passenger & financial_feature & categorical
-    review = (
-        c("_is_quarantined")
-        | any_of(
-            [w["gap"], w["pax_missing"], w["pax_nonpos"], w["rate"], w["vendor"], w["payment"], w["tip"], w["dup"]]
-        )
-        | unusual_negative
-    )
+def _rules() -> dict[str, str]:
+    """Named boolean rules; ``{name}`` references are expanded in order."""
+    tip_codes = ", ".join(str(v) for v in TIP_SUPPORTED_PAYMENT_CODES)
     return {
-        "valid": valid,
-        "passenger": passenger,
-        "distance": distance,
-        "duration": duration,
-        "efficiency": efficiency,
-        "recorded": recorded,
-        "breakdown": breakdown,
-        "tip": tip,
-        "rate": rate,
-        "vendor": vendor,
-        "payment": payment,
-        "route": route,
-        "reversal": reversal,
-        "financial_feature": financial_feature,
-        "categorical": categorical,
-        "standard": standard,
-        "ml_standard": ml_standard,
-        "review": review,
-        "gap": w["gap"],
-        "neg_total": w["neg_total"],
-        "unusual_negative": unusual_negative,
+        "valid": "coalesce(NOT _is_quarantined, false)",
+        "passenger": "{valid} AND NOT (_is_expected_flex_fare_passenger_gap OR "
+        "_is_unexpected_passenger_count_missing OR _is_non_positive_passenger_count)",
+        "distance": "{valid} AND NOT _is_zero_distance AND coalesce(trip_distance > 0, false)",
+        "duration": "{valid} AND coalesce(trip_duration_minutes > 0, false) AND NOT coalesce(_is_long_trip, true)",
+        "recorded": "{valid} AND total_amount IS NOT NULL",
+        "breakdown": "{recorded} AND NOT _is_financially_unreconciled",
+        "rate": "{valid} AND NOT (_is_expected_flex_fare_rate_gap OR _is_unexpected_rate_code_gap)",
+        "vendor": "{valid} AND NOT _is_vendor_missing_or_unmapped",
+        "payment": "{valid} AND NOT _is_payment_type_missing_or_unmapped",
+        "route": "{valid} AND pickup_zone_location_id IS NOT NULL AND dropoff_zone_location_id IS NOT NULL",
+        "tip": f"{{recorded}} AND {{payment}} AND coalesce(payment_type IN ({tip_codes}), false) "
+        "AND NOT _is_tip_reported_outside_supported_payment",
+        "negative": "(_is_negative_total_amount OR _is_negative_fare_amount OR _is_negative_tip_amount "
+        "OR _has_negative_financial_component)",
+        "reversal": "_is_negative_total_amount AND {negative} AND NOT _is_financially_unreconciled",
+        "unusual_negative": "{negative} AND NOT _is_negative_total_amount",
+        "financial_feature": "{breakdown} AND NOT {negative}",
+        "categorical": "{rate} AND {vendor} AND {payment}",
+        "efficiency": "{distance} AND {duration}",
+        "standard": "{efficiency} AND NOT _is_negative_total_amount AND NOT _is_duplicate_canonical",
+        "ml_standard": "{standard} AND {passenger} AND {financial_feature} AND {categorical}",
+        "review": "_is_quarantined OR _is_financially_unreconciled OR _is_unexpected_passenger_count_missing "
+        "OR _is_non_positive_passenger_count OR _is_unexpected_rate_code_gap "
+        "OR _is_vendor_missing_or_unmapped OR _is_payment_type_missing_or_unmapped "
+        "OR _is_tip_reported_outside_supported_payment OR _is_duplicate_canonical OR {unusual_negative}",
     }
 
 
+def _expanded() -> dict[str, str]:
+    out: dict[str, str] = {}
+    for name, text in _rules().items():
+        out[name] = "(" + text.format(**out) + ")"
+    return out
+
+
+# Output column -> rule name.
+ELIGIBILITY_COLUMNS = {
+    "_is_trip_volume_metric_eligible": "valid",
+    "_is_passenger_metric_eligible": "passenger",
+    "_is_distance_metric_eligible": "distance",
+    "_is_duration_metric_eligible": "duration",
+    "_is_efficiency_metric_eligible": "efficiency",
+    "_is_recorded_amount_metric_eligible": "recorded",
+    "_is_financial_breakdown_metric_eligible": "breakdown",
+    "_is_reported_tip_metric_eligible": "tip",
+    "_is_rate_code_metric_eligible": "rate",
+    "_is_vendor_metric_eligible": "vendor",
+    "_is_payment_type_metric_eligible": "payment",
+    "_is_route_metric_eligible": "route",
+    "_is_reversal_or_adjustment": "reversal",
+    "_is_ml_distance_feature_eligible": "distance",
+    "_is_ml_passenger_feature_eligible": "passenger",
+    "_is_ml_financial_feature_eligible": "financial_feature",
+    "_is_ml_categorical_feature_eligible": "categorical",
+    "_is_standard_operational_trip_eligible": "standard",
+    "_is_ml_standard_trip_eligible": "ml_standard",
+    "_requires_data_review": "review",
+}
+
+ELIGIBILITY_REASONS = [
+    ("CRITICAL_QUALITY_VIOLATION", "_is_quarantined"),
+    ("PASSENGER_METRICS_INELIGIBLE", "NOT _is_passenger_metric_eligible"),
+    ("DISTANCE_METRICS_INELIGIBLE", "NOT _is_distance_metric_eligible"),
+    ("DURATION_METRICS_INELIGIBLE", "NOT _is_duration_metric_eligible"),
+    ("FINANCIAL_BREAKDOWN_INELIGIBLE", "NOT _is_financial_breakdown_metric_eligible"),
+    ("REPORTED_TIP_METRICS_INELIGIBLE", "NOT _is_reported_tip_metric_eligible"),
+    ("RATE_CODE_METRICS_INELIGIBLE", "NOT _is_rate_code_metric_eligible"),
+    ("VENDOR_METRICS_INELIGIBLE", "NOT _is_vendor_metric_eligible"),
+    ("PAYMENT_TYPE_METRICS_INELIGIBLE", "NOT _is_payment_type_metric_eligible"),
+    ("ROUTE_METRICS_INELIGIBLE", "NOT _is_route_metric_eligible"),
+    ("RECONCILED_REVERSAL_OR_ADJUSTMENT", "_is_reversal_or_adjustment"),
+    ("NEGATIVE_COMPONENT_REQUIRES_REVIEW", "_financial_record_type = 'NEGATIVE_COMPONENT_REVIEW'"),
+    ("SOURCE_DUPLICATE_CANONICAL_RECORD", "_is_duplicate_canonical"),
+    ("GOLD_DATE_EXTENSION_REQUIRED", "_requires_gold_date_extension"),
+]
+
+
 def add_eligibility(df: DataFrame) -> DataFrame:
-    e = _flags()
-    zero = c("_is_zero_distance")
-    layer1 = {
-        "_passenger_data_status": F.when(
-            c("_is_expected_flex_fare_passenger_gap"), F.lit("EXPECTED_FLEX_FARE_MISSING")
-        )
-        .when(c("_is_unexpected_passenger_count_missing"), F.lit("MISSING_UNEXPECTED"))
-        .when(c("_is_negative_passenger_count"), F.lit("NEGATIVE_INVALID"))
-        .when(c("_is_zero_passenger_count"), F.lit("ZERO_REPORTED"))
-        .otherwise(F.lit("REPORTED_VALID")),
-        "_distance_data_status": F.when(c("trip_distance") < 0, F.lit("NEGATIVE_INVALID"))
-        .when(zero & e["neg_total"], F.lit("ZERO_DISTANCE_REVERSAL"))
-        .when(zero & is_true(c("total_amount") == 0), F.lit("ZERO_DISTANCE_NO_CHARGE"))
-        .when(zero, F.lit("ZERO_DISTANCE_WITH_CHARGE"))
-        .otherwise(F.lit("POSITIVE_DISTANCE")),
-        "_financial_record_type": F.when(e["gap"] & e["neg_total"], F.lit("NEGATIVE_UNRECONCILED"))
-        .when(e["gap"], F.lit("UNRECONCILED"))
-        .when(e["reversal"], F.lit("RECONCILED_REVERSAL_OR_ADJUSTMENT"))
-        .when(e["unusual_negative"], F.lit("NEGATIVE_COMPONENT_REVIEW"))
-        .otherwise(F.lit("REGULAR_TRANSACTION")),
-        "_is_trip_volume_metric_eligible": e["valid"],
-        "_is_passenger_metric_eligible": e["passenger"],
-        "_is_distance_metric_eligible": e["distance"],
-        "_is_duration_metric_eligible": e["duration"],
-        "_is_efficiency_metric_eligible": e["efficiency"],
-        "_is_recorded_amount_metric_eligible": e["recorded"],
-        "_is_financial_breakdown_metric_eligible": e["breakdown"],
-        "_is_reported_tip_metric_eligible": e["tip"],
-        "_is_rate_code_metric_eligible": e["rate"],
-        "_is_vendor_metric_eligible": e["vendor"],
-        "_is_payment_type_metric_eligible": e["payment"],
-        "_is_route_metric_eligible": e["route"],
-        "_is_reversal_or_adjustment": e["reversal"],
-        "_is_ml_distance_feature_eligible": e["distance"],
-        "_is_ml_passenger_feature_eligible": e["passenger"],
-        "_is_ml_financial_feature_eligible": e["financial_feature"],
-        "_is_ml_categorical_feature_eligible": e["categorical"],
-        "_is_standard_operational_trip_eligible": e["standard"],
-        "_is_ml_standard_trip_eligible": e["ml_standard"],
-        "_requires_gold_date_extension": c("_is_cross_year_trip"),
-        "_requires_data_review": e["review"],
-    }
-    reasons = [
-        ("CRITICAL_QUALITY_VIOLATION", c("_is_quarantined")),
-        ("PASSENGER_METRICS_INELIGIBLE", ~c("_is_passenger_metric_eligible")),
-        ("DISTANCE_METRICS_INELIGIBLE", ~c("_is_distance_metric_eligible")),
-        ("DURATION_METRICS_INELIGIBLE", ~c("_is_duration_metric_eligible")),
-        ("FINANCIAL_BREAKDOWN_INELIGIBLE", ~c("_is_financial_breakdown_metric_eligible")),
-        ("REPORTED_TIP_METRICS_INELIGIBLE", ~c("_is_reported_tip_metric_eligible")),
-        ("RATE_CODE_METRICS_INELIGIBLE", ~c("_is_rate_code_metric_eligible")),
-        ("VENDOR_METRICS_INELIGIBLE", ~c("_is_vendor_metric_eligible")),
-        ("PAYMENT_TYPE_METRICS_INELIGIBLE", ~c("_is_payment_type_metric_eligible")),
-        ("ROUTE_METRICS_INELIGIBLE", ~c("_is_route_metric_eligible")),
-        ("RECONCILED_REVERSAL_OR_ADJUSTMENT", c("_is_reversal_or_adjustment")),
-        (
-            "NEGATIVE_COMPONENT_REQUIRES_REVIEW",
-            c("_financial_record_type") == F.lit("NEGATIVE_COMPONENT_REVIEW"),
+    e = _expanded()
+    statuses = {
+        "_passenger_data_status": (
+            "CASE WHEN _is_expected_flex_fare_passenger_gap THEN 'EXPECTED_FLEX_FARE_MISSING' "
+            "WHEN _is_unexpected_passenger_count_missing THEN 'MISSING_UNEXPECTED' "
+            "WHEN _is_negative_passenger_count THEN 'NEGATIVE_INVALID' "
+            "WHEN _is_zero_passenger_count THEN 'ZERO_REPORTED' ELSE 'REPORTED_VALID' END"
+        ),
+        "_distance_data_status": (
+            "CASE WHEN trip_distance < 0 THEN 'NEGATIVE_INVALID' "
+            "WHEN _is_zero_distance AND _is_negative_total_amount THEN 'ZERO_DISTANCE_REVERSAL' "
+            "WHEN _is_zero_distance AND coalesce(total_amount = 0, false) THEN 'ZERO_DISTANCE_NO_CHARGE' "
+            "WHEN _is_zero_distance THEN 'ZERO_DISTANCE_WITH_CHARGE' ELSE 'POSITIVE_DISTANCE' END"
         ),
-        ("SOURCE_DUPLICATE_CANONICAL_RECORD", c("_is_duplicate_canonical")),
-        ("GOLD_DATE_EXTENSION_REQUIRED", c("_requires_gold_date_extension")),
-    ]
+        "_financial_record_type": (
+            "CASE WHEN _is_financially_unreconciled AND _is_negative_total_amount THEN 'NEGATIVE_UNRECONCILED' "
+            "WHEN _is_financially_unreconciled THEN 'UNRECONCILED' "
+            f"WHEN {e['reversal']} THEN 'RECONCILED_REVERSAL_OR_ADJUSTMENT' "
+            f"WHEN {e['unusual_negative']} THEN 'NEGATIVE_COMPONENT_REVIEW' ELSE 'REGULAR_TRANSACTION' END"
+        ),
+        "_requires_gold_date_extension": "_is_cross_year_trip",
+    }
+    layer1 = {name: F.expr(e[rule]) for name, rule in ELIGIBILITY_COLUMNS.items()}
+    layer1.update({name: F.expr(sql) for name, sql in statuses.items()})
     return (
         df.withColumns(layer1)
-        .withColumn("_eligibility_reasons", reason_array(reasons, sort=True))
-        .withColumn("_eligibility_restriction_count", F.size("_eligibility_reasons"))
-        .withColumn(
-            "_eligibility_status",
-            F.when(c("_requires_data_review"), F.lit("REVIEW_REQUIRED"))
-            .when(
-                c("_is_ml_standard_trip_eligible") & (c("_eligibility_restriction_count") == 0),
-                F.lit("FULLY_ELIGIBLE"),
-            )
-            .otherwise(F.lit("PARTIALLY_ELIGIBLE")),
+        .withColumn("_eligibility_reasons", reason_array(ELIGIBILITY_REASONS, sort=True))
+        .withColumns(
+            {
+                "_eligibility_restriction_count": F.expr("size(_eligibility_reasons)"),
+                "_eligibility_status": F.expr(
+                    "CASE WHEN _requires_data_review THEN 'REVIEW_REQUIRED' "
+                    "WHEN _is_ml_standard_trip_eligible AND size(_eligibility_reasons) = 0 "
+                    "THEN 'FULLY_ELIGIBLE' ELSE 'PARTIALLY_ELIGIBLE' END"
+                ),
+            }
         )
     )

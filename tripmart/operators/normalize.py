@@ -55,14 +55,15 @@ def normalize_trips(df: DataFrame, keep: tuple[str, ...] = ("_source_row_id",))
     Text flags are trimmed and upper-cased; the flag is also copied under its
     long name. ``keep`` carries technical columns that are not hashed.
     """
-    cols = []
+    exprs = []
     for source, target, kind in TRIP_COLUMN_SPEC:
         if kind == "flag":
-            cols.append(F.upper(F.trim(F.col(source))).alias(target))
+            exprs.append(f"upper(trim(`{source}`)) AS {target}")
         else:
-            cols.append(F.col(source).cast(kind).alias(target))
-    cols += [F.col(c) for c in keep if c in df.columns]
-    return df.select(*cols).withColumn("store_and_forward_flag", F.col("store_and_fwd_flag"))
+            exprs.append(f"CAST(`{source}` AS {kind}) AS {target}")
+    exprs.append("upper(trim(`store_and_fwd_flag`)) AS store_and_forward_flag")
+    exprs += [c for c in keep if c in df.columns]
+    return df.selectExpr(*exprs)
 
 
 def normalize_zones(df: DataFrame) -> DataFrame:

@@ -32,7 +32,13 @@ class Lake:
 
     @cached_property
     def bronze_trips(self) -> DataFrame:
-        return bronze_trips(self.raw_trips, self.cfg.expected_pickup_year, self.cfg.trip_source_table)
+        """The Bronze copy of one source year, published once (reliable checkpoint).
+
+        The duplicate-group aggregate and the classification both read it, so
+        the source is scanned and bound once per refresh.
+        """
+        bronze = bronze_trips(self.raw_trips, self.cfg.expected_pickup_year, self.cfg.trip_source_table)
+        return materialize(bronze)
 
     @cached_property
     def bronze_zones(self) -> DataFrame:
