@@ -51,8 +51,15 @@ def stats(df: DataFrame, measures: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def combine(*frames: DataFrame) -> DataFrame:
-    """Side-by-side combination of one-row frames (one-row products)."""
-    return reduce(lambda a, b: a.crossJoin(b), frames)
+    """Side-by-side combination of one-row frames, without a join.
+
+    The frames (distinct column names) are stacked by name, each row NULL in
+    the others' columns, and one global aggregate keeps the single non-NULL
+    value per column: a handful of rows, reduced map-side.
+    """
+    names = [name for f in frames for name in f.columns]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.agg(*[F.any_value(F.col(n), True).alias(n) for n in names])
 
 
 def check_report(one_row: DataFrame, checks: Sequence[Check], order_by: str = "order") -> DataFrame:

@@ -1,14 +1,16 @@
 """Joins against lookups whose size is only known at run time.
 
 A derived lookup (duplicate groups, per-key statistics) can be tiny or as
-large as the fact it annotates. It is materialised once with a reliable
-checkpoint (which also cuts its lineage), counted, and broadcast only when
-the count is under a bound; otherwise Spark plans a shuffle join, where AQE
-splits skewed partitions.
+large as the fact it annotates. It is materialised once as a written table
+in the cluster's checkpoint folder (which also cuts its lineage), counted,
+and broadcast only when the count is under a bound; otherwise Spark plans a
+shuffle join, where AQE splits skewed partitions.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +18,18 @@ from tripmart.session import checkpoint_dir
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the cluster's checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as Parquet under ``spark.checkpoint.dir`` and read it back.
+
+    Unlike ``checkpoint()`` (serialised rows behind an RDD scan), the written
+    table is columnar: every consumer scans only the columns it projects and
+    gets its filters pushed into the scan. The folder is shared storage named
+    by the cluster, so a lost executor does not lose the copy; each call
+    writes a fresh folder, so a retried job never reads a half-written one.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:

@@ -18,6 +18,8 @@ from tripmart.sources import fixtures
 from tripmart.sources.trips import bronze_trips
 from tripmart.sources.zones import stamp_zone_lookup_lineage
 
+_RUNS: dict[tuple, "Lake"] = {}
+
 
 class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: RunConfig = FIXTURE_CONFIG):
@@ -25,6 +27,22 @@ class Lake:
         self.sf_dir = sf_dir
         self.cfg = cfg
 
+    @classmethod
+    def of_run(cls, spark: SparkSession, sf_dir: str, cfg: RunConfig = FIXTURE_CONFIG) -> "Lake":
+        """The layers of one run, shared by every query of the application.
+
+        A refresh publishes Bronze, the classified trips and the fact once;
+        the queries registered on top of them read those written copies, as
+        reports run after a pipeline refresh read the published tables. The
+        run is keyed by application, input folder and configuration; a new
+        application (or ``Lake(...)`` directly) starts a new run.
+        """
+        key = (spark.sparkContext.applicationId, sf_dir, cfg)
+        lake = _RUNS.get(key)
+        if lake is None:
+            lake = _RUNS[key] = cls(spark, sf_dir, cfg)
+        return lake
+
     # -- Bronze ---------------------------------------------------------------
     @cached_property
     def raw_trips(self) -> DataFrame:

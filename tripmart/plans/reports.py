@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmart.config import ZONE_SOURCE_FORMAT, ZONE_SOURCE_SYSTEM
 from tripmart.functions.predicates import count_true, is_blank
+from tripmart.operators.checks import combine
 
 c = F.col
 
@@ -93,7 +94,7 @@ def bronze_zone_profile(lake) -> DataFrame:
         )
         .otherwise(F.lit("BRONZE_LOOKUP_VALIDATED"))
     )
-    return profile.crossJoin(dup).select(
+    return combine(profile, dup).select(
         "row_count",
         "distinct_location_ids",
         "null_location_ids",

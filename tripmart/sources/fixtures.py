@@ -64,8 +64,13 @@ def _location(nation_key: Column) -> Column:
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trip records (source column names and physical types)."""
-    line = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    # Spread before the joins: the per-line work (joins, dirty buckets, the
+    # wide projection) then runs on every core even for a one-row-group file.
+    line = spread(
+        _table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
+        ),
+        "l_orderkey",
     )
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -212,11 +217,10 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("_copies"),
     )
     # Duplicated lines are emitted twice by a generator: one pass, no re-scan.
-    out = trips.select("*", F.explode("_copies").alias("_copy")).select(
+    return trips.select("*", F.explode("_copies").alias("_copy")).select(
         *[c for c in trips.columns if c not in ("_line_id", "_copies")],
         (F.col("_line_id") + F.col("_copy")).alias("_source_row_id"),
     )
-    return spread(out, "_source_row_id")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
