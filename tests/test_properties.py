@@ -89,3 +89,22 @@ def test_occurrence_numbers_are_exact_under_salting(spark):
 def test_classification_plan_has_no_window_on_the_hash(spark):
     plan = classify(spark, [clean()])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_hot_group_cells_grow_with_group_size(spark):
+    # With 50 rows per cell the hot key (3000 rows) is cut into about 60 cells,
+    # small keys keep the minimum of 2; numbering stays exact and dense.
+    df = spark.range(5000).selectExpr(
+        "CASE WHEN id < 3000 THEN 'hot' ELSE CAST(id % 700 AS STRING) END AS k", "id AS _source_row_id"
+    )
+    flagged = flag_duplicates(df, key="k")
+    numbered = number_duplicates(flagged, key="k", salt_buckets=2, cell_rows=50)
+    hot = numbered.where("k = 'hot'")
+    assert hot.select(F.count_distinct("_duplicate_occurrence_number")).first()[0] == 3000
+    assert hot.agg(F.min("_duplicate_occurrence_number"), F.max("_duplicate_occurrence_number")).first() == (1, 3000)
+    cells = (
+        flagged.where("k = 'hot' AND _is_duplicate_record")
+        .select(F.pmod(F.xxhash64("_source_row_id"), F.lit(60)).alias("c"))
+        .groupBy("c").count()
+    )
+    assert cells.count() == 60 and cells.agg(F.max("count")).first()[0] < 120

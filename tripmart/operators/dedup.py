@@ -54,12 +54,15 @@ def number_duplicates(
     row_id: str = "_source_row_id",
     salt_buckets: int = 64,
     max_rows: int = 2_000_000,
+    cell_rows: int = 1_000_000,
 ) -> DataFrame:
     """Occurrence number 1..n inside each duplicate group (1 = canonical).
 
     Only members of duplicate groups are ranked. Each group is cut into
-    ``salt_buckets`` cells by a hash of the row identity (the canonical row
-    gets its own first cell); rows are ranked inside their cell and shifted
+    cells by a hash of the row identity (the canonical row gets its own
+    first cell): at least ``salt_buckets`` cells, and more for a large group
+    (its known size over ``cell_rows``), so a cell stays near ``cell_rows``
+    rows however hot the key. Rows are ranked inside their cell and shifted
     by the size of the preceding cells, so no task ever holds a whole group.
     """
     singles = flagged.where(~F.col("_is_duplicate_group")).withColumn(
@@ -68,7 +71,10 @@ def number_duplicates(
     members = flagged.where(F.col("_is_duplicate_group")).withColumn(
         "_salt",
         F.when(~F.col("_is_duplicate_record"), F.lit(-1)).otherwise(
-            F.pmod(F.xxhash64(F.col(row_id)), F.lit(salt_buckets))
+            F.pmod(
+                F.xxhash64(F.col(row_id)),
+                F.greatest(F.lit(salt_buckets).cast("bigint"), F.ceil(F.col(DUP_COUNT) / F.lit(cell_rows))),
+            )
         ),
     )
     cells = members.groupBy(key, "_salt").agg(F.count(F.lit(1)).alias("_cell_rows"))
