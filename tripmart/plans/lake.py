@@ -144,17 +144,5 @@ class Lake:
 
     @cached_property
     def fact_trips(self) -> DataFrame:
-        return gold.fact_trips(self)
-
-    # -- Publication ------------------------------------------------------------
-    def published(self) -> "Lake":
-        """Materialise the classified trips and the fact (reliable checkpoints).
-
-        Reports that read a layer several times then scan the written copy
-        instead of recomputing the pipeline per consumer, as a report run
-        after a pipeline refresh reads the published tables.
-        """
-        if not self.__dict__.get("_published"):
-            self.__dict__["fact_trips"] = materialize(self.fact_trips)
-            self.__dict__["_published"] = True
-        return self
+        """The Gold fact, published once; KPIs and Gold reports scan the written copy."""
+        return materialize(gold.fact_trips(self))
