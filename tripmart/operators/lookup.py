@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tripmart.session import checkpoint_dir
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once as Parquet under ``spark.checkpoint.dir`` and read it back.
 
     Unlike ``checkpoint()`` (serialised rows behind an RDD scan), the written
@@ -25,11 +25,16 @@ def materialize(df: DataFrame) -> DataFrame:
     gets its filters pushed into the scan. The folder is shared storage named
     by the cluster, so a lost executor does not lose the copy; each call
     writes a fresh folder, so a retried job never reads a half-written one.
+    ``partition_by`` columns become folders, so a consumer filtering on them
+    reads only its part (``PartitionFilters``); the read-back keeps the
+    original schema and column order.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    if not partition_by:
+        return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:

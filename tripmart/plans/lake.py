@@ -50,7 +50,7 @@ class Lake:
 
     @cached_property
     def bronze_trips(self) -> DataFrame:
-        """The Bronze copy of one source year, published once (reliable checkpoint).
+        """The Bronze copy of one source year, published once (a Parquet copy in the checkpoint folder).
 
         The duplicate-group aggregate and the classification both read it, so
         the source is scanned and bound once per refresh.
@@ -88,14 +88,15 @@ class Lake:
 
     @cached_property
     def trips_classified(self) -> DataFrame:
-        """Every Bronze trip classified, published once (reliable checkpoint).
+        """Every Bronze trip classified, published once (a Parquet copy in the checkpoint folder).
 
         Silver, quarantine, Gold and every report read this written copy: the
         classification runs once per refresh, and downstream plans start
         from a scan instead of re-planning the whole pipeline.
         """
         classified = silver.classify_trips(self.bronze_trips, self.silver_zones, self.cfg, self.zone_rows)
-        return materialize(classified)
+        # Split publish: valid and quarantined rows land in separate folders.
+        return materialize(classified, partition_by=("_is_quarantined",))
 
     @property
     def silver_trips(self) -> DataFrame:
