@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from tripmart.llm import chat, simhash, urls, winnow
+from tripmart.llm import bpe, chat, langid, ledger, simhash, tokencount, toxicity, urls, winnow
 
 QUERIES = {
+    "op2_bpe": bpe.op2_bpe,
+    "op3_token_counts": tokencount.op3_token_counts,
+    "op4_quality_rules": ledger.op4_quality_rules,
     "op5_decontamination": winnow.op5_decontamination,
     "op6_simhash": simhash.op6_simhash,
+    "op7_language_id": langid.op7_language_id,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_url_filters": urls.op10_url_filters,
 }
