@@ -23,7 +23,7 @@ UNKNOWN = "und"
 #: Bounds of the training sample and of the centroids of a language.
 SAMPLE_ROWS, CENTROIDS, ROUNDS = 2000, 4, 12
 #: A text is rejected below this share of the lowest cosine of any sample text to its nearest centroid.
-SLACK = 0.5
+SLACK = 0.25
 _LETTER = regex.compile(r"\p{L}")
 #: ASCII letters fold, other ASCII characters part n-grams as one blank.
 _FOLD = bytes(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tripmart.llm import bpe, chat, langid, ledger, simhash, tokencount, toxicity, urls, winnow
+from tripmart.llm import bpe, chat, langid, ledger, lm, simhash, tokencount, toxicity, urls, winnow
 
 QUERIES = {
+    "op1_lm_scoring": lm.op1_lm_scoring,
     "op2_bpe": bpe.op2_bpe,
     "op3_token_counts": tokencount.op3_token_counts,
     "op4_quality_rules": ledger.op4_quality_rules,
