@@ -67,17 +67,23 @@ def branches(nodes: DataFrame, keep: int | None = None) -> DataFrame:
         "tree", "node", F.when(F.col("known"), F.col("parent")).alias("jump"), F.coalesce("score", F.lit(0.0)).alias("total")
     )
     level = materialize(base)
-    jumps, limit = [], max(1, level.count()).bit_length() + 1
-    while level.filter("jump IS NOT NULL").limit(1).count() and len(jumps) < limit:
+    jumps, ended, limit = [], level.filter("jump IS NULL"), max(1, level.count()).bit_length() + 1
+    level = level.filter("jump IS NOT NULL")
+    while level.limit(1).count() and len(jumps) < limit:
         jumps.append(level)
-        ahead = level.select("tree", F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("total").alias("more"))
-        level = materialize(
-            level.join(ahead, ["tree", "jump"], "left").select(
-                "tree", "node", F.col("next").alias("jump"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total")
+        # Only messages that have not reached their root go on; the tables they look up hold all.
+        ahead = level.unionAll(ended).select(
+            "tree", F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("total").alias("more")
+        )
+        moved = materialize(
+            level.join(ahead, ["tree", "jump"]).select(
+                "tree", "node", F.col("next").alias("jump"), (F.col("total") + F.col("more")).alias("total")
             )
-        )
+        )
+        ended = ended.unionAll(moved.filter("jump IS NULL"))
+        level = moved.filter("jump IS NOT NULL")
     inner = nodes.select("tree", F.col("parent").alias("node")).filter("node IS NOT NULL").distinct()
-    leaves = level.filter("jump IS NULL").join(inner, ["tree", "node"], "left_anti")
+    leaves = ended.join(inner, ["tree", "node"], "left_anti")
     order = Window.partitionBy("tree").orderBy(F.desc("total"), "node")
     ranked = leaves.withColumn("rank", F.row_number().over(order))
     if keep is not None:
