@@ -207,7 +207,7 @@ def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RAD
 
 
 def _with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
-    at, schema = docs.columns.index("text"), T.StructType([*docs.schema.fields]).add("__print", "bigint")
+    at, schema = docs.columns.index("text"), T.StructType([*docs.schema.fields]).add("__print", T.LongType())
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
