@@ -55,13 +55,17 @@ def stream_of(words: list[bytes]) -> bytes:
 
 @dataclass
 class Codes:
-    """Prefix codes by context: paths of (node, bit) laid one after another, found by (code, byte)."""
+    """Prefix codes by context: paths of (node, bit) laid one after another, found by (code, byte).
+
+    ``table_bits`` is the size of the tables that go with them.
+    """
 
     code_of_pair: np.ndarray  # of the two bytes before
     start: np.ndarray  # of (code, byte) in node and bit
     length: np.ndarray
     node: np.ndarray
     bit: np.ndarray
+    table_bits: int = TABLE_BITS
 
 
 def huffman(counts: dict[int, int]) -> dict[int, list[tuple[int, int]]]:
@@ -83,10 +87,12 @@ def huffman(counts: dict[int, int]) -> dict[int, list[tuple[int, int]]]:
     return paths
 
 
-def build_codes(singles: dict[int, dict[int, int]], pairs: dict[int, dict[int, int]]) -> Codes:
+def build_codes(singles: dict[int, dict[int, int]], pairs: dict[int, dict[int, int]], table_bits: int = TABLE_BITS) -> Codes:
     """Codes 0-255 follow the last byte, further ones the byte pairs of ``pairs``.
 
-    A byte unseen after its context takes the escape and eight plain bits.
+    A byte unseen after its context takes the escape and eight plain bits (the
+    chance of an escape to a byte that has a code is given away, so chances
+    add up to one at most).
     """
     code_of_pair = np.tile(np.arange(256, dtype=np.int32), 256)
     tables = [singles.get(b, {}) for b in range(256)]
@@ -102,7 +108,7 @@ def build_codes(singles: dict[int, dict[int, int]], pairs: dict[int, dict[int, i
             length.append(len(path))
             nodes += [p[0] for p in path]
             bits += [p[1] for p in path]
-    return Codes(code_of_pair, np.array(start, np.int64), np.array(length, np.int32), np.array(nodes, np.uint8), np.array(bits, np.uint8))
+    return Codes(code_of_pair, np.array(start, np.int64), np.array(length, np.int32), np.array(nodes, np.uint8), np.array(bits, np.uint8), table_bits)
 
 
 @dataclass
@@ -121,15 +127,15 @@ def _before(buf: np.ndarray, heads: np.ndarray, back: int) -> np.ndarray:
     return out
 
 
-def _scatter(key: np.ndarray) -> np.ndarray:
+def _scatter(key: np.ndarray, table_bits: int) -> np.ndarray:
     """Table slots of 32-bit keys."""
     key = key * np.uint32(0x85EBCA6B)
     key ^= key >> np.uint32(15)
     key *= np.uint32(0xC2B2AE35)
-    return key >> np.uint32(32 - TABLE_BITS)
+    return key >> np.uint32(32 - table_bits)
 
 
-def _contexts(buf: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+def _contexts(buf: np.ndarray, heads: np.ndarray, table_bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """The two bytes before each byte, and its hashed contexts.
 
     The contexts are the three bytes before, the word so far, and a third one:
@@ -159,11 +165,8 @@ def _contexts(buf: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, list[np.n
     inside = np.arange(n) - np.repeat(first, sizes)
     begun = prefix * np.uint32(0x27D4EB2F) + np.repeat(hint, sizes)
     five = ((pair << np.uint32(16)) + (three << np.uint32(8)) + _before(buf, heads, 4)) * np.uint32(0x9E3779B1) + _before(buf, heads, 5)
-    return pair, [
-        _scatter((pair << np.uint32(8)) + three + np.uint32(1 << 30)),
-        _scatter(prefix),
-        _scatter(np.where(inside < 3, begun, five)),
-    ]
+    keys = ((pair << np.uint32(8)) + three + np.uint32(1 << 30), prefix, np.where(inside < 3, begun, five))
+    return pair, [_scatter(k, table_bits) for k in keys]
 
 
 def decisions(codes: Codes, streams: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -171,7 +174,7 @@ def decisions(codes: Codes, streams: list[bytes]) -> tuple[np.ndarray, np.ndarra
     buf = np.frombuffer(b"".join(streams), dtype=np.uint8)
     sizes = np.array([len(s) for s in streams])
     heads = np.cumsum(sizes) - sizes
-    pair, hashed = _contexts(buf, heads)
+    pair, hashed = _contexts(buf, heads, codes.table_bits)
     at = codes.code_of_pair[pair] * 256 + buf
     lengths = codes.length[at]
     stops = np.cumsum(lengths)
@@ -306,7 +309,7 @@ def gather_counts(train: DataFrame) -> DataFrame:
     return materialize(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")))
 
 
-def learn_codes(counts: DataFrame, pair_codes: int = PAIR_CODES) -> Codes:
+def learn_codes(counts: DataFrame, pair_codes: int = PAIR_CODES, table_bits: int = TABLE_BITS) -> Codes:
     """Codes from byte triples: at most 65,536 single rows and 256 rows for each chosen pair reach the driver."""
     t = counts.filter("kind = 1").select(F.hex("key").alias("h"), "n")
     t = materialize(t.select(F.substring("h", 1, 4).alias("pair"), F.substring("h", 3, 2).alias("last"), F.substring("h", 5, 2).alias("byte"), "n"))
@@ -317,16 +320,16 @@ def learn_codes(counts: DataFrame, pair_codes: int = PAIR_CODES) -> Codes:
     singles: dict[int, dict[int, int]] = {}
     for r in t.groupBy("last", "byte").agg(F.sum("n").alias("n")).collect():
         singles.setdefault(int(r["last"], 16), {})[int(r["byte"], 16)] = r["n"]
-    return build_codes(singles, pairs)
+    return build_codes(singles, pairs, table_bits)
 
 
 def learn_tables(train: DataFrame, codes: Codes) -> list[np.ndarray]:
     """The hashed tables, summed over all tasks: ``CONTEXTS`` times two bytes for each slot, a fixed size."""
     sent = train.sparkSession.sparkContext.broadcast(codes)
-    step = 1 << (CHUNK_BITS + 1)
+    size, step = 1 << codes.table_bits, 2 << min(CHUNK_BITS, codes.table_bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [np.zeros(2 << TABLE_BITS, dtype=np.uint32) for _ in range(CONTEXTS)]
+        tables = [np.zeros(2 * size, dtype=np.uint32) for _ in range(CONTEXTS)]
         for piece in slices(batches, CUT_BYTES):
             _, bit, slots = decisions(sent.value, [stream_of(words_of(t)) for t in piece.column(0).to_pylist()])
             for table, slot in zip(tables, slots):
@@ -357,7 +360,7 @@ def learn_tables(train: DataFrame, codes: Codes) -> list[np.ndarray]:
 
     chunks = train.select("text").mapInArrow(count, "k int, chunk int, counts binary")
     dealt = chunks.repartition("k", "chunk").sortWithinPartitions("k", "chunk")
-    tables = [np.zeros(1 << TABLE_BITS, dtype=np.uint16) for _ in range(CONTEXTS)]
+    tables = [np.zeros(size, dtype=np.uint16) for _ in range(CONTEXTS)]
     for r in dealt.mapInArrow(add, "k int, chunk int, odds binary").toLocalIterator():
         part = np.frombuffer(r["odds"], dtype=np.uint16)
         tables[r["k"]][r["chunk"] * len(part) : (r["chunk"] + 1) * len(part)] = part
@@ -391,11 +394,11 @@ def learn_weights(sample: DataFrame, model: Model) -> np.ndarray:
     return (np.array([r["w"] for r in found]) * sizes[:, None] / sizes.sum()).sum(axis=0).reshape(GATES, -1)
 
 
-def train_model(docs: DataFrame, train: Column, counts: DataFrame) -> Model:
+def train_model(docs: DataFrame, train: Column, counts: DataFrame, table_bits: int = TABLE_BITS) -> Model:
     """Codes, tables and first weights from the training rows of ``docs``."""
     rows = docs.select("doc_id", "text").filter(train)
     apart = F.pmod(F.xxhash64("doc_id"), F.lit(WEIGHT_SHARE)) == 0
-    codes = learn_codes(counts)
+    codes = learn_codes(counts, table_bits=table_bits)
     model = Model(codes, learn_tables(rows.filter(~apart), codes), first_weights())
     few = rows.filter(apart).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(WEIGHT_ROWS).distinct()
     model.weights = learn_weights(rows.filter(apart).join(F.broadcast(few), "doc_id", "left_semi"), model)
@@ -403,7 +406,7 @@ def train_model(docs: DataFrame, train: Column, counts: DataFrame) -> Model:
 
 
 # -- Scoring ------------------------------------------------------------------
-def score(docs: DataFrame, train: Column) -> DataFrame:
+def score(docs: DataFrame, train: Column, table_bits: int = TABLE_BITS, frequent_words: int = FREQUENT) -> DataFrame:
     """Model and base scores of every row of ``docs``.
 
     Returns ``doc_id, trained, n_tokens, n_known, train_tokens, base_score,
@@ -418,9 +421,9 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     vocabulary = counts.filter("kind = 0").select("key", "n")
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_train, norm = total["n"], math.log10(total["n"] + total["v"] + 1)
-    top = vocabulary.filter(F.length("key") <= LONGEST).orderBy(F.desc("n"), "key").limit(FREQUENT)
+    top = vocabulary.filter(F.length("key") <= LONGEST).orderBy(F.desc("n"), "key").limit(frequent_words)
     frequent = {bytes(r["key"]): math.log10(r["n"] + 1) for r in top.collect()}
-    model = train_model(marked, F.col("trained"), counts)
+    model = train_model(marked, F.col("trained"), counts, table_bits)
     sent, common = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(frequent)
 
     def run(cols: dict) -> dict:
