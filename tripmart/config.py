@@ -42,8 +42,10 @@ class RunConfig:
     # Bronze report constants (data specific, hence parameters).
     expected_month_partitions: int = 12
     expected_zone_rows: int = 265
-    # Row bound under which a materialised lookup is broadcast.
-    broadcast_row_limit: int = 2_000_000
+    # Bytes up to which a materialised lookup of counted rows is broadcast.
+    broadcast_bytes: int = 64 << 20
+    # Shared folder of the published layers; None takes ``spark.checkpoint.dir``.
+    shared_folder: str | None = None
 
 
 # The binding of the driver's TPC-H-like tables uses order year 1998.

@@ -1,10 +1,7 @@
-"""Trip measures: date parts, duration, financial component sum."""
+"""Trip measures: date parts and duration."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,10 +26,3 @@ def date_parts(pickup: str = "pickup_datetime", dropoff: str = "dropoff_datetime
 def duration_minutes(start: str, end: str) -> Column:
     """Whole-second difference in minutes, rounded to 2 decimals (double)."""
     return F.expr(f"round((unix_timestamp({end}) - unix_timestamp({start})) / 60, 2)")
-
-
-def component_sum(columns: Sequence[str]) -> Column:
-    """Sum of money components with NULL counted as 0, as decimal(20,2)."""
-    zero = F.lit(0).cast(MONEY_SUM_TYPE)
-    total = reduce(lambda acc, c: acc + F.coalesce(F.col(c), zero), columns, zero)
-    return total.cast(MONEY_SUM_TYPE)

@@ -50,6 +50,17 @@ def stats(df: DataFrame, measures: Sequence[tuple[str, str]]) -> DataFrame:
     return df.agg(*[F.expr(expr).alias(name) for name, expr in measures])
 
 
+def count_where(
+    df: DataFrame, total: str, predicates: dict[str, str], aggregates: dict[str, str] | None = None
+) -> DataFrame:
+    """One row: all rows as ``total``, for each name the rows its predicate holds for, and other aggregates."""
+    return df.agg(
+        F.count(F.lit(1)).alias(total),
+        *[F.count_if(F.expr(p)).alias(name) for name, p in predicates.items()],
+        *[F.expr(a).alias(name) for name, a in (aggregates or {}).items()],
+    )
+
+
 def combine(*frames: DataFrame) -> DataFrame:
     """Side-by-side combination of one-row frames, without a join.
 
@@ -131,11 +142,7 @@ class ExpectationError(ValueError):
 
 def enforce(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     """Fail the run when any row breaks a rule (one aggregate action); else return ``df``."""
-    failed = [
-        (r["expectation"], r["failed_records"])
-        for r in expectation_report(df, rules).collect()
-        if r["failed_records"]
-    ]
-    if failed:
-        raise ExpectationError(f"expectations failed: {failed}")
+    failed = {r["expectation"]: r["failed_records"] for r in expectation_report(df, rules).collect()}
+    if any(failed.values()):
+        raise ExpectationError(f"expectations failed: {({k: v for k, v in failed.items() if v})}")
     return df

@@ -1,10 +1,9 @@
 """Per-metric eligibility, data statuses and eligibility reasons (EL1-EL21).
 
-Built in two projection layers: first the booleans and the three statuses,
-then the reason array, its count and the overall status, which read them.
-Warnings are read through their source flags (a warning code is present
-exactly when its flag is true), so no array is searched per row. Rules are
-SQL text over named sub-expressions.
+The metrics come from :mod:`tripmart.operators.contract`, one projection per
+dependency layer; statuses and reasons are tables of (value, predicate) read
+over the metric columns and row flags. Warnings are read through their source
+flags (a code is present exactly when its flag is true).
 """
 
 from __future__ import annotations
@@ -12,130 +11,78 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.config import TIP_SUPPORTED_PAYMENT_CODES
 from tripmart.functions.predicates import reason_array
+from tripmart.operators.contract import FLAG_OF, METRICS, NEGATIVE_CODES, REVIEW_CODES, classified_rule, layers
 
-ELIGIBILITY_STATUSES = ("FULLY_ELIGIBLE", "PARTIALLY_ELIGIBLE", "REVIEW_REQUIRED")
-
-
-def _rules() -> dict[str, str]:
-    """Named boolean rules; ``{name}`` references are expanded in order."""
-    tip_codes = ", ".join(str(v) for v in TIP_SUPPORTED_PAYMENT_CODES)
-    return {
-        "valid": "coalesce(NOT _is_quarantined, false)",
-        "passenger": "{valid} AND NOT (_is_expected_flex_fare_passenger_gap OR "
-        "_is_unexpected_passenger_count_missing OR _is_non_positive_passenger_count)",
-        "distance": "{valid} AND NOT _is_zero_distance AND coalesce(trip_distance > 0, false)",
-        "duration": "{valid} AND coalesce(trip_duration_minutes > 0, false) AND NOT coalesce(_is_long_trip, true)",
-        "recorded": "{valid} AND total_amount IS NOT NULL",
-        "breakdown": "{recorded} AND NOT _is_financially_unreconciled",
-        "rate": "{valid} AND NOT (_is_expected_flex_fare_rate_gap OR _is_unexpected_rate_code_gap)",
-        "vendor": "{valid} AND NOT _is_vendor_missing_or_unmapped",
-        "payment": "{valid} AND NOT _is_payment_type_missing_or_unmapped",
-        "route": "{valid} AND pickup_zone_location_id IS NOT NULL AND dropoff_zone_location_id IS NOT NULL",
-        "tip": f"{{recorded}} AND {{payment}} AND coalesce(payment_type IN ({tip_codes}), false) "
-        "AND NOT _is_tip_reported_outside_supported_payment",
-        "negative": "(_is_negative_total_amount OR _is_negative_fare_amount OR _is_negative_tip_amount "
-        "OR _has_negative_financial_component)",
-        "reversal": "_is_negative_total_amount AND {negative} AND NOT _is_financially_unreconciled",
-        "unusual_negative": "{negative} AND NOT _is_negative_total_amount",
-        "financial_feature": "{breakdown} AND NOT {negative}",
-        "categorical": "{rate} AND {vendor} AND {payment}",
-        "efficiency": "{distance} AND {duration}",
-        "standard": "{efficiency} AND NOT _is_negative_total_amount AND NOT _is_duplicate_canonical",
-        "ml_standard": "{standard} AND {passenger} AND {financial_feature} AND {categorical}",
-        "review": "_is_quarantined OR _is_financially_unreconciled OR _is_unexpected_passenger_count_missing "
-        "OR _is_non_positive_passenger_count OR _is_unexpected_rate_code_gap "
-        "OR _is_vendor_missing_or_unmapped OR _is_payment_type_missing_or_unmapped "
-        "OR _is_tip_reported_outside_supported_payment OR _is_duplicate_canonical OR {unusual_negative}",
-    }
-
-
-def _expanded() -> dict[str, str]:
-    out: dict[str, str] = {}
-    for name, text in _rules().items():
-        out[name] = "(" + text.format(**out) + ")"
-    return out
-
-
-# Output column -> rule name.
-ELIGIBILITY_COLUMNS = {
-    "_is_trip_volume_metric_eligible": "valid",
-    "_is_passenger_metric_eligible": "passenger",
-    "_is_distance_metric_eligible": "distance",
-    "_is_duration_metric_eligible": "duration",
-    "_is_efficiency_metric_eligible": "efficiency",
-    "_is_recorded_amount_metric_eligible": "recorded",
-    "_is_financial_breakdown_metric_eligible": "breakdown",
-    "_is_reported_tip_metric_eligible": "tip",
-    "_is_rate_code_metric_eligible": "rate",
-    "_is_vendor_metric_eligible": "vendor",
-    "_is_payment_type_metric_eligible": "payment",
-    "_is_route_metric_eligible": "route",
-    "_is_reversal_or_adjustment": "reversal",
-    "_is_ml_distance_feature_eligible": "distance",
-    "_is_ml_passenger_feature_eligible": "passenger",
-    "_is_ml_financial_feature_eligible": "financial_feature",
-    "_is_ml_categorical_feature_eligible": "categorical",
-    "_is_standard_operational_trip_eligible": "standard",
-    "_is_ml_standard_trip_eligible": "ml_standard",
-    "_requires_data_review": "review",
+# Fixed values of the contract: status values and reason codes.
+_NEGATIVE = "(" + " OR ".join(FLAG_OF[c] for c in NEGATIVE_CODES) + ")"
+_SIGNED_TOTAL = FLAG_OF["NEGATIVE_TOTAL_AMOUNT"]
+_GAP = FLAG_OF["FINANCIAL_RECONCILIATION_GAP"]
+REVERSAL = f"{_SIGNED_TOTAL} AND NOT {_GAP}"
+ODD_SIGN = f"{_NEGATIVE} AND NOT {_SIGNED_TOTAL}"
+STATUS_LADDERS = {
+    "_passenger_data_status": [
+        ("EXPECTED_FLEX_FARE_MISSING", FLAG_OF["FLEX_FARE_PASSENGER_COUNT_MISSING"]),
+        ("MISSING_UNEXPECTED", FLAG_OF["PASSENGER_COUNT_MISSING"]),
+        ("NEGATIVE_INVALID", "_is_negative_passenger_count"),
+        ("ZERO_REPORTED", "_is_zero_passenger_count"),
+        ("REPORTED_VALID", "true"),
+    ],
+    "_distance_data_status": [
+        ("NEGATIVE_INVALID", "trip_distance < 0"),
+        ("ZERO_DISTANCE_REVERSAL", f"_is_zero_distance AND {_SIGNED_TOTAL}"),
+        ("ZERO_DISTANCE_NO_CHARGE", "_is_zero_distance AND total_amount = 0"),
+        ("ZERO_DISTANCE_WITH_CHARGE", "_is_zero_distance"),
+        ("POSITIVE_DISTANCE", "true"),
+    ],
+    "_financial_record_type": [
+        ("NEGATIVE_UNRECONCILED", f"{_GAP} AND {_SIGNED_TOTAL}"),
+        ("UNRECONCILED", _GAP),
+        ("RECONCILED_REVERSAL_OR_ADJUSTMENT", REVERSAL),
+        ("NEGATIVE_COMPONENT_REVIEW", ODD_SIGN),
+        ("REGULAR_TRANSACTION", "true"),
+    ],
 }
-
-ELIGIBILITY_REASONS = [
+# Reasons reported for a metric that does not hold, by metric.
+METRIC_REASONS = {
+    name: f"{name.upper()}_METRICS_INELIGIBLE"
+    for name in ("passenger", "distance", "duration", "reported_tip", "rate_code", "vendor", "payment_type", "route")
+} | {"financial_breakdown": "FINANCIAL_BREAKDOWN_INELIGIBLE"}
+OTHER_REASONS = [
     ("CRITICAL_QUALITY_VIOLATION", "_is_quarantined"),
-    ("PASSENGER_METRICS_INELIGIBLE", "NOT _is_passenger_metric_eligible"),
-    ("DISTANCE_METRICS_INELIGIBLE", "NOT _is_distance_metric_eligible"),
-    ("DURATION_METRICS_INELIGIBLE", "NOT _is_duration_metric_eligible"),
-    ("FINANCIAL_BREAKDOWN_INELIGIBLE", "NOT _is_financial_breakdown_metric_eligible"),
-    ("REPORTED_TIP_METRICS_INELIGIBLE", "NOT _is_reported_tip_metric_eligible"),
-    ("RATE_CODE_METRICS_INELIGIBLE", "NOT _is_rate_code_metric_eligible"),
-    ("VENDOR_METRICS_INELIGIBLE", "NOT _is_vendor_metric_eligible"),
-    ("PAYMENT_TYPE_METRICS_INELIGIBLE", "NOT _is_payment_type_metric_eligible"),
-    ("ROUTE_METRICS_INELIGIBLE", "NOT _is_route_metric_eligible"),
     ("RECONCILED_REVERSAL_OR_ADJUSTMENT", "_is_reversal_or_adjustment"),
     ("NEGATIVE_COMPONENT_REQUIRES_REVIEW", "_financial_record_type = 'NEGATIVE_COMPONENT_REVIEW'"),
-    ("SOURCE_DUPLICATE_CANONICAL_RECORD", "_is_duplicate_canonical"),
+    ("SOURCE_DUPLICATE_CANONICAL_RECORD", FLAG_OF["DUPLICATE_GROUP_CANONICAL_RECORD"]),
     ("GOLD_DATE_EXTENSION_REQUIRED", "_requires_gold_date_extension"),
 ]
 
 
+def _ladder(steps: list[tuple[str, str]]) -> str:
+    return "CASE " + " ".join(f"WHEN {when} THEN '{value}'" for value, when in steps) + " END"
+
+
 def add_eligibility(df: DataFrame) -> DataFrame:
-    e = _expanded()
-    statuses = {
-        "_passenger_data_status": (
-            "CASE WHEN _is_expected_flex_fare_passenger_gap THEN 'EXPECTED_FLEX_FARE_MISSING' "
-            "WHEN _is_unexpected_passenger_count_missing THEN 'MISSING_UNEXPECTED' "
-            "WHEN _is_negative_passenger_count THEN 'NEGATIVE_INVALID' "
-            "WHEN _is_zero_passenger_count THEN 'ZERO_REPORTED' ELSE 'REPORTED_VALID' END"
-        ),
-        "_distance_data_status": (
-            "CASE WHEN trip_distance < 0 THEN 'NEGATIVE_INVALID' "
-            "WHEN _is_zero_distance AND _is_negative_total_amount THEN 'ZERO_DISTANCE_REVERSAL' "
-            "WHEN _is_zero_distance AND coalesce(total_amount = 0, false) THEN 'ZERO_DISTANCE_NO_CHARGE' "
-            "WHEN _is_zero_distance THEN 'ZERO_DISTANCE_WITH_CHARGE' ELSE 'POSITIVE_DISTANCE' END"
-        ),
-        "_financial_record_type": (
-            "CASE WHEN _is_financially_unreconciled AND _is_negative_total_amount THEN 'NEGATIVE_UNRECONCILED' "
-            "WHEN _is_financially_unreconciled THEN 'UNRECONCILED' "
-            f"WHEN {e['reversal']} THEN 'RECONCILED_REVERSAL_OR_ADJUSTMENT' "
-            f"WHEN {e['unusual_negative']} THEN 'NEGATIVE_COMPONENT_REVIEW' ELSE 'REGULAR_TRANSACTION' END"
-        ),
-        "_requires_gold_date_extension": "_is_cross_year_trip",
-    }
-    layer1 = {name: F.expr(e[rule]) for name, rule in ELIGIBILITY_COLUMNS.items()}
-    layer1.update({name: F.expr(sql) for name, sql in statuses.items()})
-    return (
-        df.withColumns(layer1)
-        .withColumn("_eligibility_reasons", reason_array(ELIGIBILITY_REASONS, sort=True))
-        .withColumns(
-            {
-                "_eligibility_restriction_count": F.expr("size(_eligibility_reasons)"),
-                "_eligibility_status": F.expr(
-                    "CASE WHEN _requires_data_review THEN 'REVIEW_REQUIRED' "
-                    "WHEN _is_ml_standard_trip_eligible AND size(_eligibility_reasons) = 0 "
-                    "THEN 'FULLY_ELIGIBLE' ELSE 'PARTIALLY_ELIGIBLE' END"
-                ),
-            }
-        )
+    """Metrics, statuses, reasons and the overall status as columns."""
+    for names in layers():
+        df = df.withColumns({METRICS[n].column: F.expr(classified_rule(n)) for n in names})
+    review = " OR ".join(["_is_quarantined", *[FLAG_OF[c] for c in REVIEW_CODES], f"({ODD_SIGN})"])
+    df = df.withColumns(
+        {
+            "_is_reversal_or_adjustment": F.expr(REVERSAL),
+            "_requires_data_review": F.expr(review),
+            "_requires_gold_date_extension": F.expr(FLAG_OF["CROSS_YEAR_TRIP"]),
+            **{name: F.expr(_ladder(steps)) for name, steps in STATUS_LADDERS.items()},
+        }
+    )
+    reasons = [(code, f"NOT {METRICS[n].column}") for n, code in METRIC_REASONS.items()] + OTHER_REASONS
+    status = [
+        ("REVIEW_REQUIRED", "_requires_data_review"),
+        ("FULLY_ELIGIBLE", f"{METRICS['ml_standard'].column} AND size(_eligibility_reasons) = 0"),
+        ("PARTIALLY_ELIGIBLE", "true"),
+    ]
+    return df.withColumn("_eligibility_reasons", reason_array(reasons, sort=True)).withColumns(
+        {
+            "_eligibility_restriction_count": F.expr("size(_eligibility_reasons)"),
+            "_eligibility_status": F.expr(_ladder(status)),
+        }
     )

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-RATIO_SCALE = 6
-
 
 def sum_where(value: Column, cond: Column) -> Column:
     """``SUM(value) FILTER (WHERE cond)``."""
@@ -18,9 +16,9 @@ def count_where(cond: Column) -> Column:
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
-    """Safe ratio of two aggregates as a double rounded to 6 decimals (NULL on zero)."""
-    return F.round(F.try_divide(numerator.cast("double"), denominator.cast("double")), RATIO_SCALE)
+    """Safe ratio of two aggregates (NULL on zero), exact as far as decimals go."""
+    return F.try_divide(numerator, denominator)
 
 
 def mean(value: Column) -> Column:
-    return F.round(F.avg(value.cast("double")), RATIO_SCALE)
+    return F.avg(value)

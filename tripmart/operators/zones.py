@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.predicates import reason_array
-from tripmart.operators.lookup import broadcast_bounded
+from tripmart.operators.lookup import BROADCAST_BYTES, broadcast_bounded
 from tripmart.operators.normalize import normalize_zones
 from tripmart.operators.quality import zone_rules
 
@@ -40,17 +40,17 @@ def role_zones(zones: DataFrame, role: str) -> DataFrame:
 
 
 def attach_zones(
-    trips: DataFrame, zones: DataFrame, zone_rows: int, max_rows: int = 2_000_000
+    trips: DataFrame, zones: DataFrame, zone_rows: int, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Left-join the lookup twice (pickup, dropoff).
 
     The valid lookup has unique ids, so neither join multiplies rows.
     ``zone_rows`` is the counted size of the materialised lookup: under
-    ``max_rows`` both joins are broadcast and the trip side is never
+    ``max_bytes`` both joins are broadcast and the trip side is never
     shuffled; above it the planner chooses a shuffle join.
     """
-    pickup = broadcast_bounded(role_zones(zones, "pickup"), zone_rows, max_rows)
-    dropoff = broadcast_bounded(role_zones(zones, "dropoff"), zone_rows, max_rows)
+    pickup = broadcast_bounded(role_zones(zones, "pickup"), zone_rows, max_bytes)
+    dropoff = broadcast_bounded(role_zones(zones, "dropoff"), zone_rows, max_bytes)
     return trips.join(
         pickup, F.col("pickup_location_id") == F.col("pickup_zone_location_id"), "left"
     ).join(dropoff, F.col("dropoff_location_id") == F.col("dropoff_zone_location_id"), "left")

@@ -182,12 +182,8 @@ FINAL: dict[str, str] = {
     "gold_trip_source": "SELECT * " + _replace(GOLD_DECIMALS, (), GOLD_ARRAYS) + " FROM gold_trip_source",
     "gold_zone_source": "SELECT * FROM gold_zone_source",
     "dim_date": "SELECT * " + _replace(dates=["full_date"]) + " FROM dim_date",
-    "dim_time": "SELECT * FROM dim_time",
     "dim_pickup_zone": "SELECT * FROM dim_pickup_zone",
     "dim_dropoff_zone": "SELECT * FROM dim_dropoff_zone",
-    "dim_payment_type": "SELECT * FROM dim_payment_type",
-    "dim_rate_code": "SELECT * FROM dim_rate_code",
-    "dim_vendor": "SELECT * FROM dim_vendor",
     "fact_trips": "SELECT * " + _replace(FACT_DECIMALS, (), FACT_ARRAYS) + " FROM fact_trips",
     # Inventory, KPIs, listings
     "dim_date_holidays": """
@@ -226,6 +222,25 @@ FINAL: dict[str, str] = {
                CAST(count_if(payment_type_key = -1 OR rate_code_key = -1 OR vendor_key = -1) AS BIGINT)
                  AS unknown_business_dimension_trips
         FROM fact_trips""",
+    "fact_routes_approx": """
+        SELECT CAST(count(DISTINCT route_key) AS BIGINT) AS distinct_routes, TRUE AS estimate_within_tolerance
+        FROM fact_trips""",
+    "trips_by_hour": """
+        SELECT t.time_key, t.hour_number, t.hour_range, t.day_period, t.business_time_band, t.is_peak_hour,
+               CAST(count(*) AS BIGINT) AS trip_count, CAST(sum(f.total_amount) AS DOUBLE) AS total_amount
+        FROM fact_trips f JOIN dim_time t ON t.time_key = f.pickup_time_key GROUP BY ALL ORDER BY 1""",
+    "payment_type_usage": """
+        SELECT p.payment_type_key, p.payment_type_name, p.tip_data_note, CAST(count(*) AS BIGINT) AS trip_count,
+               CAST(sum(f.total_amount) AS DOUBLE) AS total_amount
+        FROM fact_trips f JOIN dim_payment_type p USING (payment_type_key) GROUP BY ALL ORDER BY 1""",
+    "rate_code_usage": """
+        SELECT r.rate_code_key, r.rate_code_name, r.airport_code, CAST(count(*) AS BIGINT) AS trip_count,
+               CAST(sum(f.total_amount) AS DOUBLE) AS total_amount
+        FROM fact_trips f JOIN dim_rate_code r USING (rate_code_key) GROUP BY ALL ORDER BY 1""",
+    "vendor_usage": """
+        SELECT v.vendor_key, v.vendor_name, v.vendor_short_name, CAST(count(*) AS BIGINT) AS trip_count,
+               CAST(sum(f.total_amount) AS DOUBLE) AS total_amount
+        FROM fact_trips f JOIN dim_vendor v USING (vendor_key) GROUP BY ALL ORDER BY 1""",
     "kpi_by_payment_type": """
         SELECT p.payment_type_name, p.payment_category, p.is_electronic_payment,
                CAST(sum(f.trip_count) AS BIGINT) AS trip_count,
@@ -285,7 +300,7 @@ FINAL: dict[str, str] = {
           round(CAST(el_minutes AS DOUBLE) / NULLIF(CAST(el_trips AS DOUBLE), 0), 6) AS average_eligible_duration_minutes,
           round(CAST(el_miles AS DOUBLE) / NULLIF(CAST(el_minutes AS DOUBLE) / 60.0, 0), 6) AS estimated_average_speed_mph,
           round(CAST(el_amount AS DOUBLE) / NULLIF(CAST(el_miles AS DOUBLE), 0), 6) AS recorded_amount_per_mile,
-          pax AS reported_passenger_count,
+          CAST(pax AS BIGINT) AS reported_passenger_count,
           CAST(pax_trips AS BIGINT) AS trips_with_reported_passenger_count,
           round(pax / NULLIF(CAST(pax_trips AS DOUBLE), 0), 6) AS average_reported_passengers,
           round(CAST(card_trips AS DOUBLE) / NULLIF(CAST(trips AS DOUBLE), 0), 6) AS credit_card_trip_share,

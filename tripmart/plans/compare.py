@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DateType, DecimalType
+from pyspark.sql.types import ArrayType, DateType, DecimalType, DoubleType
 
+#: Places that ratios are compared at; operators themselves do not round.
+RATIO_SCALE = 6
 RUN_TIME_COLUMNS = {
     "_ingested_at",
     "_pipeline_refresh_timestamp",
@@ -32,7 +34,9 @@ def comparable(df: DataFrame) -> DataFrame:
         if name in RUN_TIME_COLUMNS:
             continue
         if isinstance(dtype, DecimalType):
-            c = c.cast("double")
+            c = F.round(c, RATIO_SCALE).cast("double") if dtype.scale > RATIO_SCALE else c.cast("double")
+        elif isinstance(dtype, DoubleType):
+            c = F.round(c, RATIO_SCALE)
         elif isinstance(dtype, DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(dtype, ArrayType):

@@ -30,7 +30,7 @@ def source_profile_total(lake) -> DataFrame:
         F.count_distinct("year", "month").alias("published_months"),
         F.min("tpep_pickup_datetime").alias("min_pickup"),
         F.max("tpep_pickup_datetime").alias("max_pickup"),
-        F.round(F.sum("total_amount"), 2).alias("gross_revenue"),
+        F.sum("total_amount").alias("gross_revenue"),
     )
 
 
@@ -107,13 +107,49 @@ def fact_profile(lake) -> DataFrame:
     )
 
 
+#: Relative error the route estimate is asked for, and the multiple of it that is still accepted.
+ROUTE_ERROR, ROUTE_SIGMAS = 0.02, 4
+
+
 def fact_routes_approx(lake) -> DataFrame:
-    """HyperLogLog estimate of distinct routes (approximate by design)."""
-    return lake.fact_trips.agg(
-        F.approx_count_distinct("route_key").alias("approximate_distinct_routes")
+    """Distinct routes, and whether the HyperLogLog estimate of them is as near as promised."""
+    exact = F.count_distinct("route_key")
+    estimate = F.approx_count_distinct("route_key", ROUTE_ERROR)
+    near = F.abs(estimate - exact) <= F.ceil(exact * F.lit(ROUTE_ERROR * ROUTE_SIGMAS))
+    return lake.fact_trips.select("route_key").agg(
+        exact.alias("distinct_routes"), near.alias("estimate_within_tolerance")
     )
 
 
+def _usage(lake, dimension: str, key: str, fact_key: str, *columns: str) -> DataFrame:
+    """Members of a dimension that trips use, with their trips and amounts, in key order."""
+    members = broadcast_bounded(lake.dimension(dimension).select(key, *columns), lake.dimension_rows(dimension))
+    used = lake.fact_trips.groupBy(F.col(fact_key).alias(key)).agg(
+        F.sum("trip_count").alias("trip_count"), F.sum("total_amount").alias("total_amount")
+    )
+    return used.join(members, key).select(key, *columns, "trip_count", "total_amount").orderBy(key)
+
+
+def trips_by_hour(lake) -> DataFrame:
+    """Trips and recorded amount per pickup hour, with its bands."""
+    return _usage(
+        lake, "dim_time", "time_key", "pickup_time_key", "hour_number", "hour_range", "day_period", "business_time_band",
+        "is_peak_hour",
+    )
+
+
+def payment_type_usage(lake) -> DataFrame:
+    return _usage(lake, "dim_payment_type", "payment_type_key", "payment_type_key", "payment_type_name", "tip_data_note")
+
+
+def rate_code_usage(lake) -> DataFrame:
+    return _usage(lake, "dim_rate_code", "rate_code_key", "rate_code_key", "rate_code_name", "airport_code")
+
+
+def vendor_usage(lake) -> DataFrame:
+    return _usage(lake, "dim_vendor", "vendor_key", "vendor_key", "vendor_name", "vendor_short_name")
+
+
 def _with_payment(lake) -> DataFrame:
     pay = broadcast_bounded(lake.dim_payment_type, 8)
     return lake.fact_trips.join(pay, "payment_type_key")
@@ -183,7 +219,7 @@ def kpi_baseline(lake) -> DataFrame:
     el_miles = sum_where(c("trip_distance_miles"), eligible)
     el_minutes = sum_where(c("trip_duration_minutes"), eligible)
     el_amount = sum_where(c("total_amount"), eligible)
-    pax = sum_where(c("passenger_count").cast("double"), has_pax)
+    pax = sum_where(c("passenger_count"), has_pax)
     pax_trips = count_where(has_pax)
     return f.agg(
         trips.alias("trip_count"),
@@ -201,9 +237,7 @@ def kpi_baseline(lake) -> DataFrame:
         el_trips.alias("efficiency_eligible_trip_count"),
         ratio(el_miles, el_trips).alias("average_eligible_distance_miles"),
         ratio(el_minutes, el_trips).alias("average_eligible_duration_minutes"),
-        F.round(
-            F.try_divide(el_miles.cast("double"), el_minutes.cast("double") / F.lit(60.0)), 6
-        ).alias("estimated_average_speed_mph"),
+        ratio(el_miles * F.lit(60), el_minutes).alias("estimated_average_speed_mph"),
         ratio(el_amount, el_miles).alias("recorded_amount_per_mile"),
         pax.alias("reported_passenger_count"),
         pax_trips.alias("trips_with_reported_passenger_count"),

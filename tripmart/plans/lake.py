@@ -1,8 +1,10 @@
-"""The layered data set of one run, built lazily from the fixture binding.
+"""The layered data set of one run, and when its layers are published.
 
-``Lake(spark, sf_dir)`` exposes every published dataset (Bronze, Silver,
-Gold) as a cached DataFrame property, so a report that needs several layers
-builds each plan once.
+``Lake(spark, sf_dir)`` exposes every dataset (Bronze, Silver, Gold). Reading
+a published one for the first time runs the jobs that write it; ``refresh()``
+publishes all of them in order. A layer with an expectation set is checked on
+its written copy before anything can read it: a failed check raises and the
+copy of an earlier refresh stays in use.
 """
 
 from __future__ import annotations
@@ -12,13 +14,16 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.config import FIXTURE_CONFIG, RunConfig
+from tripmart.operators.checks import enforce
+from tripmart.operators.dedup import duplicate_groups
 from tripmart.operators.lookup import materialize
 from tripmart.plans import gold, silver
 from tripmart.sources import fixtures
+from tripmart.sources.sinks import clustered
 from tripmart.sources.trips import bronze_trips
 from tripmart.sources.zones import stamp_zone_lookup_lineage
 
-_RUNS: dict[tuple, "Lake"] = {}
+_RUNS: dict[tuple, tuple[str, "Lake"]] = {}
 
 
 class Lake:
@@ -31,32 +36,60 @@ class Lake:
     def of_run(cls, spark: SparkSession, sf_dir: str, cfg: RunConfig = FIXTURE_CONFIG) -> "Lake":
         """The layers of one run, shared by every query of the application.
 
-        A refresh publishes Bronze, the classified trips and the fact once;
-        the queries registered on top of them read those written copies, as
-        reports run after a pipeline refresh read the published tables. The
-        run is keyed by application, input folder and configuration; a new
-        application (or ``Lake(...)`` directly) starts a new run.
+        A refresh publishes each layer once; the queries registered on top of
+        them read those written copies, as reports run after a pipeline
+        refresh read the published tables. A run lasts as long as the input
+        files stay the same: when one was rewritten, added or removed, the
+        next query starts a new run.
         """
         key = (spark.sparkContext.applicationId, sf_dir, cfg)
-        lake = _RUNS.get(key)
-        if lake is None:
-            lake = _RUNS[key] = cls(spark, sf_dir, cfg)
-        return lake
+        state = fixtures.input_state(spark, sf_dir)
+        held = _RUNS.get(key)
+        if held is None or held[0] != state or held[1].spark is not spark:
+            _RUNS[key] = held = (state, cls(spark, sf_dir, cfg))
+        return held[1]
+
+    #: Published layers in the order a refresh writes them.
+    PUBLISHED = (
+        "raw_trips", "bronze_trips", "trips_classified", "silver_baseline", "dim_date", "dim_pickup_zone",
+        "dim_dropoff_zone", "fact_trips",
+    )
+
+    def refresh(self) -> "Lake":
+        """Publish every layer anew; if a check fails, a new copy is not used and this run stays as it was."""
+        fresh = Lake(self.spark, self.sf_dir, self.cfg)
+        for name in self.PUBLISHED:
+            getattr(fresh, name)
+        for name in ("zones_classified", "silver_zones", "quarantine_zones"):
+            fresh.enforce_on(name, getattr(fresh, name))
+        self.__dict__.clear()
+        self.__dict__.update(fresh.__dict__)
+        return self
+
+    def publish(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Write a layer, check the written copy, and only then hand it out."""
+        copy = materialize(df, partition_by, self.cfg.shared_folder)
+        self.enforce_on(name, copy)
+        return copy
+
+    def enforce_on(self, name: str, copy: DataFrame) -> None:
+        """Raise if the copy of a layer breaks a rule that must fail the run (EX3-EX8)."""
+        from tripmart.plans.expectations import enforced
+
+        for part, rules in enforced(name, self.cfg):
+            enforce(part(copy), rules)
 
     # -- Bronze ---------------------------------------------------------------
     @cached_property
     def raw_trips(self) -> DataFrame:
-        return fixtures.raw_trips(self.spark, self.sf_dir)
+        """The bound raw trips, written once by source partition: one year is read by partition pruning."""
+        return self.publish("raw_trips", fixtures.raw_trips(self.spark, self.sf_dir), ("year", "month"))
 
     @cached_property
     def bronze_trips(self) -> DataFrame:
-        """The Bronze copy of one source year, published once (a Parquet copy in the checkpoint folder).
-
-        The duplicate-group aggregate and the classification both read it, so
-        the source is scanned and bound once per refresh.
-        """
+        """The Bronze copy of one source year, published once."""
         bronze = bronze_trips(self.raw_trips, self.cfg.expected_pickup_year, self.cfg.trip_source_table)
-        return materialize(bronze)
+        return self.publish("bronze_trips", bronze)
 
     @cached_property
     def bronze_zones(self) -> DataFrame:
@@ -86,17 +119,28 @@ class Lake:
         """Counted size of the valid zone lookup (bound for broadcasts)."""
         return self._zone_split[3]
 
+    @cached_property
+    def hashed_trips(self) -> DataFrame:
+        return silver.hashed_trips(self.bronze_trips)
+
+    @cached_property
+    def duplicate_groups(self) -> DataFrame:
+        """Record hashes that occur more than once; classification and numbering read this one copy."""
+        return duplicate_groups(self.hashed_trips)
+
     @cached_property
     def trips_classified(self) -> DataFrame:
-        """Every Bronze trip classified, published once (a Parquet copy in the checkpoint folder).
+        """Every Bronze trip classified, published once.
 
         Silver, quarantine, Gold and every report read this written copy: the
         classification runs once per refresh, and downstream plans start
         from a scan instead of re-planning the whole pipeline.
         """
-        classified = silver.classify_trips(self.bronze_trips, self.silver_zones, self.cfg, self.zone_rows)
+        classified = silver.classify_trips(
+            self.hashed_trips, self.duplicate_groups, self.silver_zones, self.cfg, self.zone_rows
+        )
         # Split publish: valid and quarantined rows land in separate folders.
-        return materialize(classified, partition_by=("_is_quarantined",))
+        return self.publish("trips_classified", classified, ("_is_quarantined",))
 
     @property
     def silver_trips(self) -> DataFrame:
@@ -106,10 +150,19 @@ class Lake:
     def quarantine_trips(self) -> DataFrame:
         return silver.split(self.trips_classified)[1]
 
+    @cached_property
+    def silver_baseline(self) -> DataFrame:
+        """One row of Silver aggregates that Gold must reproduce."""
+        from tripmart.plans.gold_validation import silver_baseline
+
+        return self.publish("silver_baseline", silver_baseline(self.silver_trips))
+
     # -- Gold -----------------------------------------------------------------
     @cached_property
     def gold_trip_source(self) -> DataFrame:
-        return gold.gold_trip_source(self.silver_trips)
+        source = gold.gold_trip_source(self.silver_trips)
+        self.enforce_on("gold_trip_source", source)
+        return source
 
     @cached_property
     def gold_zone_source(self) -> DataFrame:
@@ -117,7 +170,7 @@ class Lake:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return gold.dim_date(self.gold_trip_source)
+        return self.publish("dim_date", gold.dim_date(self.silver_baseline))
 
     @cached_property
     def dim_time(self) -> DataFrame:
@@ -125,11 +178,11 @@ class Lake:
 
     @cached_property
     def dim_pickup_zone(self) -> DataFrame:
-        return gold.zone_dimension(self.gold_zone_source, "pickup")
+        return self.publish("dim_pickup_zone", gold.zone_dimension(self.gold_zone_source, "pickup"))
 
     @cached_property
     def dim_dropoff_zone(self) -> DataFrame:
-        return gold.zone_dimension(self.gold_zone_source, "dropoff")
+        return self.publish("dim_dropoff_zone", gold.zone_dimension(self.gold_zone_source, "dropoff"))
 
     @cached_property
     def dim_payment_type(self) -> DataFrame:
@@ -143,7 +196,20 @@ class Lake:
     def dim_vendor(self) -> DataFrame:
         return gold.dim_vendor(self.spark)
 
+    def dimension(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+    @cached_property
+    def _dimension_rows(self) -> dict[str, int]:
+        return {}
+
+    def dimension_rows(self, name: str) -> int:
+        """Counted rows of a published dimension (bound for broadcasts)."""
+        if name not in self._dimension_rows:
+            self._dimension_rows[name] = self.dimension(name).count()
+        return self._dimension_rows[name]
+
     @cached_property
     def fact_trips(self) -> DataFrame:
-        """The Gold fact, published once; KPIs and Gold reports scan the written copy."""
-        return materialize(gold.fact_trips(self))
+        """The Gold fact, published once and clustered; KPIs and Gold reports scan the written copy."""
+        return self.publish("fact_trips", clustered(gold.fact_trips(self)))

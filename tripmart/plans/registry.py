@@ -12,10 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.operators.dedup import number_duplicates
+from tripmart.operators.dedup import flag_duplicates, number_duplicates
 from tripmart.plans import expectations, gold_validation, inventory, reports, validation
 from tripmart.plans.lake import Lake
-from tripmart.plans.silver import hashed_trips
 
 c = F.col
 
@@ -72,9 +71,7 @@ def _classified(*cols: str) -> Callable[[Lake], DataFrame]:
 
 
 def _trip_duplicates(lake: Lake) -> DataFrame:
-    from tripmart.operators.dedup import flag_duplicates
-
-    flagged = flag_duplicates(hashed_trips(lake.bronze_trips), max_rows=lake.cfg.broadcast_row_limit)
+    flagged = flag_duplicates(lake.hashed_trips, lake.duplicate_groups, max_bytes=lake.cfg.broadcast_bytes)
     return number_duplicates(flagged).select(
         c("_record_hash").alias("record_hash"),
         "_duplicate_record_count",
@@ -93,8 +90,8 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "bronze_reconciliation": reports.bronze_reconciliation,
     "bronze_zone_profile": reports.bronze_zone_profile,
     # Silver building blocks
-    "trips_normalized": lambda lake: hashed_trips(lake.bronze_trips).drop("_record_hash", "_source_row_id"),
-    "trip_record_hash": lambda lake: hashed_trips(lake.bronze_trips).select(
+    "trips_normalized": lambda lake: lake.hashed_trips.drop("_record_hash", "_source_row_id"),
+    "trip_record_hash": lambda lake: lake.hashed_trips.select(
         c("_record_hash").alias("record_hash"), "_source_row_id"
     ),
     "trip_duplicates": _trip_duplicates,
@@ -144,12 +141,8 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "gold_trip_source": lambda lake: lake.gold_trip_source,
     "gold_zone_source": lambda lake: lake.gold_zone_source,
     "dim_date": lambda lake: lake.dim_date,
-    "dim_time": lambda lake: lake.dim_time,
     "dim_pickup_zone": lambda lake: lake.dim_pickup_zone,
     "dim_dropoff_zone": lambda lake: lake.dim_dropoff_zone,
-    "dim_payment_type": lambda lake: lake.dim_payment_type,
-    "dim_rate_code": lambda lake: lake.dim_rate_code,
-    "dim_vendor": lambda lake: lake.dim_vendor,
     "fact_trips": lambda lake: lake.fact_trips,
     # Inventory, KPIs, listings
     "dim_date_holidays": inventory.dim_date_holidays,
@@ -157,6 +150,10 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "zones_by_borough": inventory.zones_by_borough,
     "airport_zones": inventory.airport_zones,
     "fact_profile": inventory.fact_profile,
+    "trips_by_hour": inventory.trips_by_hour,
+    "payment_type_usage": inventory.payment_type_usage,
+    "rate_code_usage": inventory.rate_code_usage,
+    "vendor_usage": inventory.vendor_usage,
     "fact_routes_approx": inventory.fact_routes_approx,
     "kpi_by_payment_type": inventory.kpi_by_payment_type,
     "kpi_by_rate_code": inventory.kpi_by_rate_code,
@@ -174,11 +171,5 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "gold_dimension_stats": gold_validation.gold_dimension_stats,
     "gold_validation": gold_validation.gold_validation,
     # Expectation sets
-    "expectations_zones": expectations.expectations_zones,
-    "expectations_trips": expectations.expectations_trips,
-    "expectations_silver": expectations.expectations_silver,
-    "expectations_quarantine": expectations.expectations_quarantine,
-    "expectations_gold_source": expectations.expectations_gold_source,
-    "expectations_dim_date": expectations.expectations_dim_date,
-    "expectations_fact": expectations.expectations_fact,
+    **{key: expectations.report(key) for key in expectations.SETS},
 }

@@ -36,17 +36,17 @@ def hashed_trips(bronze: DataFrame) -> DataFrame:
 
 
 def classify_trips(
-    bronze: DataFrame, valid_zones: DataFrame, cfg: RunConfig, zone_rows: int
+    hashed: DataFrame, groups: DataFrame, valid_zones: DataFrame, cfg: RunConfig, zone_rows: int
 ) -> DataFrame:
     """Every Bronze trip with zone attributes, identity, reasons, flags, eligibility.
 
-    Plan shape: one scan of Bronze; one narrow aggregate for duplicate groups
-    (materialised, joined back by a size-checked broadcast); the zone lookup
-    joined twice by broadcast; everything else is row-local projection.
+    Plan shape: one scan of the hashed trips; their duplicate groups joined
+    back by a size-checked broadcast; the zone lookup joined twice by
+    broadcast; everything else is row-local projection.
     """
-    flagged = flag_duplicates(hashed_trips(bronze), max_rows=cfg.broadcast_row_limit)
+    flagged = flag_duplicates(hashed, groups, max_bytes=cfg.broadcast_bytes)
     zones = valid_zones.select("location_id", "borough", "zone", "service_zone")
-    enriched = attach_zones(flagged, zones, zone_rows, cfg.broadcast_row_limit)
+    enriched = attach_zones(flagged, zones, zone_rows, cfg.broadcast_bytes)
     measured = enriched.withColumns(date_parts()).withColumn(
         "trip_duration_minutes", duration_minutes("pickup_datetime", "dropoff_datetime")
     ).withColumn("record_hash", F.col("_record_hash"))

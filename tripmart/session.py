@@ -36,19 +36,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster.
+    """The shared folder for published layers and cut lineage.
 
-    The value of ``spark.checkpoint.dir`` is used as is. Only when it is unset
-    (local tests) a private folder is created and registered.
+    The value of ``spark.checkpoint.dir`` is used as is. Only a session whose
+    executors are threads of the driver (``local`` masters, as in tests) may
+    do without it and gets a private folder; any other master must name a
+    folder all its machines share, since a machine-local one loses files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_one_machine(sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder with master {sc.master}")
         configured = tempfile.mkdtemp(prefix="tripmart-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def is_one_machine(master: str) -> bool:
+    """Whether executors share the driver's machine and process (``local``, ``local[n]``)."""
+    return master == "local" or master.startswith("local[")

@@ -38,15 +38,25 @@ FIXTURE_DIRTY_ZONES = [
 RAW_ZONE_DDL = "LocationID int, Borough string, Zone string, service_zone string"
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+#: Input tables the binding reads.
+INPUTS = ("lineitem", "orders", "customer", "supplier", "nation", "region")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of a read-only input table, resolved once per session and path."""
-    key = (id(spark), f"{sf_dir}/{name}.parquet")
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(key[1])
-    return _SCANS[key]
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the input files, by the file system the paths name."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in INPUTS:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        for status in fs.globStatus(path) or []:
+            files = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+            found += [f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in files]
+    return "\n".join(sorted(found))
 
 
 def _pick(values: tuple, index: Column) -> Column:

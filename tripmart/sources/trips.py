@@ -13,8 +13,8 @@ def read_trips(spark: SparkSession, path: str, year: int | str, fmt: str = "parq
 
     The partition values are compared as text (``year = '2025'``), which lets
     Spark prune partitions at listing time (``PartitionFilters`` in the plan).
-    Each row gets a stable identity from its file and row position, used to
-    choose one survivor per duplicate group without a global ordering.
+    Each row gets a stable identity, a number from its file and row position,
+    used to choose one survivor per duplicate group without a global ordering.
     """
     df = (
         spark.read.format(fmt)
@@ -24,9 +24,7 @@ def read_trips(spark: SparkSession, path: str, year: int | str, fmt: str = "parq
     )
     return df.withColumn(
         "_source_row_id",
-        F.concat_ws(
-            "#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")
-        ),
+        F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")),
     )
 
 
