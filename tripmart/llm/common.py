@@ -25,6 +25,11 @@ def crc_mod(col: str, mod: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % mod
 
 
+def hash_share(col: str, salt: str) -> Column:
+    """A number in [0, 1) from the hash of a column: rows below a share are a sample of that share."""
+    return F.pmod(F.xxhash64(F.col(col), F.lit(salt)), F.lit(1 << 40)) / float(1 << 40)
+
+
 def map_rows(df: DataFrame, schema: str, fn: Callable[[dict], dict], max_bytes: int = 4 << 20) -> DataFrame:
     """Run ``fn`` over column slices of at most ``max_bytes`` of text each.
 

@@ -20,8 +20,8 @@ from tripmart.llm.common import crc_mod, keep_rows, map_rows, read_table
 DIM_BITS = 12
 DIM = 1 << DIM_BITS
 UNKNOWN = "und"
-#: Bounds of the training sample and of the centroids of a language.
-SAMPLE_ROWS, CENTROIDS, ROUNDS = 2000, 4, 12
+#: Bounds of the training sample, of the languages learned (the most frequent), and of a language's centroids.
+SAMPLE_ROWS, LANGUAGES, CENTROIDS, ROUNDS = 2000, 256, 4, 12
 #: A text is rejected below this share of the lowest cosine of any sample text to its nearest centroid.
 SLACK = 0.25
 _LETTER = regex.compile(r"\p{L}")
@@ -118,8 +118,9 @@ def fit(docs: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS) -> Model
     the narrow columns; texts are read, and turned into counts, for them only.
     """
     named = docs.select("doc_id", "lang").filter(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    n_langs = named.select("lang").distinct().count()
-    each = max(1, sample_rows // max(1, n_langs))
+    by_size = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    each = max(1, sample_rows // max(1, len(by_size)))
+    named = named.filter(F.col("lang").isin([r["lang"] for r in by_size]))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = named.distinct().withColumn("at", F.row_number().over(order)).filter(F.col("at") <= each).drop("at")
     rows = docs.select("doc_id", "lang", "text").filter(train).join(F.broadcast(picked), ["doc_id", "lang"], "left_semi")

@@ -27,20 +27,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import _powers, crc_mod, map_rows, read_table, slices
+from tripmart.llm.common import _powers, crc_mod, hash_share, map_rows, read_table, slices
 from tripmart.operators.lookup import materialize
 
 #: Slots of each context's table (as a power of two) and of one chunk that is summed at a time.
 TABLE_BITS, CHUNK_BITS = 22, 16
 #: Byte pairs with a code of their own; other pairs use the code of the last byte.
 PAIR_CODES = 2048
-#: Frequent words whose counts every task holds (at most so long); all others are joined exactly.
-FREQUENT, LONGEST = 1 << 17, 64
-#: One training text in so many fits the first weights instead of the tables, at most so many texts.
+#: Tasks hold the counts of words that make up at least one in so many tokens (so there are no more
+#: such words than that) and are at most so long; the counts of all other words are joined.
+FREQUENT, LONGEST = 1 << 18, 64
+#: One training text in so many fits the first weights instead of the tables, about so many texts at most.
 WEIGHT_SHARE, WEIGHT_ROWS, WEIGHT_ROUNDS = 64, 400, 3
 CONTEXTS, GATES, SHORT_WORD = 3, 16, 3
 LANE, STEPS, RATE, ODDS = 4096, 64, 0.015, 15.5
-BATCH_BYTES, CUT_BYTES = 4 << 20, 1 << 18
+BATCH_BYTES, CUT_BYTES = 2 << 20, 1 << 18
 RAW_NODE = 255
 END = b"\n"
 
@@ -186,6 +187,7 @@ def decisions(codes: Codes, streams: list[bytes]) -> tuple[np.ndarray, np.ndarra
 def mix(x: list[np.ndarray], gate: np.ndarray, bit: np.ndarray, ends: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log2 probability of each decision, and the mean of the weights at the end.
 
+    ``x``, ``gate`` and ``bit`` go on for ``STEPS`` unused places.
     Texts are cut into lanes of at most ``LANE`` decisions. All lanes advance
     together, one decision a step; each has its own weights, that start from
     ``start`` and learn from its own past decisions alone.
@@ -203,9 +205,8 @@ def mix(x: list[np.ndarray], gate: np.ndarray, bit: np.ndarray, ends: np.ndarray
     inputs, lanes = len(x) + 1, len(first)
     # One array of weights for each input; a lane's weights lie side by side, one for each gate.
     w = [np.tile(start[:, k].astype(np.float32), lanes) for k in range(inputs)]
-    chance = np.empty(len(bit) + STEPS, dtype=np.float32)
+    chance = np.empty(len(bit), dtype=np.float32)
     lane = np.arange(lanes) * GATES
-    *x, gate, bit = (np.concatenate((c, np.zeros(STEPS, c.dtype))) for c in (*x, gate, bit))
     for t0 in range(0, len(active), STEPS):
         # A run of steps is copied out step by step, so that a step reads neighbouring memory.
         counts = active[t0 : t0 + STEPS]
@@ -256,7 +257,11 @@ def score_streams(model: Model, streams: list[bytes]) -> tuple[np.ndarray, np.nd
         x, gate = inputs_of(model, slots)
         parts.append((*x, gate, bit, ends + done))
         done += len(bit)
-    *x, gate, bit, ends = (np.concatenate(c) for c in zip(*parts))
+    *columns, ends = zip(*parts)
+    # Some room behind the last decision: lanes read ahead in whole steps.
+    *x, gate, bit = (np.concatenate((*c, np.zeros(STEPS, c[0].dtype))) for c in columns)
+    ends = np.concatenate(ends)
+    del parts, columns
     log2, mean = mix(x, gate, bit, ends, model.weights)
     return np.add.reduceat(log2.astype(np.float64), np.concatenate(([0], ends[:-1]))), mean
 
@@ -296,7 +301,7 @@ def gather_counts(train: DataFrame) -> DataFrame:
             heads = np.cumsum(sizes) - sizes
             key = (_before(buf, heads, 2) << np.uint32(16)) + (_before(buf, heads, 1) << np.uint32(8)) + buf
             np.add.at(triples, key.astype(np.int64), np.uint32(1))
-            if len(seen) > 1_000_000:  # a bounded memory: what is counted so far goes on as a partial count
+            if len(seen) > 300_000:  # a bounded memory: what is counted so far goes on as a partial count
                 yield rows(0, list(seen), list(seen.values()))
                 seen.clear()
         if seen:
@@ -400,8 +405,9 @@ def train_model(docs: DataFrame, train: Column, counts: DataFrame, table_bits: i
     apart = F.pmod(F.xxhash64("doc_id"), F.lit(WEIGHT_SHARE)) == 0
     codes = learn_codes(counts, table_bits=table_bits)
     model = Model(codes, learn_tables(rows.filter(~apart), codes), first_weights())
-    few = rows.filter(apart).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(WEIGHT_ROWS).distinct()
-    model.weights = learn_weights(rows.filter(apart).join(F.broadcast(few), "doc_id", "left_semi"), model)
+    held = rows.filter(apart)
+    share = min(1.0, WEIGHT_ROWS / max(1, held.select("doc_id").count()))
+    model.weights = learn_weights(held.filter(hash_share("doc_id", "weights") < share), model)
     return model
 
 
@@ -421,7 +427,7 @@ def score(docs: DataFrame, train: Column, table_bits: int = TABLE_BITS, frequent
     vocabulary = counts.filter("kind = 0").select("key", "n")
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_train, norm = total["n"], math.log10(total["n"] + total["v"] + 1)
-    top = vocabulary.filter(F.length("key") <= LONGEST).orderBy(F.desc("n"), "key").limit(frequent_words)
+    top = vocabulary.filter((F.length("key") <= LONGEST) & (F.col("n") * frequent_words >= n_train))
     frequent = {bytes(r["key"]): math.log10(r["n"] + 1) for r in top.collect()}
     model = train_model(marked, F.col("trained"), counts, table_bits)
     sent, common = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(frequent)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import crc_mod, keep_rows, map_rows, read_table, slices
+from tripmart.llm.common import crc_mod, hash_share, keep_rows, map_rows, read_table, slices
 
 #: Bounds of the labelled sample and of the lexicon.
 SAMPLE_ROWS, LEXICON_ROWS = 20_000, 20_000
@@ -201,9 +201,9 @@ def _lexicon(counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Lexicon, trees and calibration from at most ``sample_rows`` labelled training rows.
+    """Lexicon, trees and calibration from about ``sample_rows`` labelled training rows at most.
 
-    The sample is the labelled ids of smallest hash among ``train``; a
+    The sample is the labelled ids of smallest hash share among ``train``; a
     document with several labels is toxic if one says so. Texts are read for
     these rows alone. Every tree is trained, and calibration measured, with
     lexicons and trees from the other half of the sample.
@@ -211,7 +211,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample_rows: int = SA
     spark = docs.sparkSession
     marked = labels.select("doc_id", "toxic").filter(train & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    picked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    share = min(1.0, sample_rows / max(1, marked.count()))
+    picked = marked.filter(hash_share("doc_id", "sample") < share)
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     rows = rows.dropDuplicates(["doc_id"]).select((F.xxhash64("doc_id", F.lit("half")) % 2 != 0).alias("half"), "text", "toxic")
 
