@@ -16,6 +16,10 @@ KEYS = [
     "silver_validation",
     "gold_validation",
     "expectations_fact",
+    "gold_fact_counts",
+    "gold_record_parity",
+    "trips_by_hour",
+    "fact_routes_approx",
 ]
 
 
@@ -32,8 +36,36 @@ def test_matches_oracle(spark, con, key):
     assert ok, msg
 
 
-def test_every_key_has_sql_or_is_approximate():
-    from __spark_entry__ import oracle_sql, queries
+def test_every_key_of_the_reference_operators_has_sql():
+    from __spark_entry__ import oracle_sql
+
+    from tripmart.plans.registry import QUERIES
+
+    assert set(QUERIES) <= set(oracle_sql())
+
+
+def test_oracle_takes_nothing_from_the_plans():
+    import pathlib
+
+    import tripmart.oracle
+
+    for path in pathlib.Path(tripmart.oracle.__path__[0]).glob("*.py"):
+        text = path.read_text()
+        assert "tripmart.plans" not in text and "tripmart.operators" not in text
+
+
+def test_a_wrong_predicate_turns_its_key_red(spark, con, monkeypatch):
+    import dataclasses
+
+    from __spark_entry__ import oracle_sql
+
+    from tripmart.operators import contract
+    from tripmart.plans import validation
+    from tripmart.plans.lake import Lake
 
-    missing = set(queries()) - set(oracle_sql())
-    assert missing == {"fact_routes_approx"}
+    wrong = dataclasses.replace(contract.METRICS["passenger"], blocked_by=("PASSENGER_COUNT_MISSING",))
+    lake = Lake.of_run(spark, SMALL)
+    lake.trips_classified
+    monkeypatch.setitem(contract.METRICS, "passenger", wrong)
+    got = validation.silver_contract_counts(lake).toPandas()
+    assert not compare(got, con.sql(oracle_sql()["silver_contract_counts"]).df())[0]

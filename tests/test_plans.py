@@ -27,3 +27,27 @@ def test_reports_use_no_cross_join(lake):
     for df in (validation.silver_validation(lake), gold_validation.gold_validation(lake)):
         plan = _plan(df)
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_one_source_year_is_read_by_partition(lake):
+    from tripmart.sources.trips import bronze_trips
+
+    plan = _plan(bronze_trips(lake.raw_trips, lake.cfg.expected_pickup_year, "t"))
+    assert "PartitionFilters: [isnotnull(year" in plan and "Join" not in plan
+
+
+def test_duplicate_groups_are_not_sorted(spark):
+    df = spark.range(10).selectExpr("sha2(CAST(id % 3 AS STRING), 256) AS _record_hash", "id AS _source_row_id")
+    groups = df.groupBy(F.unhex("_record_hash")).agg(F.count("*"), F.min("_source_row_id"))
+    assert "SortAggregate" not in _plan(groups) and "HashAggregate" in _plan(groups)
+
+
+def test_gold_report_scans_each_layer_few_times(lake):
+    """The wide passes over the fact are its counters and the parity; distinct counts read one column each."""
+    from tripmart.plans import gold_validation
+
+    plan = _plan(gold_validation.gold_validation(lake))
+    wide = [line for line in plan.split("\n") if "FileScan" in line and line.count("#") > 3]
+    fact = [line for line in wide if "source_record_hash" in line]
+    silver = [line for line in wide if "record_hash" in line and "source_record_hash" not in line]
+    assert len(fact) <= 2 and len(silver) <= 1

@@ -5,10 +5,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from trip_rows import classify, clean
-from tripmart.operators.checks import ExpectationError, check_report, enforce, stats
-from tripmart.operators.dedup import flag_duplicates, number_duplicates
+from tripmart.operators.checks import ExpectationError, check_report, combine, count_where, enforce, stats
+from tripmart.operators.dedup import duplicate_groups, flag_duplicates, number_duplicates
 from tripmart.plans import validation
-from tripmart.plans.expectations import SILVER_EXPECTATIONS
+from tripmart.plans.expectations import silver_expectations
 
 
 def test_split_is_a_partition(lake):
@@ -36,9 +36,9 @@ def test_one_survivor_per_duplicate_group(lake):
 
 
 def test_silver_expectations_hold_and_enforce(lake):
-    enforce(lake.silver_trips, SILVER_EXPECTATIONS)
+    enforce(lake.silver_trips, silver_expectations(lake.cfg))
     try:
-        enforce(lake.trips_classified, SILVER_EXPECTATIONS)
+        enforce(lake.trips_classified, silver_expectations(lake.cfg))
     except ExpectationError as exc:
         assert "only_valid_silver_records" in str(exc)
     else:
@@ -54,9 +54,12 @@ def test_silver_report_passes_then_fails_on_corruption(lake):
         "_dq_warning_count", F.when(F.col("_dq_warning_count") > 0, F.col("_dq_warning_count") + 1)
         .otherwise(F.col("_dq_warning_count"))
     )
-    one = stats(corrupt, validation.SILVER_COUNTERS).crossJoin(
-        stats(lake.bronze_trips, [("bronze_record_count", "COUNT(*)")])
-    ).crossJoin(stats(lake.quarantine_trips, validation.QUARANTINE_COUNTERS))
+    one = combine(
+        count_where(validation.closed(corrupt), "silver_record_count", validation.silver_predicates(lake.cfg)),
+        stats(corrupt, [("distinct_record_hash_count", "COUNT(DISTINCT record_hash)")]),
+        stats(lake.bronze_trips, [("bronze_record_count", "COUNT(*)")]),
+        validation.quarantine_contract_counts(lake),
+    )
     broken = {r["validation_name"]: r for r in check_report(one, validation.SILVER_CHECKS).collect()}
     assert broken["warning_array_count_and_flag"]["status"] == "FAIL"
     assert broken["warning_array_count_and_flag"]["exception_record_count"] > 0
@@ -73,16 +76,16 @@ def test_hot_duplicate_group_has_one_canonical_row(spark):
 
 def test_occurrence_numbers_are_exact_under_salting(spark):
     df = spark.range(5000).selectExpr(
-        "CASE WHEN id < 3000 THEN 'hot' ELSE CAST(id % 700 AS STRING) END AS k", "id AS _source_row_id"
+        "CASE WHEN id < 3000 THEN 'ff' ELSE lpad(hex(id % 700), 4, '0') END AS k", "id AS _source_row_id"
     )
-    numbered = number_duplicates(flag_duplicates(df, key="k"), key="k", salt_buckets=16)
+    numbered = number_duplicates(flag_duplicates(df, duplicate_groups(df, "k"), key="k"), key="k", salt_buckets=16)
     counts = {r["k"]: (r["n"], r["lo"], r["hi"], r["d"]) for r in numbered.groupBy("k").agg(
         F.count("*").alias("n"), F.min("_duplicate_occurrence_number").alias("lo"),
         F.max("_duplicate_occurrence_number").alias("hi"),
         F.count_distinct("_duplicate_occurrence_number").alias("d")).collect()}
-    assert counts["hot"] == (3000, 1, 3000, 3000)
+    assert counts["ff"] == (3000, 1, 3000, 3000)
     assert all(v[0] == v[2] == v[3] and v[1] == 1 for v in counts.values())
-    first = numbered.where("k = 'hot' AND _duplicate_occurrence_number = 1").collect()
+    first = numbered.where("k = 'ff' AND _duplicate_occurrence_number = 1").collect()
     assert len(first) == 1 and first[0]["_source_row_id"] == 0 and not first[0]["_is_duplicate_record"]
 
 
@@ -95,15 +98,15 @@ def test_hot_group_cells_grow_with_group_size(spark):
     # With 50 rows per cell the hot key (3000 rows) is cut into about 60 cells,
     # small keys keep the minimum of 2; numbering stays exact and dense.
     df = spark.range(5000).selectExpr(
-        "CASE WHEN id < 3000 THEN 'hot' ELSE CAST(id % 700 AS STRING) END AS k", "id AS _source_row_id"
+        "CASE WHEN id < 3000 THEN 'ff' ELSE lpad(hex(id % 700), 4, '0') END AS k", "id AS _source_row_id"
     )
-    flagged = flag_duplicates(df, key="k")
+    flagged = flag_duplicates(df, duplicate_groups(df, "k"), key="k")
     numbered = number_duplicates(flagged, key="k", salt_buckets=2, cell_rows=50)
-    hot = numbered.where("k = 'hot'")
+    hot = numbered.where("k = 'ff'")
     assert hot.select(F.count_distinct("_duplicate_occurrence_number")).first()[0] == 3000
     assert hot.agg(F.min("_duplicate_occurrence_number"), F.max("_duplicate_occurrence_number")).first() == (1, 3000)
     cells = (
-        flagged.where("k = 'hot' AND _is_duplicate_record")
+        flagged.where("k = 'ff' AND _is_duplicate_record")
         .select(F.pmod(F.xxhash64("_source_row_id"), F.lit(60)).alias("c"))
         .groupBy("c").count()
     )

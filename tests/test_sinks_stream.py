@@ -2,7 +2,10 @@
 
 import tempfile
 
-from tripmart.sources.sinks import publish_clustered, publish_split
+import pytest
+
+from tripmart.operators.checks import ExpectationError, enforce
+from tripmart.sources.sinks import publish, publish_clustered, publish_split, read_published
 from tripmart.streaming.refresh import refresh_bronze_trips
 
 
@@ -11,18 +14,27 @@ def _tmp() -> str:
 
 
 def test_split_publish_round_trip(spark, lake):
-    valid, quarantined = publish_split(lake.trips_classified.drop("_silver_refresh_timestamp",
-                                                                  "_eligibility_refresh_timestamp"),
-                                       _tmp() + "/silver")
-    assert spark.read.parquet(valid).count() == lake.silver_trips.count()
-    assert spark.read.parquet(quarantined).count() == lake.quarantine_trips.count()
+    path = _tmp() + "/silver"
+    publish_split(lake.trips_classified.drop("_silver_refresh_timestamp", "_eligibility_refresh_timestamp"), path)
+    back = read_published(spark, path)
+    assert back.where("NOT _is_quarantined").count() == lake.silver_trips.count()
+    assert back.where("_is_quarantined").count() == lake.quarantine_trips.count()
+
+
+def test_failed_check_leaves_the_version_in_use(spark):
+    path, rules = _tmp() + "/t", {"positive": "id > 0"}
+    publish(spark.range(1, 5), path, check=lambda copy: enforce(copy, rules))
+    with pytest.raises(ExpectationError):
+        publish(spark.range(0, 9), path, check=lambda copy: enforce(copy, rules))
+    assert read_published(spark, path).count() == 4
+    publish(spark.range(1, 9), path, check=lambda copy: enforce(copy, rules))
+    assert read_published(spark, path).count() == 8
 
 
 def test_clustered_fact_round_trip(spark, lake):
     path = _tmp() + "/fact"
-    fact = lake.fact_trips.select("trip_key", "pickup_date_key", "pickup_zone_key", "total_amount")
-    publish_clustered(fact, path, partitions=4)
-    back = spark.read.parquet(path)
+    fact = lake.fact_trips.select("source_record_hash", "pickup_date_key", "pickup_zone_key", "total_amount")
+    back = publish_clustered(fact, path)
     assert back.count() == fact.count()
     assert back.exceptAll(fact).count() == 0
 

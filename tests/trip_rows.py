@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from tripmart.config import RunConfig
+from tripmart.operators.dedup import duplicate_groups
 from tripmart.plans import gold, silver
 from tripmart.sources.inline import inline_rows
 from tripmart.sources.trips import bronze_trips
@@ -61,7 +62,8 @@ def classify(spark, rows: list[dict]):
     raw = inline_rows(spark, data, RAW_DDL)
     zones = inline_rows(spark, ZONES, ZONE_DDL)
     bronze = bronze_trips(raw, 2025, "test")
-    return silver.classify_trips(bronze, zones, CFG, len(ZONES))
+    hashed = silver.hashed_trips(bronze)
+    return silver.classify_trips(hashed, duplicate_groups(hashed), zones, CFG, len(ZONES))
 
 
 def by_id(df) -> dict:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CLUSTER_KEYS = ("pickup_date_key", "pickup_zone_key", "source_record_hash")
 
@@ -23,16 +25,19 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, che
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(version)
-    copy = spark.read.parquet(version)
+    copy = spark.read.schema(df.schema).parquet(version).select(*df.columns)
     if check is not None:
         check(copy)
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
+    pointer = spark.createDataFrame([(version, df.schema.json())], "version string, layout string")
+    pointer.coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
     return copy
 
 
 def read_published(spark: SparkSession, path: str) -> DataFrame:
     """The version of a published dataset that is in use."""
-    return spark.read.parquet(spark.read.parquet(f"{path}/current").first()["version"])
+    version, layout = spark.read.parquet(f"{path}/current").first()
+    schema = StructType.fromJson(json.loads(layout))
+    return spark.read.schema(schema).parquet(version).select(*schema.names)
 
 
 def publish_split(classified: DataFrame, path: str, flag: str = "_is_quarantined", check=None) -> DataFrame:
