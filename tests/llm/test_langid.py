@@ -19,6 +19,16 @@ def test_held_out_accuracy(spark):
     assert got[0] > 0.99 and 0 <= got[1] <= got[2] <= 1
 
 
+def test_wrong_labels_do_not_win(spark):
+    """A tenth of the English sample carries another language's label; English texts keep theirs."""
+    docs = read_table(spark, SF, "documents")
+    wrong = (F.col("lang") == "en") & (F.xxhash64("doc_id") % 10 == 0)
+    noisy = docs.withColumn("lang", F.when(wrong, "fr").otherwise(F.col("lang")))
+    model = langid.fit(noisy, ~langid.held_out())
+    found = langid.identify(docs.filter(langid.held_out()), model).join(docs.select("doc_id", "lang"), "doc_id")
+    assert found.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0] > 0.98
+
+
 def test_odd_texts(docs_of, model):
     got = {r["doc_id"]: r for r in langid.identify(docs_of(ODD, extra=True), model).collect()}
     assert len(got) == len(ODD)

@@ -144,17 +144,37 @@ def fit(docs: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS) -> Model
         by_lang.setdefault(r["lang"], []).append(pair)
     idf = (np.log((1 + len(found)) / (1 + df)) + 1).astype(np.float32)
     blank = Model(idf, np.zeros((0, DIM), np.float32), (), 0.0)
-    centroids, languages, lows = [], [], [1.0]
+    centroids, languages, sample = [], [], []
     for lang in sorted(by_lang):
         counts = np.zeros((len(by_lang[lang]), DIM), dtype=np.int64)
         for row, (at, value) in zip(counts, by_lang[lang]):
             row[at] = value
-        x = blank.vectors(counts)
-        c = _k_means(x, CENTROIDS)
-        centroids.append(c)
-        languages += [lang] * len(c)
-        lows.append(float((x @ c.T).max(axis=1).min()))
-    return Model(idf, np.concatenate(centroids) if centroids else blank.centroids, tuple(languages), min(lows))
+        sample.append(blank.vectors(counts))
+        centroids.append(_k_means(sample[-1], CENTROIDS))
+        languages += [lang] * len(centroids[-1])
+    if not centroids:
+        return blank
+    c, of = np.concatenate(centroids), np.array(languages)
+    truth = np.repeat(np.array(sorted(by_lang)), [len(x) for x in sample])
+    near = np.concatenate([(x @ c.T).argmax(axis=1) for x in sample])
+    keep = _pure(near, truth, of)
+    floor = min(float((x @ c[keep].T).max(axis=1).min()) for x in sample)
+    return Model(idf, c[keep], tuple(of[keep].tolist()), floor)
+
+
+def _pure(near: np.ndarray, truth: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Centroids most of whose nearest sample texts have their language.
+
+    Wrong labels gather in centroids that lie among another language's texts;
+    those go, unless a language has no other.
+    """
+    right = np.array([(truth[near == j] == of[j]).mean() if (near == j).any() else 0.0 for j in range(len(of))])
+    keep = right > 0.5
+    for lang in set(of.tolist()):
+        own = np.flatnonzero(of == lang)
+        if not keep[own].any():
+            keep[own[right[own].argmax()]] = True
+    return keep
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -38,7 +38,7 @@ RULES = (
     Rule("too_many_words", "n_words > 1000000"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
     Rule("symbols", "10 * n_symbols > n_words"),
-    Rule("repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule("repeated_lines", "5 * n_dup_lines > 2 * n_lines"),
     Rule("few_letter_words", "10 * n_letter_words < 7 * n_words"),
     Rule("bullet_lines", "n_lines > 2 AND 10 * n_bullet_lines > 9 * n_lines"),
 )
