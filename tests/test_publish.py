@@ -50,6 +50,25 @@ def test_changed_input_gives_changed_answers(spark):
     assert after is not before and 0 < after.raw_trips.count() < rows
 
 
+def test_refresh_replaces_copies_and_a_failed_one_does_not(spark, monkeypatch):
+    import os
+
+    folder = tempfile.mkdtemp(prefix="lake-", dir="/tmp")
+    lake = Lake(spark, SMALL, RunConfig(**{**FIXTURE_CONFIG.__dict__, "shared_folder": folder}))
+    rows = lake.refresh().fact_trips.count()
+    first = set(os.listdir(f"{folder}/tables"))
+    lake.refresh()
+    second = set(os.listdir(f"{folder}/tables"))
+    assert not first & second and len(first) == len(second) and lake.fact_trips.count() == rows
+    from tripmart.plans import expectations
+
+    broken = [(lambda df: df, lambda cfg: {"never": "false"})]
+    monkeypatch.setitem(expectations._ENFORCED, "fact_trips", broken)
+    with pytest.raises(ExpectationError, match="never"):
+        lake.refresh()
+    assert set(os.listdir(f"{folder}/tables")) == second and lake.fact_trips.count() == rows
+
+
 @pytest.mark.parametrize(
     "layer, column, value, expectation",
     [

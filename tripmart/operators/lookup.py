@@ -37,9 +37,16 @@ def materialize(df: DataFrame, partition_by: tuple[str, ...] = (), folder: str |
     spark = df.sparkSession
     path = f"{(folder or checkpoint_dir(spark)).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-    if not partition_by:
-        return spark.read.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    copy = spark.read.schema(df.schema).parquet(path).select(*df.columns) if partition_by else spark.read.parquet(path)
+    copy._written_to = path
+    return copy
+
+
+def discard(copy: DataFrame) -> None:
+    """Delete the folder a materialised copy was written to."""
+    spark = copy.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(copy._written_to)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:

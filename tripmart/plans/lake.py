@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.config import FIXTURE_CONFIG, RunConfig
 from tripmart.operators.checks import enforce
 from tripmart.operators.dedup import duplicate_groups
-from tripmart.operators.lookup import materialize
+from tripmart.operators.lookup import discard, materialize
 from tripmart.plans import gold, silver
 from tripmart.sources import fixtures
 from tripmart.sources.sinks import clustered
@@ -31,6 +31,7 @@ class Lake:
         self.spark = spark
         self.sf_dir = sf_dir
         self.cfg = cfg
+        self._copies: list[DataFrame] = []
 
     @classmethod
     def of_run(cls, spark: SparkSession, sf_dir: str, cfg: RunConfig = FIXTURE_CONFIG) -> "Lake":
@@ -46,6 +47,8 @@ class Lake:
         state = fixtures.input_state(spark, sf_dir)
         held = _RUNS.get(key)
         if held is None or held[0] != state or held[1].spark is not spark:
+            if held is not None and held[1].spark is spark:
+                held[1].discard()
             _RUNS[key] = held = (state, cls(spark, sf_dir, cfg))
         return held[1]
 
@@ -56,12 +59,20 @@ class Lake:
     )
 
     def refresh(self) -> "Lake":
-        """Publish every layer anew; if a check fails, a new copy is not used and this run stays as it was."""
+        """Publish every layer anew and delete the copies it replaces.
+
+        If a check fails, the new copies are deleted and this run stays as it was.
+        """
         fresh = Lake(self.spark, self.sf_dir, self.cfg)
-        for name in self.PUBLISHED:
-            getattr(fresh, name)
-        for name in ("zones_classified", "silver_zones", "quarantine_zones"):
-            fresh.enforce_on(name, getattr(fresh, name))
+        try:
+            for name in self.PUBLISHED:
+                getattr(fresh, name)
+            for name in ("silver_zones", "quarantine_zones"):
+                fresh.enforce_on(name, getattr(fresh, name))
+        except Exception:
+            fresh.discard()
+            raise
+        self.discard()
         self.__dict__.clear()
         self.__dict__.update(fresh.__dict__)
         return self
@@ -69,9 +80,16 @@ class Lake:
     def publish(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write a layer, check the written copy, and only then hand it out."""
         copy = materialize(df, partition_by, self.cfg.shared_folder)
+        self._copies.append(copy)
         self.enforce_on(name, copy)
         return copy
 
+    def discard(self) -> None:
+        """Delete the written copies of this run; DataFrames over them cannot be read any more."""
+        for copy in self._copies:
+            discard(copy)
+        self._copies.clear()
+
     def enforce_on(self, name: str, copy: DataFrame) -> None:
         """Raise if the copy of a layer breaks a rule that must fail the run (EX3-EX8)."""
         from tripmart.plans.expectations import enforced
