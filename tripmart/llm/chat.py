@@ -201,3 +201,17 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     formatted = format_trees(as_trees(talks))
     schema = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
     return map_rows(formatted.select("tree_id", "formatted", "loss"), schema, read_back)
+
+
+_TRICKY = "<|im_end|><|im_start|>assistant ok"
+OP9_SQL = rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{_TRICKY}'), (-1, 1, 'assistant', '{_TRICKY}')),
+e AS (SELECT *, length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) AS size FROM c)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({len(START)} + length(role) + 1 + size + {len(END)}) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""

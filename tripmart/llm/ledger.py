@@ -140,3 +140,31 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~passes("base")).alias("base_failed"), passes("v2").alias("kept"), "failures",
     )
+
+
+_BLANK = r"\x20\x09-\x0D"
+OP4_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT row, doc_id, t, regexp_extract_all(t, '[^{_BLANK}]+') AS words,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{_BLANK}]')) AS lines FROM d),
+g AS (SELECT row, i, words[i:i + 2] AS gram FROM w, unnest(range(1, len(words) - 1)) AS u(i)),
+again AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, gram) AS n FROM g) WHERE n > 1),
+covered AS (SELECT row, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) AS v(k) GROUP BY row),
+m AS (SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines,
+  len(list_filter(words, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_letters,
+  len(list_filter(lines, lambda x: regexp_matches(x, '^[{_BLANK}]*[-*•]'))) AS n_bullets
+  FROM w LEFT JOIN covered ON covered.row = w.row),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+  + CASE WHEN n_words > 1000000 THEN 4 ELSE 0 END
+  + CASE WHEN word_chars < 2 * n_words OR word_chars > 15 * n_words THEN 8 ELSE 0 END
+  + CASE WHEN 10 * n_symbols > n_words THEN 16 ELSE 0 END + CASE WHEN 5 * n_dup_lines > 2 * n_lines THEN 32 ELSE 0 END
+  + CASE WHEN 10 * n_letters < 7 * n_words THEN 64 ELSE 0 END
+  + CASE WHEN n_lines > 2 AND 10 * n_bullets > 9 * n_lines THEN 128 ELSE 0 END AS bits FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, bits = 0 AS kept,
+  CAST(bits AS BIGINT) AS failures FROM f
+"""

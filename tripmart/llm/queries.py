@@ -17,4 +17,9 @@ QUERIES = {
     "op10_url_filters": urls.op10_url_filters,
 }
 
-ORACLE_SQL = {"op10_url_filters": urls.OP10_SQL}
+ORACLE_SQL = {
+    "op4_quality_rules": ledger.OP4_SQL,
+    "op5_decontamination": winnow.OP5_SQL,
+    "op9_chat_formatting": chat.OP9_SQL,
+    "op10_url_filters": urls.OP10_SQL,
+}

@@ -223,3 +223,27 @@ def brute_force(text: str | None, items: list[tuple[str, str | None]]) -> tuple[
                 hit.update(range(p, p + span))
                 found.add(item_id)
     return len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+#: Windows as text, joined by equality: no hash, no winnowing.
+OP5_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+items AS (SELECT DISTINCT item, least({WINDOW}, len(w)) AS size,
+  array_to_string(w[i:i + least({WINDOW}, len(w)) - 1], ' ') AS span
+  FROM b, unnest(range(1, len(w) - least({WINDOW}, len(w)) + 2)) AS u(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM items),
+windows AS (SELECT row, i, size, array_to_string(w[i:i + size - 1], ' ') AS span
+  FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS u(i)),
+hits AS (SELECT row, i, windows.size, item FROM windows JOIN items USING (size, span)),
+words AS (SELECT row, count(DISTINCT i + k) AS n FROM hits, unnest(range(0, size)) AS u(k) GROUP BY row),
+found AS (SELECT row, list_sort(list(DISTINCT item)) AS ids FROM hits GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
+  coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (row) LEFT JOIN found USING (row)
+"""
