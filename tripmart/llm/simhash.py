@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.llm.common import map_rows, read_table, slices
-from tripmart.operators.lookup import materialize
+from tripmart.operators.lookup import discard, materialize
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 #: Distinct fingerprints up to which a bucket is compared pair by pair.
@@ -127,9 +127,10 @@ def components(links: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``links``; ``root`` is the component's smallest node.
 
     Alternates large stars and small stars on the edge list until it stops
-    changing: O(log n) rounds, each written to the shared folder, so a lost
-    executor costs one round and no lineage builds up. Only minima per node
-    are gathered, never neighbour lists.
+    changing: O(log n) rounds, each written to the shared folder and deleted
+    when the next one stands, so a lost executor costs one round and neither
+    lineage nor copies build up. Only minima per node are gathered, never
+    neighbour lists.
     """
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     total = None
@@ -138,10 +139,13 @@ def components(links: DataFrame) -> DataFrame:
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         large = materialize(large)
+        before = edges
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = materialize(small.filter("u <> v").distinct())
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        discard(large)
+        discard(before)
         if state == total:
             break
         total = state
@@ -151,11 +155,12 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Fingerprint and component of every row: ``(doc_id, fp, component_id)``.
+    """Fingerprint and component of every row: ``(doc_id, fp, component_id, root)``.
 
     Equal texts collapse to one fingerprint before anything is compared.
     ``component_id`` is the smallest ``doc_id`` reachable over links (null
-    only if no reachable row has an id). Null and empty texts have
+    only if no reachable row has an id), ``root`` the component's smallest
+    fingerprint, which tells components apart where ids are repeated. Null and empty texts have
     fingerprint zero and are linked like any other; repeated rows come back
     repeated; an empty table gives an empty one. Only ``doc_id`` and ``text``
     are read.
@@ -166,8 +171,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     rooted = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = materialize(rooted.select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = rooted.join(least, "root").select("fp", "component_id", "root")
+    return rows.join(classes, "fp").select("doc_id", "fp", "component_id", "root")
 
 
 def hex_of(fp: str) -> Column:
@@ -188,7 +193,7 @@ def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RAD
     """
     cols = docs.columns
     found = materialize(near_duplicates(docs, shingle, radius))
-    winners = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("orphan")).agg(
+    winners = found.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "fp")).alias("w")
     )
     winners = winners.select(F.col("w.doc_id").alias("__id"), F.col("w.fp").alias("__fp"))
