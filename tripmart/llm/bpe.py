@@ -24,7 +24,7 @@ from tripmart.llm.common import map_rows, read_table
 from tripmart.llm.tokencount import byte_symbols
 
 #: Bytes a window holds besides the lookahead, and pieces a worker remembers.
-WINDOW, REMEMBERED, SHORT = 1024, 400_000, 64
+WINDOW, REMEMBERED, SHORT = 1024, 150_000, 64
 #: The pre-token pattern of the format (fixed value), with Unicode white space spelled out.
 _PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -59,8 +59,6 @@ class Transducer:
     """Tables of a byte-level BPE file."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, symbols = spec["model"]["vocab"], byte_symbols()
@@ -81,8 +79,7 @@ class Transducer:
             [(vocab[a], vocab[b]) for a, b in pairs], [vocab[a + b] for a, b in pairs], [len(b) for b in self.bytes_of]
         )
         self.window = max(WINDOW, max(map(len, self.bytes_of)))
-        self.library_split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
-        self.seen: dict[str, bytes] = {}
+        self.path, self.library_split = path, None
 
     def merge(self, raw: bytes) -> list[int]:
         """BPE of bytes that are held whole."""
@@ -150,12 +147,16 @@ class Transducer:
 
     def pieces(self, text: str) -> list[str]:
         if not text.isascii() and _RARE.search(text):
+            if self.library_split is None:
+                from tokenizers import Tokenizer
+
+                self.library_split = Tokenizer.from_file(self.path).pre_tokenizer.pre_tokenize_str
             return [text[a:b] for _, (a, b) in self.library_split(text)]
         return _PIECES.findall(text)
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        out, seen = [], self.seen
+    def encode(self, text: str | None, seen: dict[str, bytes]) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers; ``seen`` remembers pieces, up to a bound."""
+        out = []
         if len(seen) > REMEMBERED:
             seen.clear()
         for part in self.cut.split(text or ""):
@@ -197,9 +198,11 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     empty one. Only ``doc_id`` and ``text`` are read.
     """
 
+    seen: dict[str, bytes] = {}  # of one task: it goes when the task ends
+
     def run(cols: dict) -> dict:
         t = transducer(path)
-        return {"doc_id": cols["doc_id"], "ids": [t.encode(x) for x in cols["text"]]}
+        return {"doc_id": cols["doc_id"], "ids": [t.encode(x, seen) for x in cols["text"]]}
 
     return map_rows(docs.select("doc_id", "text"), "doc_id bigint, ids binary", run)
 

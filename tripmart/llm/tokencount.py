@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import map_rows, read_table
 
 LIMIT = 2048
-#: Distinct chunks a worker remembers; the memory is emptied when full, the counts stay the same.
-REMEMBERED = 400_000
+#: Distinct chunks a task remembers; the memory is emptied when full, the counts stay the same.
+REMEMBERED = 150_000
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 NONE = np.iinfo(np.int64).max
@@ -58,7 +59,6 @@ class Merger:
         library = Tokenizer.from_file(path)
         self.normalize, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.back = {c: b for b, c in enumerate(byte_symbols())}
-        self.seen: dict[bytes, int] = {}
 
     def pre_tokens(self, chunk: bytes) -> list[bytes]:
         if chunk.isascii():
@@ -101,23 +101,22 @@ class Merger:
         ranks = np.append(np.where(known, self.ranks[slot], NONE), NONE)
         return ranks, np.append(self.made[slot], 0)
 
-    def count(self, texts: list[str | None]) -> list[int]:
-        """Tokens of whole texts; special strings count one each."""
+    def count(self, texts: list[str | None], seen: dict[bytes, int]) -> list[int]:
+        """Tokens of whole texts; special strings count one each. ``seen`` remembers chunks."""
         split, extra = [], []
         for text in texts:
             text = text or ""
             special = self.specials.findall(text) if "<|" in text else ()
             extra.append(len(special))
             split.append((self.specials.sub("\n", text) if special else text).encode().split())
-        if len(self.seen) > REMEMBERED:
-            self.seen.clear()
-        fresh = list({c for chunks in split for c in chunks if c not in self.seen})
+        if len(seen) > REMEMBERED:
+            seen.clear()
+        fresh = list({c for chunks in split for c in chunks if c not in seen})
         for i in range(0, len(fresh), 20_000):
-            self._learn(fresh[i : i + 20_000])
-        seen = self.seen
+            seen.update(self._counted(fresh[i : i + 20_000]))
         return [sum([seen[c] for c in chunks]) + n for chunks, n in zip(split, extra)]
 
-    def _learn(self, chunks: list[bytes]) -> None:
+    def _counted(self, chunks: list[bytes]) -> Iterator[tuple[bytes, int]]:
         words, owner = [], []
         for i, chunk in enumerate(chunks):
             pieces = self.pre_tokens(chunk)
@@ -126,7 +125,7 @@ class Merger:
         counts = np.zeros(len(chunks), dtype=np.int64)
         if words:
             np.add.at(counts, owner, self.merge_counts(words))
-        self.seen.update(zip(chunks, counts.tolist()))
+        return zip(chunks, counts.tolist())
 
 
 def _every_other(at: np.ndarray) -> np.ndarray:
@@ -155,8 +154,10 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     gives an empty one. Only ``doc_id`` and ``text`` are read.
     """
 
+    seen: dict[bytes, int] = {}
+
     def run(cols: dict) -> dict:
-        counts = merger(path).count(cols["text"])
+        counts = merger(path).count(cols["text"], seen)
         sizes = [len((t or "").encode()) for t in cols["text"]]
         return {"doc_id": cols["doc_id"], "n_bytes": sizes, "n_tokens": counts, "over_limit": [n > limit for n in counts]}
 

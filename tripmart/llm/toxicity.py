@@ -83,6 +83,10 @@ def features(text: str | None, weights: dict[str, float], memory: dict[str, tupl
     ]
 
 
+#: What is known of most words: nothing. They share one tuple.
+PLAIN = (0.0, 0.0, False, False, False, False)
+
+
 def _word(word: str, weights: dict[str, float]) -> tuple:
     keys = keys_of(word)
     core = keys[0] if keys else ""
@@ -90,11 +94,12 @@ def _word(word: str, weights: dict[str, float]) -> tuple:
     odd = any(c.isalpha() for c in body) and any(c in "0134578@$!*" for c in body)
     drawn = any(a == b == c for a, b, c in zip(core, core[1:], core[2:]))
     stem = max([weights.get(k, 0.0) for k in keys[1:]], default=0.0)
-    return weights.get(core, 0.0), stem, core in SECOND_PERSON, len(body) > 2 and body.isupper(), odd, drawn
+    known = weights.get(core, 0.0), stem, core in SECOND_PERSON, len(body) > 2 and body.isupper(), odd, drawn
+    return known if any(known) else PLAIN
 
 
 def feature_rows(texts: list[str | None], weights: dict[str, float], memory: dict[str, tuple]) -> np.ndarray:
-    if len(memory) > 400_000:  # what is remembered of words is bounded; forgetting changes nothing
+    if len(memory) > 150_000:  # what is remembered of words is bounded; forgetting changes nothing
         memory.clear()
     return np.array([features(t, weights, memory) for t in texts], dtype=np.float64).reshape(-1, len(FEATURES))
 
@@ -218,16 +223,23 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample_rows: int = SA
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[bool, bool], Counter] = {}
-        for piece in slices(batches, 4 << 20):
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for (half, toxic), of in seen.items():
+                n = list(of.values())
+                zero = [0] * len(n)
+                cols = [[half] * len(n), list(of), n if toxic else zero, zero if toxic else n]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["half", "key", "toxic", "clean"])
+            seen.clear()
+
+        for piece in slices(batches, 1 << 20):
             for half, text, toxic in zip(*(piece.column(i).to_pylist() for i in range(3))):
                 of = seen.setdefault((half, bool(toxic)), Counter())
                 of[""] += 1
                 of.update({k for w in set((text or "").split()) for k in keys_of(w)})
-        for (half, toxic), of in seen.items():
-            n = list(of.values())
-            zero = [0] * len(n)
-            cols = [[half] * len(n), list(of), n if toxic else zero, zero if toxic else n]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["half", "key", "toxic", "clean"])
+            if sum(map(len, seen.values())) > 150_000:  # a bounded memory: partial counts go on
+                yield from rows()
+        yield from rows()
 
     counted = rows.mapInArrow(count, "half boolean, key string, toxic bigint, clean bigint")
     counted = counted.groupBy("half", "key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
