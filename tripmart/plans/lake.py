@@ -9,6 +9,7 @@ copy of an earlier refresh stays in use.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +19,11 @@ from tripmart.operators.checks import enforce
 from tripmart.operators.dedup import duplicate_groups
 from tripmart.operators.lookup import discard, materialize
 from tripmart.plans import gold, silver
+from tripmart.session import checkpoint_dir
 from tripmart.sources import fixtures
 from tripmart.sources.sinks import clustered
 from tripmart.sources.trips import bronze_trips
-from tripmart.sources.zones import stamp_zone_lookup_lineage
+from tripmart.sources.zones import read_zones, stamp_zone_lookup_lineage, write_zones
 
 _RUNS: dict[tuple, tuple[str, "Lake"]] = {}
 
@@ -109,11 +111,20 @@ class Lake:
         bronze = bronze_trips(self.raw_trips, self.cfg.expected_pickup_year, self.cfg.trip_source_table)
         return self.publish("bronze_trips", bronze)
 
+    @cached_property
+    def raw_zones(self) -> DataFrame:
+        """The bound zone lookup, written as CSV and scanned as the feed is: fixed schema, header check."""
+        folder = self.cfg.shared_folder or checkpoint_dir(self.spark)
+        path = f"{folder.rstrip('/')}/tables/{uuid.uuid4().hex}"
+        write_zones(fixtures.raw_zones(self.spark, self.sf_dir), path)
+        zones = read_zones(self.spark, path)
+        zones._written_to = path
+        self._copies.append(zones)
+        return zones
+
     @cached_property
     def bronze_zones(self) -> DataFrame:
-        return stamp_zone_lookup_lineage(
-            fixtures.raw_zones(self.spark, self.sf_dir), self.cfg.zone_source_path
-        )
+        return stamp_zone_lookup_lineage(self.raw_zones, self.cfg.zone_source_path)
 
     # -- Silver ---------------------------------------------------------------
     @cached_property

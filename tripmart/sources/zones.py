@@ -36,6 +36,12 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_zones(df: DataFrame, path: str) -> None:
+    """Write a lookup as the CSV that :func:`read_zones` reads; blanks inside texts are kept."""
+    blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.select(*ZONE_LOOKUP_SCHEMA.names).write.options(header="true", **blanks).csv(path)
+
+
 def stamp_zone_lookup_lineage(df: DataFrame, source_path: str) -> DataFrame:
     return df.withColumns(
         {
