@@ -40,7 +40,7 @@ FREQUENT, LONGEST = 1 << 18, 64
 #: One training text in so many fits the first weights instead of the tables, about so many texts at most.
 WEIGHT_SHARE, WEIGHT_ROWS, WEIGHT_ROUNDS = 64, 400, 3
 CONTEXTS, GATES, SHORT_WORD = 3, 16, 3
-LANE, STEPS, RATE, ODDS = 4096, 64, 0.015, 15.5
+LANE, STEPS, RATE, ODDS = 2048, 64, 0.015, 15.5
 BATCH_BYTES, CUT_BYTES = 2 << 20, 1 << 18
 RAW_NODE = 255
 END = b"\n"
