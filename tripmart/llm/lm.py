@@ -36,7 +36,7 @@ TABLE_BITS, CHUNK_BITS = 22, 16
 PAIR_CODES = 2048
 #: Tasks hold the counts of words that make up at least one in so many tokens (so there are no more
 #: such words than that) and are at most so long; the counts of all other words are joined.
-FREQUENT, LONGEST = 1 << 18, 64
+FREQUENT, LONGEST = 1 << 20, 64
 #: One training text in so many fits the first weights instead of the tables, about so many texts at most.
 WEIGHT_SHARE, WEIGHT_ROWS, WEIGHT_ROUNDS = 64, 400, 3
 CONTEXTS, GATES, SHORT_WORD = 3, 16, 3
