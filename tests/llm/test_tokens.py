@@ -70,6 +70,12 @@ def test_decoder_state_spans_steps():
     assert t.decode(broken.tobytes(), step=1) == Tokenizer.from_file(BYTE).decode(broken.tolist(), skip_special_tokens=False)
 
 
+def test_one_pass_answers_as_two(docs_of):
+    docs = docs_of(TEXTS[:120])
+    two = {r["doc_id"]: r for r in bpe.decode(bpe.encode(docs, BYTE), BYTE).collect()}
+    assert {r["doc_id"]: r for r in bpe.transcode(docs, BYTE).collect()} == two
+
+
 def test_digests_of_empty_tables(docs_of):
     assert bpe.round_trip(docs_of([])).count() == 0
     assert {r["n_tokens"] for r in bpe.round_trip(docs_of([None, ""])).collect()} == {0}

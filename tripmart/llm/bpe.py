@@ -217,12 +217,28 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return map_rows(encoded.select("doc_id", "ids"), "doc_id bigint, ids binary, text string", run)
 
 
+def transcode(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id, ids, text``: every row encoded and its ids decoded again, in one pass over the texts.
+
+    Answers as :func:`encode` followed by :func:`decode`, with one Python
+    worker for each running task instead of two.
+    """
+    seen: dict[str, bytes] = {}
+
+    def run(cols: dict) -> dict:
+        t = transducer(path)
+        ids = [t.encode(x, seen) for x in cols["text"]]
+        return {"doc_id": cols["doc_id"], "ids": ids, "text": [t.decode(x) for x in ids]}
+
+    return map_rows(docs.select("doc_id", "text"), "doc_id bigint, ids binary, text string", run)
+
+
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Digests of the encoded and the decoded form of every row."""
     import public_tokenizers
 
     path = path or public_tokenizers.path("byte_bpe_50k.json")
-    return decode(encode(docs, path), path).select(
+    return transcode(docs, path).select(
         "doc_id", F.expr("cast(length(ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
