@@ -93,3 +93,19 @@ def test_without_training_rows_and_empty(docs_of):
     got = lm.score(docs, F.lit(False), **SMALL).collect()
     assert len(got) == 2 and all(r["train_tokens"] == 0 and r["base_score"] == 0.0 for r in got)
     assert lm.score(docs.limit(0), F.lit(True), **SMALL).count() == 0
+
+
+def test_every_training_text_teaches_tables_and_weights(docs_of, monkeypatch):
+    """The share that fits the weights is as large as it is, and the tables count it afterwards."""
+    monkeypatch.setattr(lm, "WEIGHT_SHARE", 2, raising=True)
+    texts, fitted = _texts(1200), []
+    learn = lm.learn_weights
+    monkeypatch.setattr(lm, "learn_weights", lambda sample, model: fitted.append(sample.count()) or learn(sample, model))
+    docs = docs_of(texts)
+    model = lm.train_model(docs, F.lit(True), lm.gather_counts(docs), 18)
+    counts = [np.zeros(2 << 18, np.uint32) for _ in range(lm.CONTEXTS)]
+    _, bit, slots = lm.decisions(model.codes, [lm.stream_of(lm.words_of(t)) for t in texts])
+    for t, s, found in zip(counts, slots, model.tables):
+        np.add.at(t, (s.astype(np.int64) << 1) | bit, np.uint32(1))
+        assert (found == lm.pack(t[0::2], t[1::2])).all()
+    assert fitted == [docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).count()] and fitted[0] > 400

@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import _powers, crc_mod, hash_share, map_rows, read_table, slices
-from tripmart.operators.lookup import materialize
+from tripmart.llm.common import _powers, crc_mod, map_rows, read_table, slices
+from tripmart.operators.lookup import discard, materialize
 
 #: Slots of each context's table (as a power of two) and of one chunk that is summed at a time.
 TABLE_BITS, CHUNK_BITS = 22, 16
@@ -37,8 +37,8 @@ PAIR_CODES = 2048
 #: Tasks hold the counts of words that make up at least one in so many tokens (so there are no more
 #: such words than that) and are at most so long; the counts of all other words are joined.
 FREQUENT, LONGEST = 1 << 20, 64
-#: One training text in so many fits the first weights instead of the tables, about so many texts at most.
-WEIGHT_SHARE, WEIGHT_ROWS, WEIGHT_ROUNDS = 64, 400, 3
+#: One training text in so many fits the first weights before the tables count it.
+WEIGHT_SHARE, WEIGHT_ROUNDS = 64, 3
 CONTEXTS, GATES, SHORT_WORD = 3, 16, 3
 LANE, STEPS, RATE, ODDS = 2048, 64, 0.015, 15.5
 BATCH_BYTES, CUT_BYTES = 2 << 20, 1 << 18
@@ -328,8 +328,8 @@ def learn_codes(counts: DataFrame, pair_codes: int = PAIR_CODES, table_bits: int
     return build_codes(singles, pairs, table_bits)
 
 
-def learn_tables(train: DataFrame, codes: Codes) -> list[np.ndarray]:
-    """The hashed tables, summed over all tasks: ``CONTEXTS`` times two bytes for each slot, a fixed size."""
+def count_chunks(train: DataFrame, codes: Codes) -> DataFrame:
+    """Counts of the hashed tables by task, in chunks: ``k, chunk, counts``."""
     sent = train.sparkSession.sparkContext.broadcast(codes)
     size, step = 1 << codes.table_bits, 2 << min(CHUNK_BITS, codes.table_bits)
 
@@ -346,12 +346,19 @@ def learn_tables(train: DataFrame, codes: Codes) -> list[np.ndarray]:
                     blob = zlib.compress(part.tobytes(), 1)
                     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([c // step], pa.int32()), pa.array([blob], pa.binary())], names=["k", "chunk", "counts"])
 
+    return train.select("text").mapInArrow(count, "k int, chunk int, counts binary")
+
+
+def sum_chunks(chunks: DataFrame, table_bits: int) -> DataFrame:
+    """Chunks of the same place summed, as 64-bit counts."""
+    step = 2 << min(CHUNK_BITS, table_bits)
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, None
 
         def close() -> pa.RecordBatch:
-            packed = pack(held[0::2], held[1::2]).tobytes()
-            return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([packed], pa.binary())], names=["k", "chunk", "odds"])
+            blob = zlib.compress(held.tobytes(), 1)
+            return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([blob], pa.binary())], names=["k", "chunk", "counts"])
 
         for batch in batches:
             for k, c, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -359,14 +366,26 @@ def learn_tables(train: DataFrame, codes: Codes) -> list[np.ndarray]:
                     if key is not None:
                         yield close()
                     key, held = (k, c), np.zeros(step, dtype=np.uint64)
-                held += np.frombuffer(zlib.decompress(blob), dtype=np.uint32)
+                raw = zlib.decompress(blob)
+                held += np.frombuffer(raw, dtype=np.uint32 if len(raw) == 4 * step else np.uint64)
         if key is not None:
             yield close()
 
-    chunks = train.select("text").mapInArrow(count, "k int, chunk int, counts binary")
-    dealt = chunks.repartition("k", "chunk").sortWithinPartitions("k", "chunk")
-    tables = [np.zeros(size, dtype=np.uint16) for _ in range(CONTEXTS)]
-    for r in dealt.mapInArrow(add, "k int, chunk int, odds binary").toLocalIterator():
+    return chunks.repartition("k", "chunk").sortWithinPartitions("k", "chunk").mapInArrow(add, chunks.schema)
+
+
+def learn_tables(summed: DataFrame, table_bits: int) -> list[np.ndarray]:
+    """The hashed tables from summed chunks: ``CONTEXTS`` times two bytes for each slot, a fixed size."""
+
+    def odds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, blob in enumerate(batch.column(2).to_pylist()):
+                held = np.frombuffer(zlib.decompress(blob), dtype=np.uint64)
+                packed = pa.array([pack(held[0::2], held[1::2]).tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), packed], names=["k", "chunk", "odds"])
+
+    tables = [np.zeros(1 << table_bits, dtype=np.uint16) for _ in range(CONTEXTS)]
+    for r in summed.mapInArrow(odds, "k int, chunk int, odds binary").toLocalIterator():
         part = np.frombuffer(r["odds"], dtype=np.uint16)
         tables[r["k"]][r["chunk"] * len(part) : (r["chunk"] + 1) * len(part)] = part
     return tables
@@ -381,7 +400,7 @@ def pack(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 
 def learn_weights(sample: DataFrame, model: Model) -> np.ndarray:
-    """Weights after a few passes over a bounded sample that the tables have not counted."""
+    """Weights after a few passes over texts that the tables have not counted: the mean over all slices by their bytes."""
     sent = sample.sparkSession.sparkContext.broadcast(model)
 
     def run(cols: dict) -> dict:
@@ -400,14 +419,22 @@ def learn_weights(sample: DataFrame, model: Model) -> np.ndarray:
 
 
 def train_model(docs: DataFrame, train: Column, counts: DataFrame, table_bits: int = TABLE_BITS) -> Model:
-    """Codes, tables and first weights from the training rows of ``docs``."""
+    """Codes, tables and first weights from the training rows of ``docs``.
+
+    The weights are fitted over a share of the texts against tables of all
+    others; then the tables count that share too.
+    """
     rows = docs.select("doc_id", "text").filter(train)
     apart = F.pmod(F.xxhash64("doc_id"), F.lit(WEIGHT_SHARE)) == 0
+    held = materialize(rows.filter(apart).select("text"))
     codes = learn_codes(counts, table_bits=table_bits)
-    model = Model(codes, learn_tables(rows.filter(~apart), codes), first_weights())
-    held = rows.filter(apart)
-    share = min(1.0, WEIGHT_ROWS / max(1, held.select("doc_id").count()))
-    model.weights = learn_weights(held.filter(hash_share("doc_id", "weights") < share), model)
+    others = materialize(sum_chunks(count_chunks(rows.filter(~apart), codes), table_bits))
+    model = Model(codes, learn_tables(others, table_bits), first_weights())
+    model.weights = learn_weights(held, model)
+    everything = sum_chunks(others.unionByName(count_chunks(held, codes)), table_bits)
+    model.tables = learn_tables(everything, table_bits)
+    discard(others)
+    discard(held)
     return model
 
 
