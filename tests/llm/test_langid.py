@@ -62,3 +62,19 @@ def test_filter_keeps_columns(docs_of, model):
     docs = docs_of(["the and of the thing", "12 34", None], extra=True)
     kept = langid.keep_identified(docs, model)
     assert kept.schema == docs.schema and [r["doc_id"] for r in kept.collect()] == [0]
+
+
+def test_labelled_texts_without_letters_do_not_stop_rejection(spark, docs_of, model):
+    """Null, empty and digits-only training texts with a language; texts of unlearned languages are still rejected."""
+    docs = read_table(spark, SF, "documents")
+    odd = docs_of([t for t in (None, "", "12 345", " \n") for _ in range(30)], first=10**9).select(*docs.columns)
+    spoiled = langid.fit(docs.unionByName(odd), ~langid.held_out())
+    unlearned = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto. " * 2,
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem. " * 2,
+        "Съешь же ещё этих мягких французских булок да выпей чаю " * 5,
+    ]
+    assert spoiled.predict(unlearned)[2] == [True] * 3
+    assert spoiled.languages == model.languages and (spoiled.floors == model.floors).all()
+    known = langid.identify(docs.filter(langid.held_out()), spoiled).filter("lang_pred <> 'und'")
+    assert known.agg(F.avg(F.col("rejected").cast("int"))).first()[0] < 0.01

@@ -3,11 +3,13 @@
 Texts become TF-IDF vectors of hashed byte 2- and 3-grams, scaled to length
 one. Each language has several centroids, found by spherical k-means over a
 bounded sample; a text takes the language of the centroid of highest cosine,
-and is rejected when it is farther from it than sample texts ever are.
+and is rejected when it is much farther from it than held-out texts of that
+language, and pieces of them, with about as many n-grams are.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,8 +24,12 @@ DIM = 1 << DIM_BITS
 UNKNOWN = "und"
 #: Bounds of the training sample, of the languages learned (the most frequent), and of a language's centroids.
 SAMPLE_ROWS, LANGUAGES, CENTROIDS, ROUNDS = 2000, 256, 4, 12
-#: A text is rejected below this share of the lowest cosine of any sample text to its nearest centroid.
-SLACK = 0.25
+#: A text is rejected below this share of a low quantile of the held-out cosines of its language and size.
+SLACK, QUANTILE = 0.4, 0.01
+#: One sample text in so many is held out for that; sizes are powers of two of n-grams; fewer cosines than LEAST tell nothing.
+FOLDS, SIZES, LEAST = 5, DIM_BITS + 1, 20
+#: Texts with an n-gram at all: one ASCII letter, or one letter or sign beyond ASCII.
+HAS_GRAMS = r"[A-Za-z]|[^\x00-\x7F]"
 _LETTER = regex.compile(r"\p{L}")
 #: ASCII letters fold, other ASCII characters part n-grams as one blank.
 _FOLD = bytes(
@@ -64,14 +70,18 @@ class Model:
     idf: np.ndarray  # DIM
     centroids: np.ndarray  # centroids x DIM, length one
     languages: tuple[str, ...]  # of each centroid
-    floor: float  # lowest cosine of a sample text to its nearest centroid
+    floors: np.ndarray  # centroids x SIZES, cosines below which a text is rejected
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         x = np.log1p(counts, dtype=np.float32) * self.idf
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
     def cosines(self, texts: list[str | None]) -> np.ndarray:
-        cos = np.zeros((len(texts), len(self.languages)), np.float32)
+        return self.measured(texts)[0]
+
+    def measured(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines to all centroids, and the size class, of each text."""
+        cos, sizes = np.zeros((len(texts), len(self.languages)), np.float32), np.zeros(len(texts), np.int64)
         lengths = [len(t or "") for t in texts]
         start = 0
         while start < len(texts):
@@ -79,23 +89,34 @@ class Model:
             while stop < len(texts) and stop - start < GROUP_ROWS and (stop == start or held + lengths[stop] <= GROUP_BYTES):
                 held += lengths[stop]
                 stop += 1
-            cos[start:stop] = self.vectors(term_counts(texts[start:stop])) @ self.centroids.T
+            counts = term_counts(texts[start:stop])
+            cos[start:stop], sizes[start:stop] = self.vectors(counts) @ self.centroids.T, _size(counts)
             start = stop
-        return cos
+        return cos, sizes
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
         """Language, cosine to its nearest centroid, and whether the text is rejected, for each text."""
         if not texts or not self.languages:
             return [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
-        cos = self.cosines(texts)
+        cos, sizes = self.measured(texts)
         best = cos.argmax(axis=1)
         top = np.clip(cos[np.arange(len(texts)), best], 0.0, 1.0)
-        far = top < SLACK * self.floor
+        far = top < self.floors[best, sizes]
         lettered = [bool(t) and _LETTER.search(t) is not None for t in texts]
         langs = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), lettered)]
         return langs, [float(s) if ok else 0.0 for s, ok in zip(top, lettered)], [bool(f) or not ok for f, ok in zip(far, lettered)]
 
 
+def _size(counts: np.ndarray) -> np.ndarray:
+    """Size classes: the power of two below the number of different n-grams."""
+    return np.log2(np.maximum((counts > 0).sum(axis=1), 1)).astype(np.int64)
+
+
+def _pieces(text: str) -> list[str]:
+    """A text and its beginnings of 8, 16, 32, ... characters."""
+    return [text[: 8 << i] for i in range(SIZES) if 8 << i < len(text)] + [text]
+
+
 def _k_means(x: np.ndarray, k: int) -> np.ndarray:
     """Spherical k-means, started from the text nearest the mean and then the farthest ones."""
     centres = [x[(x @ x.mean(axis=0)).argmax()]]
@@ -115,51 +136,90 @@ def fit(docs: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS) -> Model
     """Centroids from a bounded sample: ``sample_rows`` over all languages, the same number of each.
 
     The sample is the rows of smallest id hash of each language, chosen over
-    the narrow columns; texts are read, and turned into counts, for them only.
+    the narrow columns; texts are turned into counts for them only. A text
+    without n-grams teaches nothing and is left out before.
     """
-    named = docs.select("doc_id", "lang").filter(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    named = docs.filter(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(HAS_GRAMS)).select("doc_id", "lang")
     by_size = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     each = max(1, sample_rows // max(1, len(by_size)))
     named = named.filter(F.col("lang").isin([r["lang"] for r in by_size]))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = named.distinct().withColumn("at", F.row_number().over(order)).filter(F.col("at") <= each).drop("at")
-    rows = docs.select("doc_id", "lang", "text").filter(train).join(F.broadcast(picked), ["doc_id", "lang"], "left_semi")
+    rows = docs.select("doc_id", "lang", "text").filter(train & F.col("text").rlike(HAS_GRAMS))
+    rows = rows.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi")
     rows = rows.dropDuplicates(["doc_id", "lang"]).select("lang", "text")
 
     def sparse(cols: dict) -> dict:
-        at, value = [], []
-        for t in cols["text"]:
-            counts = term_counts([t])[0]
-            hot = np.flatnonzero(counts)
-            at.append(hot.astype("<i4").tobytes())
-            value.append(counts[hot].astype("<i4").tobytes())
-        return {"lang": cols["lang"], "at": at, "value": value}
-
-    found = map_rows(rows, "lang string, at binary, value binary", sparse).orderBy("lang", "at", "value").collect()
-    by_lang: dict[str, list] = {}
+        """Counts of every text (fold -1 where the text is held out, else 0), and of the pieces of held-out ones (fold 1)."""
+        out: dict = {"lang": [], "fold": [], "at": [], "value": []}
+        for lang, t in zip(cols["lang"], cols["text"]):
+            held = zlib.crc32(t.encode()) % FOLDS == 0
+            for fold, piece in [(-1 if held else 0, t)] + [(1, p) for p in _pieces(t) if held]:
+                counts = term_counts([piece])[0]
+                hot = np.flatnonzero(counts)
+                if len(hot):
+                    for name, v in zip(out, (lang, fold, hot.astype("<i4").tobytes(), counts[hot].astype("<i4").tobytes())):
+                        out[name].append(v)
+        return out
+
+    found = map_rows(rows, "lang string, fold int, at binary, value binary", sparse).orderBy("lang", "fold", "at", "value").collect()
+    by: dict[tuple, list] = {}
     df = np.zeros(DIM)
     for r in found:
         pair = np.frombuffer(r["at"], "<i4"), np.frombuffer(r["value"], "<i4")
-        df[pair[0]] += 1
-        by_lang.setdefault(r["lang"], []).append(pair)
-    idf = (np.log((1 + len(found)) / (1 + df)) + 1).astype(np.float32)
-    blank = Model(idf, np.zeros((0, DIM), np.float32), (), 0.0)
-    centroids, languages, sample = [], [], []
-    for lang in sorted(by_lang):
-        counts = np.zeros((len(by_lang[lang]), DIM), dtype=np.int64)
-        for row, (at, value) in zip(counts, by_lang[lang]):
+        if r["fold"] < 1:
+            df[pair[0]] += 1
+        by.setdefault((r["lang"], r["fold"]), []).append(pair)
+    n = sum(r["fold"] < 1 for r in found)
+    idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
+    blank = Model(idf, np.zeros((0, DIM), np.float32), (), np.zeros((0, SIZES)))
+
+    def dense(lang: str, *folds: int) -> np.ndarray:
+        pairs = [p for fold in folds for p in by.get((lang, fold), [])]
+        counts = np.zeros((len(pairs), DIM), dtype=np.int64)
+        for row, (at, value) in zip(counts, pairs):
             row[at] = value
-        sample.append(blank.vectors(counts))
-        centroids.append(_k_means(sample[-1], CENTROIDS))
-        languages += [lang] * len(centroids[-1])
-    if not centroids:
+        return counts
+
+    names = sorted({lang for lang, _ in by})
+    if not names:
         return blank
-    c, of = np.concatenate(centroids), np.array(languages)
-    truth = np.repeat(np.array(sorted(by_lang)), [len(x) for x in sample])
-    near = np.concatenate([(x @ c.T).argmax(axis=1) for x in sample])
+    c, of = _centroids({lang: blank.vectors(dense(lang, -1, 0)) for lang in names})
+    floors = _floors({lang: blank.vectors(dense(lang, 0)) for lang in names if (lang, 0) in by}, {lang: dense(lang, 1) for lang in names}, blank)
+    return Model(idf, c, tuple(of.tolist()), np.array([floors[lang] for lang in of.tolist()]))
+
+
+def _centroids(sample: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids of all languages, and the language of each."""
+    centroids = {lang: _k_means(x, CENTROIDS) for lang, x in sample.items()}
+    c, of = np.concatenate(list(centroids.values())), np.repeat(np.array(list(sample)), [len(v) for v in centroids.values()])
+    truth = np.repeat(np.array(list(sample)), [len(x) for x in sample.values()])
+    near = np.concatenate([(x @ c.T).argmax(axis=1) for x in sample.values()])
     keep = _pure(near, truth, of)
-    floor = min(float((x @ c[keep].T).max(axis=1).min()) for x in sample)
-    return Model(idf, c[keep], tuple(of[keep].tolist()), floor)
+    return c[keep], of[keep]
+
+
+def _floors(sample: dict[str, np.ndarray], held: dict[str, np.ndarray], blank: Model) -> dict[str, np.ndarray]:
+    """Cosines of rejection of each language by size class, from texts that its centroids have not seen.
+
+    A size of a language with too few held-out pieces takes the floor of that
+    size over all languages, or else that of the size below (shorter texts
+    lie farther off); without any, nothing is rejected.
+    """
+    seen = {lang: [np.zeros(0)] * SIZES for lang in held}
+    if sample:
+        c = _centroids(sample)[0]
+        for lang in sample:
+            if len(held[lang]):
+                top, size = (blank.vectors(held[lang]) @ c.T).max(axis=1), _size(held[lang])
+                seen[lang] = [top[size == k] for k in range(SIZES)]
+    floors = {lang: np.zeros(SIZES) for lang in held}
+    for k in range(SIZES):
+        pooled = np.concatenate([v[k] for v in seen.values()])
+        for lang, v in seen.items():
+            known = next((x for x in (v[k], pooled) if len(x) >= LEAST), None)
+            floors[lang][k] = SLACK * np.quantile(known, QUANTILE) if known is not None else floors[lang][k - 1] if k else 0.0
+    return floors
 
 
 def _pure(near: np.ndarray, truth: np.ndarray, of: np.ndarray) -> np.ndarray:
