@@ -109,3 +109,22 @@ def test_every_training_text_teaches_tables_and_weights(docs_of, monkeypatch):
         np.add.at(t, (s.astype(np.int64) << 1) | bit, np.uint32(1))
         assert (found == lm.pack(t[0::2], t[1::2])).all()
     assert fitted == [docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).count()] and fitted[0] > 400
+
+
+def test_weights_are_carried_through_a_whole_text():
+    """A long text, among many others and alone, scores as one sequence in which every decision learns from all before."""
+    texts = _texts(60) + [" ".join(_texts(400))]
+    model = _model(_texts(200))
+    streams = [lm.stream_of(lm.words_of(t)) for t in texts]
+    together, _ = lm.score_streams(model, streams)
+    ends, bit, slots = lm.decisions(model.codes, streams)
+    x, gate = lm.inputs_of(model, slots)
+    for i in (3, 60):
+        w, log2 = model.weights.astype(float).copy(), 0.0
+        for t in range(ends[i - 1], ends[i]):
+            s = np.array([*(c[t] / lm.ODDS for c in x), 0.5])
+            p = 1 / (1 + math.exp(-(w[gate[t]] @ s)))
+            log2 += math.log2(max(1 - abs(p - bit[t]), 1e-7))
+            w[gate[t]] -= lm.RATE * (p - bit[t]) * s
+        assert together[i] == pytest.approx(log2, rel=1e-4)
+        assert lm.score_streams(model, [streams[i]])[0][0] == pytest.approx(log2, rel=1e-4)

@@ -40,8 +40,11 @@ FREQUENT, LONGEST = 1 << 20, 64
 #: One training text in so many fits the first weights before the tables count it.
 WEIGHT_SHARE, WEIGHT_ROUNDS = 64, 3
 CONTEXTS, GATES, SHORT_WORD = 3, 16, 3
-LANE, STEPS, RATE, ODDS = 2048, 64, 0.015, 15.5
-BATCH_BYTES, CUT_BYTES = 2 << 20, 1 << 18
+#: Texts that advance together go on one by one once fewer than ``NARROW`` of them last.
+NARROW, STEPS, RATE, ODDS = 16, 64, 0.015, 15.5
+SCALE, EACH = RATE**0.5, np.ones((CONTEXTS + 1, CONTEXTS + 1), dtype=np.float32)
+#: Bytes of text counted at a time, scored side by side, and hashed at a time.
+BATCH_BYTES, SCORE_BYTES, CUT_BYTES = 2 << 20, 8 << 20, 1 << 18
 RAW_NODE = 255
 END = b"\n"
 
@@ -170,6 +173,14 @@ def _contexts(buf: np.ndarray, heads: np.ndarray, table_bits: int) -> tuple[np.n
     return pair, [_scatter(k, table_bits) for k in keys]
 
 
+def count_decisions(codes: Codes, streams: list[bytes]) -> int:
+    buf = np.frombuffer(b"".join(streams), dtype=np.uint8)
+    sizes = np.array([len(s) for s in streams])
+    heads = np.cumsum(sizes) - sizes
+    pair = _before(buf, heads, 2) * np.uint32(256) + _before(buf, heads, 1)
+    return int(codes.length[codes.code_of_pair[pair] * 256 + buf].sum())
+
+
 def decisions(codes: Codes, streams: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Ends of the texts in decisions, the decided bits, and the slot of each context for each decision."""
     buf = np.frombuffer(b"".join(streams), dtype=np.uint8)
@@ -184,54 +195,73 @@ def decisions(codes: Codes, streams: list[bytes]) -> tuple[np.ndarray, np.ndarra
     return stops[heads + sizes - 1], codes.bit[path], [np.repeat(h, lengths) ^ node for h in hashed]
 
 
-def mix(x: list[np.ndarray], gate: np.ndarray, bit: np.ndarray, ends: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log2 probability of each decision, and the mean of the weights at the end.
+def mix(packed: np.ndarray, ends: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log2 probability of each text, and the mean of the weights at their ends by the texts' lengths.
 
-    ``x``, ``gate`` and ``bit`` go on for ``STEPS`` unused places.
-    Texts are cut into lanes of at most ``LANE`` decisions. All lanes advance
-    together, one decision a step; each has its own weights, that start from
-    ``start`` and learn from its own past decisions alone.
+    ``packed`` holds a decision in four bytes: the log odds of the contexts,
+    then gate and bit; it goes on for ``STEPS`` unused places. All texts
+    advance together, one decision a step; each has its own weights, that
+    start from ``start`` and learn from all its own past decisions alone.
     """
     heads = np.concatenate(([0], ends[:-1]))
-    parts = -(-(ends - heads) // LANE)
-    text = np.repeat(np.arange(len(ends)), parts)
-    part = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
-    span = (ends - heads)[text]
-    first = heads[text] + span * part // parts[text]
-    size = heads[text] + span * (part + 1) // parts[text] - first
-    order = np.argsort(-size, kind="stable")
-    first, size = first[order], size[order]
+    order = np.argsort(heads - ends, kind="stable")
+    first, size = heads[order], (ends - heads)[order]
     active = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), "left")
-    inputs, lanes = len(x) + 1, len(first)
-    # One array of weights for each input; a lane's weights lie side by side, one for each gate.
-    w = [np.tile(start[:, k].astype(np.float32), lanes) for k in range(inputs)]
-    chance = np.empty(len(bit), dtype=np.float32)
-    lane = np.arange(lanes) * GATES
-    for t0 in range(0, len(active), STEPS):
+    wide, lanes = int((active >= NARROW).sum()), len(first)
+    # Four numbers lie side by side and move as one of 16 bytes. Signals carry the sign of what happened
+    # and the root of the rate, weights are divided by it: the chance of the other bit is the step's length.
+    w = np.tile(start / SCALE, (lanes, 1)).astype(np.float32)
+    moved, total, lane = w.view(np.complex128).ravel(), np.zeros(lanes), np.arange(lanes) * GATES
+    for t0 in range(0, wide, STEPS):
         # A run of steps is copied out step by step, so that a step reads neighbouring memory.
-        counts = active[t0 : t0 + STEPS]
-        at = first[None, : counts[0]] + (t0 + np.arange(len(counts)))[:, None]
-        signals = [c.take(at) * np.float32(1 / ODDS) for c in x]
-        signals.append(np.full(at.shape, 0.5, dtype=np.float32))
-        owns, bits = lane[: counts[0]] + gate.take(at), bit.take(at).astype(np.float32)
-        errors = np.zeros(at.shape, dtype=np.float32)
-        for t, n in enumerate(counts.tolist()):
-            own = owns[t, :n]
-            held = [c.take(own) for c in w]
-            dot = held[0] * signals[0][t, :n]
-            for v, s in zip(held[1:], signals[1:]):
-                dot += v * s[t, :n]
-            # The error; the chance of what happened is one less its size.
-            error = 1 / (1 + np.exp(-dot))
-            error -= bits[t, :n]
-            errors[t, :n] = error
-            error *= np.float32(-RATE)
-            for c, v, s in zip(w, held, signals):
-                c[own] = v + error * s[t, :n]
-        within = np.arange(counts[0]) < counts[:, None]
-        chance[at[within]] = 1 - np.abs(errors[within])
-    mean = np.stack([c.reshape(lanes, GATES).mean(axis=0) for c in w], axis=1) if lanes else start
-    return np.log2(np.maximum(chance[: len(bit) - STEPS], 1e-7)), mean
+        counts = active[t0 : min(t0 + STEPS, wide)]
+        owns, signals = _signals(packed.take(first[None, : counts[0]] + (t0 + np.arange(len(counts)))[:, None]))
+        owns = owns + lane[: counts[0]]
+        wrong = np.zeros(owns.shape, dtype=np.float32)
+        with np.errstate(over="ignore"):
+            for signal, own, other, n in zip(signals, owns, wrong, counts.tolist()):
+                signal, own, other = signal[:n], own[:n], other[:n]
+                held = moved.take(own).view(np.float32).reshape(n, 4)
+                step = (held * signal) @ EACH  # the sum, in all four places
+                np.exp(step, out=step)
+                step += 1
+                np.reciprocal(step, out=step)
+                other[:] = step[:, 0]
+                step *= signal
+                held += step
+                moved[own] = held.reshape(-1).view(np.complex128)
+        total[: counts[0]] += np.log2(np.maximum(1 - wrong, 1e-7)).sum(axis=0, dtype=np.float64)
+    for i in range(int(active[wide]) if wide < len(active) else 0):
+        total[i] += _go_on(packed[first[i] + wide : first[i] + size[i]], w[i * GATES : (i + 1) * GATES])
+    log2 = np.empty(lanes)
+    log2[order] = total
+    mean = np.average(w.reshape(lanes, GATES, -1), axis=0, weights=size) * SCALE if lanes else start
+    return log2, mean
+
+
+def _signals(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gates of packed decisions, and their four inputs as ``mix`` wants them."""
+    raw = packed.view(np.uint8).reshape(*packed.shape, 4)
+    signals = raw.view(np.int8) * np.float32(SCALE / ODDS)
+    signals[..., 3] = SCALE * 0.5
+    signals *= ((raw[..., 3] & 1) * np.float32(2) - 1)[..., None]
+    return raw[..., 3] >> 1, signals
+
+
+def _go_on(packed: np.ndarray, w: np.ndarray) -> float:
+    """The decisions of one text in turn, as in ``mix``; ``w`` (its weights) is brought forward."""
+    rows, log2 = w.tolist(), 0.0
+    for a in range(0, len(packed), 1 << 14):
+        gates, signals = _signals(packed[a : a + (1 << 14)])
+        wrong = []
+        for gate, x, y, z, one in zip(gates.tolist(), *signals.T.tolist()):
+            i, j, k, c = own = rows[gate]
+            other = 1 / (1 + math.exp(min(i * x + j * y + k * z + c * one, 700.0)))
+            wrong.append(other)
+            own[:] = i + other * x, j + other * y, k + other * z, c + other * one
+        log2 += float(np.log2(np.maximum(1 - np.array(wrong), 1e-7)).sum())
+    w[:] = rows
+    return log2
 
 
 def inputs_of(model: Model, slots: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -251,19 +281,20 @@ def first_weights() -> np.ndarray:
 
 def score_streams(model: Model, streams: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Log2 probability of each stream, and the mean last weights."""
+    cuts, codes = list(batches_of(streams, CUT_BYTES)), model.codes  # what lies in the caches is quick to hash and look up
+    # Some room behind the last decision: texts read ahead in whole steps.
+    packed = np.zeros((sum(count_decisions(codes, streams[a:b]) for a, b in cuts) + STEPS, 4), dtype=np.uint8)
     parts, done = [], 0
-    for a, b in batches_of(streams, CUT_BYTES):  # what lies in the caches is quick to hash and look up
-        ends, bit, slots = decisions(model.codes, streams[a:b])
+    for a, b in cuts:
+        ends, bit, slots = decisions(codes, streams[a:b])
         x, gate = inputs_of(model, slots)
-        parts.append((*x, gate, bit, ends + done))
+        out = packed[done : done + len(bit)]
+        for k, c in enumerate(x):
+            out[:, k] = c.view(np.uint8)
+        out[:, 3] = gate << np.uint8(1) | bit
+        parts.append(ends + done)
         done += len(bit)
-    *columns, ends = zip(*parts)
-    # Some room behind the last decision: lanes read ahead in whole steps.
-    *x, gate, bit = (np.concatenate((*c, np.zeros(STEPS, c[0].dtype))) for c in columns)
-    ends = np.concatenate(ends)
-    del parts, columns
-    log2, mean = mix(x, gate, bit, ends, model.weights)
-    return np.add.reduceat(log2.astype(np.float64), np.concatenate(([0], ends[:-1]))), mean
+    return mix(packed.view(np.uint32).ravel(), np.concatenate(parts), model.weights)
 
 
 def batches_of(texts: list, size: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
@@ -410,7 +441,7 @@ def learn_weights(sample: DataFrame, model: Model) -> np.ndarray:
             _, held.weights = score_streams(held, streams)
         return {"size": [sum(map(len, streams))], "w": [held.weights.ravel().astype(float).tolist()]}
 
-    found = map_rows(sample.select("text"), "size bigint, w array<double>", run).collect()
+    found = map_rows(sample.select("text"), "size bigint, w array<double>", run, max_bytes=SCORE_BYTES).collect()
     sent.unpersist()
     if not found:
         return model.weights
@@ -460,24 +491,25 @@ def score(docs: DataFrame, train: Column, table_bits: int = TABLE_BITS, frequent
     sent, common = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(frequent)
 
     def run(cols: dict) -> dict:
-        known, split = common.value, [words_of(t) for t in cols["text"]]
-        out: dict = {"doc_id": cols["doc_id"], "trained": cols["trained"], "n_tokens": [len(w) + 1 for w in split]}
-        out |= {n: [] for n in ("near", "n_near", "rare", "times", "log2", "n_bytes")}
-        for words in split:
+        known, streams = common.value, []
+        out: dict = {"doc_id": cols["doc_id"], "trained": cols["trained"]}
+        out |= {n: [] for n in ("n_tokens", "near", "n_near", "rare", "times")}
+        for text in cols["text"]:  # the words of one text at a time
+            words = words_of(text)
+            streams.append(stream_of(words))
+            out["n_tokens"].append(len(words) + 1)
             found = [known.get(w, -1.0) for w in [*words, b""]]
             rare = Counter(w for w, f in zip([*words, b""], found) if f < 0)
             out["near"].append(math.fsum(f for f in found if f > 0))
             out["n_near"].append(len(found) - rare.total())
             out["rare"].append(list(rare))
             out["times"].append(list(rare.values()))
-        streams = [stream_of(w) for w in split]
         out["n_bytes"] = [len(s) for s in streams]
-        for a, b in batches_of(streams):
-            out["log2"] += score_streams(sent.value, streams[a:b])[0].tolist()
+        out["log2"] = score_streams(sent.value, streams)[0].tolist()
         return out
 
     schema = "doc_id bigint, trained boolean, n_tokens bigint, near double, n_near bigint, rare array<binary>, times array<int>, log2 double, n_bytes bigint"
-    scored = map_rows(marked, schema, run, max_bytes=BATCH_BYTES)
+    scored = map_rows(marked, schema, run, max_bytes=SCORE_BYTES)
     scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()))
     pairs = scored.select("row", F.explode(F.arrays_zip(F.col("rare").alias("key"), F.col("times").alias("times"))).alias("p"))
     far = pairs.select("row", "p.key", "p.times").join(vocabulary, "key", "left").groupBy("row").agg(
