@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmart.llm import bpe, chat, langid, ledger, lm, simhash, tokencount, toxicity, urls, winnow
+from tripmart.llm import bpe, chat, langid, ledger, lm, merkle, simhash, tokencount, toxicity, urls, winnow
 
 QUERIES = {
     "op1_lm_scoring": lm.op1_lm_scoring,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_url_filters": urls.op10_url_filters,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
 }
 
 ORACLE_SQL = {
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op5_decontamination": winnow.OP5_SQL,
     "op9_chat_formatting": chat.OP9_SQL,
     "op10_url_filters": urls.OP10_SQL,
+    "op11_merkle_manifest": merkle.OP11_SQL,
 }
