@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmart.llm import bpe, chat, langid, ledger, lm, merkle, simhash, tokencount, toxicity, urls, winnow
+from tripmart.llm import bpe, chat, langid, ledger, lm, merkle, resample, simhash, tokencount, toxicity, urls, winnow
 
 QUERIES = {
     "op1_lm_scoring": lm.op1_lm_scoring,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_url_filters": urls.op10_url_filters,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_importance_resampling": resample.op12_importance_resampling,
 }
 
 ORACLE_SQL = {
