@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmart.llm import bpe, chat, langid, ledger, lm, merkle, resample, simhash, tokencount, toxicity, urls, winnow
+from tripmart.llm import bpe, chat, langid, ledger, lm, merkle, repeats, resample, simhash, tokencount, toxicity, urls, winnow
 
 QUERIES = {
     "op1_lm_scoring": lm.op1_lm_scoring,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_url_filters": urls.op10_url_filters,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_importance_resampling": resample.op12_importance_resampling,
+    "op13_suffix_dedup": repeats.op13_suffix_dedup,
 }
 
 ORACLE_SQL = {
