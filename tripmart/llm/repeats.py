@@ -29,6 +29,7 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ from tripmart.operators.lookup import broadcast_bounded, discard, materialize
 
 LENGTH, GRAM = 200, 32
 #: Bytes of a shard's pieces, and of an induced sort's queues and arrays before they go to scratch files.
-SHARD_BYTES, MEMORY = 4 << 20, 96 << 20
+SHARD_BYTES, MEMORY = 2 << 20, 96 << 20
 #: A key with one row in so many is hot: there are no more such keys than this.
 HOT = 4096
 CHUNK, PLACE = 1 << 20, 21
@@ -160,21 +161,31 @@ BODY = "shard bigint, split boolean, gram bigint, piece binary, copies bigint, b
 FOUND = "gram bigint, piece binary, offset int, size int, class binary, members bigint"
 
 
+def packed(docs: DataFrame, length: int) -> DataFrame:
+    """``(doc_id, k1, k2, packed)`` of the texts of ``length`` bytes or more, compressed for the way through a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3).compress
+        for part in slices(batches, CHUNK):
+            small = pa.array([press(t.as_buffer()) for t in part.column(3)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], small], names=["doc_id", "k1", "k2", "packed"])
+
+    rows = docs.select("doc_id", *text_key(), "text").where(F.octet_length("text") >= length)
+    return rows.mapInArrow(run, "doc_id bigint, k1 bigint, k2 bigint, packed binary")
+
+
 def bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of each wanted piece, cut from the one text named as its place."""
     by_text = materialize(
         wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "starts", "shard", "split", "gram", "piece", "copies")).alias("cuts"))
     )
-    texts = docs.select(*text_key(), F.col("text").alias("text")).where(F.octet_length("text") >= length)
-    weighed = wanted.count() * 64 + by_text.count() * 64
-    by_text = F.broadcast(by_text) if weighed <= 64 << 20 else by_text
     # Rows alike in id and text are one place.
-    joined = texts.join(by_text, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("text", "cuts")
+    joined = packed(docs, length).join(by_text, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("packed", "cuts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, CHUNK):
             for text, cuts in zip(part.column(0), part.column(1)):
-                raw, rows = memoryview(text.as_buffer()), cuts.values
+                raw, rows = memoryview(zstandard.decompress(text.as_buffer())), cuts.values
                 start, starts = rows.field("start").to_pylist(), rows.field("starts").to_pylist()
                 cut = [bytes(raw[a : a + n + length - 1]) for a, n in zip(start, starts)]
                 yield pa.RecordBatch.from_arrays(
@@ -295,12 +306,14 @@ def cut_spans(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]
     return out
 
 
-def with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """``(doc_id, text, runs)`` of every row."""
-    k1, k2 = text_key()
-    rows = docs.select("doc_id", "text", k1, k2)
-    weight = runs.agg(F.sum(F.size("runs") * 16 + 64)).first()[0] or 0
-    return rows.join(F.broadcast(runs) if weight <= 64 << 20 else runs, ["k1", "k2"], "left").select("doc_id", "text", "runs")
+def with_runs(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
+    """``(doc_id, text, packed, runs)`` of every row: short texts as they are, long ones compressed."""
+    short = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) < length)
+    none = [F.lit(None).cast("binary").alias("packed"), F.lit(None).cast(runs.schema["runs"].dataType).alias("runs")]
+    long = packed(docs, length).join(runs, ["k1", "k2"], "left")
+    return long.select("doc_id", F.lit(None).cast("string").alias("text"), "packed", "runs").unionByName(
+        short.select("doc_id", "text", *none)
+    )
 
 
 def remove_repeats(
@@ -322,8 +335,11 @@ def remove_repeats(
 def _described(docs: DataFrame, runs: DataFrame, length: int, texts: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, CHUNK):
-            raw = [(t or "").encode() for t in part.column(1).to_pylist()]
-            spans = [cut_spans([(r["start"], r["size"]) for r in x or ()], length) for x in part.column(2).to_pylist()]
+            raw = [
+                zstandard.decompress(z.as_buffer()) if z.is_valid else (t.as_py() or "").encode()
+                for t, z in zip(part.column(1), part.column(2))
+            ]
+            spans = [cut_spans([(r["start"], r["size"]) for r in x or ()], length) for x in part.column(3).to_pylist()]
             left = []
             for body, cuts in zip(raw, spans):
                 edges = [0, *(x for cut in cuts for x in cut), len(body)]
@@ -339,7 +355,7 @@ def _described(docs: DataFrame, runs: DataFrame, length: int, texts: bool) -> Da
                 yield pa.RecordBatch.from_arrays([*head, removed, counts, digests], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     digest = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return with_runs(docs, runs).mapInArrow(run, SCHEMA if texts else digest)
+    return with_runs(docs, runs, length).mapInArrow(run, SCHEMA if texts else digest)
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
