@@ -1,5 +1,7 @@
 """Shared folder, refresh and invalidation, checks before publication, contract settings."""
 
+import os
+import pathlib
 import shutil
 import tempfile
 from types import SimpleNamespace
@@ -16,6 +18,7 @@ from tripmart.operators.resolve import Field, MissingColumns, resolve
 from tripmart.plans import gold_validation, validation
 from tripmart.plans.lake import Lake
 from tripmart.session import checkpoint_dir, is_one_machine
+from tripmart.sources.commits import CommitConflict, Store
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -34,39 +37,125 @@ def test_layers_go_to_the_folder_of_the_run(spark):
     assert materialize(spark.range(3), folder=folder).inputFiles()[0].startswith(f"file://{folder}/tables/")
 
 
-def test_changed_input_gives_changed_answers(spark):
+def _input(spark, lines=None) -> str:
+    """A folder with the small input tables (contents only, not the modes of a read-only folder)."""
     folder = tempfile.mkdtemp(prefix="input-", dir="/tmp")
-    shutil.copytree(SMALL, folder, dirs_exist_ok=True)
+    for name in os.listdir(SMALL):
+        shutil.copyfile(f"{SMALL}/{name}", f"{folder}/{name}")
+    if lines is not None:
+        _replace_lines(spark, folder, lines)
+    return folder
+
+
+def _replace_lines(spark, folder, lines) -> None:
+    aside = tempfile.mkdtemp(prefix="lines-", dir="/tmp")
+    lines.coalesce(1).write.mode("overwrite").parquet(aside)
+    new = next(p.path for p in os.scandir(aside) if p.name.endswith(".parquet"))
+    shutil.copyfile(new, f"{folder}/lineitem.parquet")
+
+
+def _settings(**changed) -> RunConfig:
+    folder = tempfile.mkdtemp(prefix="lake-", dir="/tmp")
+    return RunConfig(**{**FIXTURE_CONFIG.__dict__, "shared_folder": folder, **changed})
+
+
+def test_changed_input_gives_changed_answers(spark):
+    folder = _input(spark)
     before = Lake.of_run(spark, folder)
     assert Lake.of_run(spark, folder) is before
     rows = before.raw_trips.count()
-    half = spark.read.parquet(f"{SMALL}/lineitem.parquet").filter("l_orderkey % 2 = 0")
-    half.write.mode("overwrite").parquet(f"{folder}/lineitem.parquet.new")
-    shutil.copytree(f"{folder}/lineitem.parquet.new", f"{folder}/lineitem2", dirs_exist_ok=True)
-    import os
-
-    os.replace(next(p for p in os.scandir(f"{folder}/lineitem2") if p.name.endswith(".parquet")).path, f"{folder}/lineitem.parquet")
+    _replace_lines(spark, folder, spark.read.parquet(f"{SMALL}/lineitem.parquet").filter("l_orderkey % 2 = 0"))
     after = Lake.of_run(spark, folder)
     assert after is not before and 0 < after.raw_trips.count() < rows
 
 
-def test_refresh_replaces_copies_and_a_failed_one_does_not(spark, monkeypatch):
-    import os
-
-    folder = tempfile.mkdtemp(prefix="lake-", dir="/tmp")
-    lake = Lake(spark, SMALL, RunConfig(**{**FIXTURE_CONFIG.__dict__, "shared_folder": folder}))
-    rows = lake.refresh().fact_trips.count()
-    first = set(os.listdir(f"{folder}/tables"))
-    lake.refresh()
-    second = set(os.listdir(f"{folder}/tables"))
-    assert not first & second and len(first) == len(second) and lake.fact_trips.count() == rows
+def test_another_session_reads_what_one_published(spark, monkeypatch):
+    cfg = _settings()
+    first = Lake(spark, SMALL, cfg).refresh()
+    kpi = first.fact_trips.agg(F.sum("total_amount")).first()
+    other = Lake(spark.newSession(), SMALL, cfg)
+    monkeypatch.setattr(Lake, "publish", lambda *a, **k: pytest.fail("written again"))
+    assert other._version == first._version == 1
+    assert other.fact_trips.agg(F.sum("total_amount")).first() == kpi
+    for name in Lake.PUBLISHED:
+        assert sorted(getattr(other, name).inputFiles()) == sorted(getattr(first, name).inputFiles())
+
+
+def test_a_failed_or_beaten_refresh_leaves_the_version_in_use(spark, monkeypatch):
+    cfg = _settings()
+    lake = Lake(spark, SMALL, cfg).refresh()
+    rows, version = lake.fact_trips.count(), lake._version
+    files = set(lake.fact_trips.inputFiles())
+    lake.refresh(whole=True)
+    assert lake._version == version + 1 and not files & set(lake.fact_trips.inputFiles()) and lake.fact_trips.count() == rows
+    on_disk = {str(p) for p in pathlib.Path(cfg.shared_folder).rglob("v=*")}
     from tripmart.plans import expectations
 
-    broken = [(lambda df: df, lambda cfg: {"never": "false"})]
-    monkeypatch.setitem(expectations._ENFORCED, "fact_trips", broken)
+    monkeypatch.setitem(expectations._ENFORCED, "fact_trips", [("true", lambda cfg: {"never": "false"})])
     with pytest.raises(ExpectationError, match="never"):
-        lake.refresh()
-    assert set(os.listdir(f"{folder}/tables")) == second and lake.fact_trips.count() == rows
+        lake.refresh(whole=True)
+    monkeypatch.undo()
+    assert Lake(spark, SMALL, cfg)._version == lake._version and lake.fact_trips.count() == rows
+    # Another writer commits between this refresh's start and its end.
+    commit = Store.commit
+
+    def beaten(store, content, parent):
+        monkeypatch.setattr(Store, "commit", commit)
+        commit(store, store.head(), parent)
+        return commit(store, content, parent)
+
+    monkeypatch.setattr(Store, "commit", beaten)
+    with pytest.raises(CommitConflict):
+        lake.refresh(whole=True)
+    assert Lake(spark, SMALL, cfg)._version == lake._version + 1
+    assert {str(p) for p in pathlib.Path(cfg.shared_folder).rglob("v=*")} == on_disk and lake.fact_trips.count() == rows
+
+
+def test_a_month_that_arrives_is_the_only_one_rewritten(spark):
+    """The year in two parts: lines of other months first; then all; then half of one month more is taken away."""
+    from __spark_entry__ import queries
+    from oracle_check import compare, duck
+
+    lines, orders = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("lineitem", "orders"))
+    late = orders.filter("year(o_orderdate) = 1998 AND month(o_orderdate) = 4").select("o_orderkey")
+    early = lines.join(late, lines.l_orderkey == late.o_orderkey, "left_anti")
+    folder, cfg = _input(spark, early), _settings()
+    lake = Lake(spark, folder, cfg).refresh()
+    monthly = ("raw_trips", "bronze_trips", "duplicate_groups", "trips_classified", "fact_trips")
+    before = {n: {p["folder"] for p in lake._layers[n]["parts"]} for n in monthly}
+    _replace_lines(spark, folder, lines)
+    lake.refresh()
+    for name in monthly:
+        new = [p for p in lake._layers[name]["parts"] if p["folder"] not in before[name]]
+        months = {tuple(map(int, list(p["values"].values())[:2])) for p in new}
+        # Dirty rows carry a neighbouring month or move to the year's end.
+        assert (1998, 4) in months or name == "duplicate_groups"
+        assert months <= {(1998, 4), (1998, 5), (1998, 12)}, (name, months)
+    anew = Lake(spark, folder, _settings()).refresh()
+    for name in ("bronze_trips", "trips_classified", "silver_baseline", "dim_date", "fact_trips"):
+        drop = [c for c in getattr(lake, name).columns if c.endswith("_timestamp") or c == "_ingested_at"]
+        mine, theirs = (getattr(x, name).drop(*drop) for x in (lake, anew))
+        assert mine.count() == theirs.count() and mine.exceptAll(theirs).count() == 0, name
+    monkey = pytest.MonkeyPatch()
+    monkey.setattr(Lake, "of_run", classmethod(lambda cls, *a: lake))
+    try:
+        con = duck(folder)
+        from __spark_entry__ import oracle_sql
+
+        for key in ("trip_duplicates", "silver_trips", "fact_trips", "bronze_reconciliation", "gold_validation"):
+            ok, msg = compare(queries()[key](spark, folder).toPandas(), con.sql(oracle_sql()[key]).df())
+            assert ok, (key, msg)
+    finally:
+        monkey.undo()
+
+
+def test_publishing_reads_no_written_copy(spark, monkeypatch):
+    """Rules are observed while rows are written: no pass over a copy checks them."""
+    from tripmart.plans import lake as module
+
+    monkeypatch.setattr(module, "enforce", lambda *a: pytest.fail("a pass over written rows"))
+    lake = Lake(spark, SMALL, _settings()).refresh()
+    assert set(lake._layers) == set(Lake.PUBLISHED)
 
 
 @pytest.mark.parametrize(
@@ -82,11 +171,32 @@ def test_refresh_replaces_copies_and_a_failed_one_does_not(spark, monkeypatch):
     ],
 )
 def test_corrupted_layers_are_not_published(lake, layer, column, value, expectation):
-    good = getattr(lake, layer)
+    good, version = getattr(lake, layer), lake._version
     bad = good.withColumn(column, F.expr(value))
     with pytest.raises(ExpectationError, match=expectation):
         lake.publish(layer, bad)
-    assert getattr(lake, layer) is good
+    assert getattr(lake, layer) is good and lake._version == version == lake.store.head()["version"]
+
+
+@pytest.mark.parametrize("zones", ["silver_zones", "quarantine_zones"])
+def test_zones_are_enforced_on_first_read(spark, monkeypatch, zones):
+    from tripmart.plans import expectations
+
+    monkeypatch.setitem(expectations._ENFORCED, zones, [("true", lambda cfg: {"never": "false"})])
+    with pytest.raises(ExpectationError, match="never"):
+        getattr(Lake(spark, SMALL, _settings()), zones)
+
+
+def test_the_rules_of_the_gold_source_stop_the_fact(spark, monkeypatch):
+    from tripmart.plans import expectations
+
+    lake = Lake(spark, SMALL, _settings())
+    lake.dim_dropoff_zone, lake.dim_pickup_zone, lake.dim_date
+    monkeypatch.setitem(expectations._ENFORCED, "gold_trip_source", [("true", lambda cfg: {"few": "source_month < 6"})])
+    with pytest.raises(ExpectationError, match="few"):
+        lake.fact_trips
+    with pytest.raises(ExpectationError, match="few"):
+        lake.gold_trip_source
 
 
 def test_quarantine_rows_need_a_reason(lake):

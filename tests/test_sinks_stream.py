@@ -1,11 +1,14 @@
-"""Sinks (split publish, clustered fact) and the triggered Bronze refresh stream."""
+"""The commit log (versions, conflicts, split layers, clustered fact) and the triggered Bronze refresh stream."""
 
+import json
 import tempfile
+import threading
 
 import pytest
+from pyspark.sql import functions as F
 
-from tripmart.operators.checks import ExpectationError, enforce
-from tripmart.sources.sinks import publish, publish_clustered, publish_split, read_published
+from tripmart.sources.commits import CommitConflict, Store, rows_of
+from tripmart.sources.sinks import clustered
 from tripmart.streaming.refresh import refresh_bronze_trips
 
 
@@ -13,28 +16,88 @@ def _tmp() -> str:
     return tempfile.mkdtemp(prefix="sink-", dir="/tmp")
 
 
-def test_split_publish_round_trip(spark, lake):
-    path = _tmp() + "/silver"
-    publish_split(lake.trips_classified.drop("_silver_refresh_timestamp", "_eligibility_refresh_timestamp"), path)
-    back = read_published(spark, path)
+def _content(**layers):
+    return {"inputs": "i", "layers": layers, "stale": {}}
+
+
+def test_split_layer_round_trip(spark, lake):
+    store = Store(spark, _tmp())
+    rows = lake.trips_classified.drop("_silver_refresh_timestamp", "_eligibility_refresh_timestamp")
+    layer, _ = store.write("silver", rows, ("_is_quarantined",))
+    store.commit(_content(silver=layer), 0)
+    back = Store(spark, store.path).read(store.head()["layers"]["silver"], "silver")
+    assert back.columns == rows.columns and back.exceptAll(rows).count() == 0
     assert back.where("NOT _is_quarantined").count() == lake.silver_trips.count()
     assert back.where("_is_quarantined").count() == lake.quarantine_trips.count()
 
 
-def test_failed_check_leaves_the_version_in_use(spark):
-    path, rules = _tmp() + "/t", {"positive": "id > 0"}
-    publish(spark.range(1, 5), path, check=lambda copy: enforce(copy, rules))
-    with pytest.raises(ExpectationError):
-        publish(spark.range(0, 9), path, check=lambda copy: enforce(copy, rules))
-    assert read_published(spark, path).count() == 4
-    publish(spark.range(1, 9), path, check=lambda copy: enforce(copy, rules))
-    assert read_published(spark, path).count() == 8
+def test_uncommitted_rows_are_not_published_and_old_versions_go(spark):
+    store = Store(spark, _tmp())
+    layers = [store.write("t", spark.range(n), bounds=("id",))[0] for n in (4, 9, 6)]
+    assert store.head()["version"] == 0
+    for version, layer in enumerate(layers):
+        store.commit(_content(t=layer), version)
+        assert store.read(store.head()["layers"]["t"], "t").count() == rows_of(layer)
+    assert layers[1]["parts"][0]["low"] == {"id": "0"} and layers[1]["parts"][0]["high"] == {"id": "8"}
+    assert store.read(store.at(1)["layers"]["t"], "t").count() == 4
+    store.vacuum(keep=2)
+    assert store.versions() == [2, 3] and len(store._names("t")) == 2 + len([n for n in store._names("t") if n[0] in "_."])
+
+
+def test_two_writers_have_one_winner(spark):
+    """Eight writers that start from one version at once: one commit stands, whole; the others are refused."""
+    path = _tmp()
+    results = []
+
+    def write(i):
+        store = Store(spark, path)
+        try:
+            store.commit({"inputs": str(i) * 100_000, "layers": {}, "stale": {}}, 0)
+            results.append(i)
+        except CommitConflict:
+            results.append(None)
+
+    writers = [threading.Thread(target=write, args=(i,)) for i in range(8)]
+    for w in writers:
+        w.start()
+    for w in writers:
+        w.join()
+    won = [r for r in results if r is not None]
+    assert len(results) == 8 and len(won) == 1
+    head = Store(spark, path).head()
+    assert head["version"] == 1 and head["inputs"] == str(won[0]) * 100_000
+    with pytest.raises(CommitConflict):
+        Store(spark, path).commit(_content(), 0)
+    assert Store(spark, path).commit(_content(), 1)["version"] == 2
+
+
+def test_observed_rules_and_footer_counts(spark):
+    store = Store(spark, _tmp())
+    layer, seen = store.write("t", spark.range(50).selectExpr("id", "id % 4 = 0 AS flag", "CAST(id % 3 AS STRING) AS k"), ("k", "flag"), {"bad": F.count_if(F.col("id") > 44)})
+    assert seen == {"rows": 50, "bad": 5} and rows_of(layer) == 50 and len(layer["parts"]) == 6
+    counts = store.counts(layer, "t")
+    assert {(r["k"], r["flag"]): r["rows"] for r in counts.collect()}[("0", True)] == 5
+    json.dumps(layer)
+    empty, seen = store.write("e", spark.range(0))
+    assert seen["rows"] == 0 and empty["parts"] == [] and store.read(empty, "e").count() == 0
+
+
+def test_counts_read_footers_only(spark):
+    store = Store(spark, _tmp())
+    layer, _ = store.write("t", spark.range(50).selectExpr("id", "id % 3 AS k"), ("k",))
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    try:
+        plan = store.counts(layer, "t")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.parquet.aggregatePushdown")
+    assert "PushedAggregation: [COUNT(*)]" in plan
 
 
 def test_clustered_fact_round_trip(spark, lake):
-    path = _tmp() + "/fact"
     fact = lake.fact_trips.select("source_record_hash", "pickup_date_key", "pickup_zone_key", "total_amount")
-    back = publish_clustered(fact, path)
+    store = Store(spark, _tmp())
+    layer, _ = store.write("fact", clustered(fact))
+    back = store.read(layer, "fact")
     assert back.count() == fact.count()
     assert back.exceptAll(fact).count() == 0
 

@@ -31,12 +31,18 @@ HOT_ROWS = 1_000_000
 
 def duplicate_groups(df: DataFrame, key: str = "_record_hash", row_id: str = "_source_row_id") -> DataFrame:
     """Groups with more than one row: ``(binary hash, count, first row id)``, materialised."""
-    groups = (
-        df.groupBy(F.unhex(key).alias(GROUP))
+    return materialize(duplicate_groups_by(df, (), key, row_id))
+
+
+def duplicate_groups_by(
+    df: DataFrame, by: tuple[str, ...], key: str = "_record_hash", row_id: str = "_source_row_id"
+) -> DataFrame:
+    """Groups with more than one row, with the columns ``by`` that are alike in all rows of a group."""
+    return (
+        df.groupBy(F.unhex(key).alias(GROUP), *by)
         .agg(F.count(F.lit(1)).alias(DUP_COUNT), F.min(row_id).alias(DUP_FIRST))
         .where(F.col(DUP_COUNT) > 1)
     )
-    return materialize(groups)
 
 
 def flag_duplicates(

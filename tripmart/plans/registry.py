@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.operators.dedup import flag_duplicates, number_duplicates
+from tripmart.operators.dedup import number_duplicates
 from tripmart.plans import expectations, gold_validation, inventory, reports, validation
 from tripmart.plans.lake import Lake
 
@@ -71,14 +71,15 @@ def _classified(*cols: str) -> Callable[[Lake], DataFrame]:
 
 
 def _trip_duplicates(lake: Lake) -> DataFrame:
-    flagged = flag_duplicates(lake.hashed_trips, lake.duplicate_groups, max_bytes=lake.cfg.broadcast_bytes)
-    return number_duplicates(flagged).select(
-        c("_record_hash").alias("record_hash"),
-        "_duplicate_record_count",
-        "_duplicate_occurrence_number",
-        "_is_duplicate_group",
-        "_is_duplicate_record",
-    )
+    """Group size, flags and occurrence number of every trip, from the classified copy.
+
+    Rows of a group are alike, so any numbering that starts at its canonical
+    row serves; the numbers are given to the members of groups alone.
+    """
+    flagged = lake.trips_classified.select(
+        "record_hash", "_duplicate_record_count", "_is_duplicate_group", "_is_duplicate_record"
+    ).withColumn("_row", F.monotonically_increasing_id())
+    return number_duplicates(flagged, key="record_hash", row_id="_row").drop("_row")
 
 
 QUERIES: dict[str, Callable[[Lake], DataFrame]] = {

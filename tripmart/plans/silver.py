@@ -17,16 +17,9 @@ from tripmart.operators.zones import attach_zones, classify_zones
 TECHNICAL_COLUMNS = ("_source_row_id", "_is_duplicate_canonical")
 
 
-def silver_zone_split(bronze_zones: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, int]:
-    """(classified, valid, quarantined, valid row count) zone lookups.
-
-    The counted size of the valid lookup is the bound that lets the trip-side
-    joins broadcast it. The lookup is small and deterministic, so consumers
-    recompute it rather than materialise it.
-    """
-    classified = classify_zones(bronze_zones)
-    valid = classified.where(~F.col("_is_quarantined"))
-    return classified, valid, classified.where(F.col("_is_quarantined")), valid.count()
+def classified_zones(bronze_zones: DataFrame) -> DataFrame:
+    """The zone lookup with its reasons and quarantine flag; both parts are published as layers."""
+    return classify_zones(bronze_zones)
 
 
 def hashed_trips(bronze: DataFrame) -> DataFrame:

@@ -56,6 +56,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of published layers: the one the cluster names, the same for every session that names it.
+
+    (``getCheckpointDir`` has a level of its own for each application.)
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return named or checkpoint_dir(spark)
+
+
 def is_one_machine(master: str) -> bool:
     """Whether executors share the driver's machine and process (``local``, ``local[n]``)."""
     return master == "local" or master.startswith("local[")

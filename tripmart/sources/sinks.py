@@ -1,55 +1,13 @@
-"""Sinks: idempotent publish, valid/quarantine split publish, clustered fact layout (SNK1-SNK3)."""
+"""Clustered fact layout (SNK2). Layers are published by :mod:`tripmart.sources.commits` (SNK1, SNK3)."""
 
 from __future__ import annotations
 
-import json
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 CLUSTER_KEYS = ("pickup_date_key", "pickup_zone_key", "source_record_hash")
 
 
-def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, check=None) -> DataFrame:
-    """Full refresh of a dataset under ``path``, switched to only when its check passes.
-
-    Each refresh writes a version folder; ``check`` may raise on the written
-    copy, and then the version in use stays. The name of the version in use
-    is a one-row table, so any reader finds it with Spark alone.
-    """
-    spark = df.sparkSession
-    version = f"{path}/{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(version)
-    copy = spark.read.schema(df.schema).parquet(version).select(*df.columns)
-    if check is not None:
-        check(copy)
-    pointer = spark.createDataFrame([(version, df.schema.json())], "version string, layout string")
-    pointer.coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
-    return copy
-
-
-def read_published(spark: SparkSession, path: str) -> DataFrame:
-    """The version of a published dataset that is in use."""
-    version, layout = spark.read.parquet(f"{path}/current").first()
-    schema = StructType.fromJson(json.loads(layout))
-    return spark.read.schema(schema).parquet(version).select(*schema.names)
-
-
-def publish_split(classified: DataFrame, path: str, flag: str = "_is_quarantined", check=None) -> DataFrame:
-    """Write the classified frame once, partitioned by the quarantine flag.
-
-    The classification is computed a single time; the valid and quarantined
-    datasets are the two values of the flag, which readers select by
-    partition pruning.
-    """
-    return publish(classified, path, [flag], check)
-
-
 def clustered(fact: DataFrame, keys: tuple[str, ...] = CLUSTER_KEYS) -> DataFrame:
     """Range-cluster the fact on its main filter keys before writing.
 
@@ -59,7 +17,3 @@ def clustered(fact: DataFrame, keys: tuple[str, ...] = CLUSTER_KEYS) -> DataFram
     session's shuffle partitions, which AQE merges by size.
     """
     return fact.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
-
-
-def publish_clustered(fact: DataFrame, path: str, keys: tuple[str, ...] = CLUSTER_KEYS, check=None) -> DataFrame:
-    return publish(clustered(fact, keys), path, check=check)
