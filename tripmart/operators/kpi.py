@@ -18,7 +18,3 @@ def count_where(cond: Column) -> Column:
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Safe ratio of two aggregates (NULL on zero), exact as far as decimals go."""
     return F.try_divide(numerator, denominator)
-
-
-def mean(value: Column) -> Column:
-    return F.avg(value)

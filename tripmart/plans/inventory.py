@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.operators.kpi import count_where, mean, ratio, sum_where
+from tripmart.operators.checks import combine
+from tripmart.operators.kpi import count_where, ratio, sum_where
 from tripmart.operators.lookup import broadcast_bounded
+from tripmart.plans.states import EFFICIENT
 
 c = F.col
 
@@ -112,13 +114,11 @@ ROUTE_ERROR, ROUTE_SIGMAS = 0.02, 4
 
 
 def fact_routes_approx(lake) -> DataFrame:
-    """Distinct routes, and whether the HyperLogLog estimate of them is as near as promised."""
-    exact = F.count_distinct("route_key")
-    estimate = F.approx_count_distinct("route_key", ROUTE_ERROR)
-    near = F.abs(estimate - exact) <= F.ceil(exact * F.lit(ROUTE_ERROR * ROUTE_SIGMAS))
-    return lake.fact_trips.select("route_key").agg(
-        exact.alias("distinct_routes"), near.alias("estimate_within_tolerance")
-    )
+    """Distinct routes, and whether the union of the months' sketches estimates them as near as promised."""
+    exact = lake.fact_states.agg(F.count_distinct("route_key").alias("distinct_routes"))
+    estimate = lake.fact_sketches.agg(F.hll_sketch_estimate(F.hll_union_agg("routes")).alias("estimate"))
+    near = F.abs(c("estimate") - c("distinct_routes")) <= F.ceil(c("distinct_routes") * F.lit(ROUTE_ERROR * ROUTE_SIGMAS))
+    return combine(exact, estimate).select("distinct_routes", F.coalesce(near, c("distinct_routes") == 0).alias("estimate_within_tolerance"))
 
 
 def _usage(lake, dimension: str, key: str, fact_key: str, *columns: str) -> DataFrame:
@@ -152,7 +152,7 @@ def vendor_usage(lake) -> DataFrame:
 
 def _with_payment(lake) -> DataFrame:
     pay = broadcast_bounded(lake.dim_payment_type, 8)
-    return lake.fact_trips.join(pay, "payment_type_key")
+    return lake.fact_states.join(pay, "payment_type_key")
 
 
 def kpi_by_payment_type(lake) -> DataFrame:
@@ -171,24 +171,28 @@ def kpi_by_payment_type(lake) -> DataFrame:
 def kpi_by_rate_code(lake) -> DataFrame:
     rate = broadcast_bounded(lake.dim_rate_code, 8)
     return (
-        lake.fact_trips.drop("airport_code")
-        .join(rate, "rate_code_key")
+        lake.fact_states.join(rate, "rate_code_key")
         .groupBy("rate_code_name", "rate_category", "airport_code")
         .agg(F.sum("trip_count").alias("trip_count"), F.sum("total_amount").alias("total_amount"))
         .orderBy(c("trip_count").desc())
     )
 
 
+def _mean(measure: str):
+    """Mean of a measure over the trips that have it, from its sums and counts."""
+    return ratio(F.sum(measure), F.sum(f"rows_{measure}"))
+
+
 def kpi_by_airport(lake) -> DataFrame:
     segment = F.coalesce(c("airport_trip_code"), F.lit("Non-airport")).alias("airport_trip_segment")
     return (
-        lake.fact_trips.groupBy(segment)
+        lake.fact_states.groupBy(segment)
         .agg(
             F.sum("trip_count").alias("trip_count"),
             F.sum("total_amount").alias("total_amount"),
-            mean(c("total_amount")).alias("average_total_amount"),
-            mean(c("trip_distance_miles")).alias("average_distance"),
-            mean(c("trip_duration_minutes")).alias("average_duration"),
+            _mean("total_amount").alias("average_total_amount"),
+            _mean("trip_distance_miles").alias("average_distance"),
+            _mean("trip_duration_minutes").alias("average_duration"),
         )
         .orderBy(c("trip_count").desc())
     )
@@ -197,30 +201,24 @@ def kpi_by_airport(lake) -> DataFrame:
 def kpi_by_route(lake) -> DataFrame:
     """Trips and recorded amount per pickup/dropoff zone pair."""
     return (
-        lake.fact_trips.groupBy("route_key", "pickup_zone_key", "dropoff_zone_key")
+        lake.fact_states.groupBy("route_key", "pickup_zone_key", "dropoff_zone_key")
         .agg(
             F.sum("trip_count").alias("trip_count"),
             F.sum("total_amount").alias("total_amount"),
-            count_where(c("is_route_metric_eligible")).alias("route_eligible_trips"),
+            F.sum("route_eligible_trips").alias("route_eligible_trips"),
         )
         .orderBy(c("trip_count").desc(), "route_key")
     )
 
 
 def kpi_baseline(lake) -> DataFrame:
-    """Business KPI baseline: totals, filtered sums and ratios of sums (AG17)."""
+    """Business KPI baseline: totals, filtered sums and ratios of sums (AG17), folded from additive states."""
     f = _with_payment(lake)
-    eligible = c("is_efficiency_kpi_eligible")
     card = c("payment_type_code") == 1
-    has_pax = c("passenger_count").isNotNull()
     trips = F.sum("trip_count")
     amount = F.sum("total_amount")
-    el_trips = sum_where(c("trip_count"), eligible)
-    el_miles = sum_where(c("trip_distance_miles"), eligible)
-    el_minutes = sum_where(c("trip_duration_minutes"), eligible)
-    el_amount = sum_where(c("total_amount"), eligible)
-    pax = sum_where(c("passenger_count"), has_pax)
-    pax_trips = count_where(has_pax)
+    el_trips, el_amount, el_miles, el_minutes = (F.sum(f"efficient_{m}") for m in EFFICIENT)
+    pax, pax_trips = F.sum("passenger_count"), F.sum("rows_passenger_count")
     return f.agg(
         trips.alias("trip_count"),
         amount.alias("total_recorded_amount"),

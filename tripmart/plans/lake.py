@@ -28,7 +28,7 @@ from tripmart.config import FIXTURE_CONFIG, RunConfig
 from tripmart.operators.checks import ExpectationError, enforce
 from tripmart.operators.dedup import duplicate_groups_by
 from tripmart.operators.lookup import discard
-from tripmart.plans import gold, silver
+from tripmart.plans import gold, silver, states
 from tripmart.session import shared_folder
 from tripmart.sources import fixtures
 from tripmart.sources.commits import CommitConflict, Store, rows_of
@@ -100,7 +100,8 @@ class Lake:
     #: Published layers in the order a refresh writes them.
     PUBLISHED = (
         "raw_trips", "bronze_trips", "silver_zones", "quarantine_zones", "duplicate_groups", "trips_classified",
-        "silver_baseline", "dim_date", "dim_pickup_zone", "dim_dropoff_zone", "fact_trips",
+        "silver_baseline", "dim_date", "dim_pickup_zone", "dim_dropoff_zone", "fact_trips", "fact_states", "fact_members",
+        "fact_sketches",
     )
 
     def refresh(self, whole: bool = False) -> "Lake":
@@ -446,6 +447,37 @@ class Lake:
         sources = self.sources_of("trips_classified", self._zone_digest, self._calendar)
         return self._monthly("fact_trips", SOURCE_BY, sources, build)
 
+    def _of_fact(self, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """State of the fact by source partition, renewed where the fact was."""
+        self.fact_trips
+        months = lambda found: build(_in_months(self.fact_trips, SOURCE_BY, found))
+        return self._monthly(name, SOURCE_BY, self.sources_of("fact_trips"), months)
+
+    @cached_property
+    def fact_states(self) -> DataFrame:
+        """Additive sums of the fact; KPIs fold them."""
+        return self._of_fact("fact_states", states.fact_states)
+
+    @cached_property
+    def fact_members(self) -> DataFrame:
+        """Members that the fact's foreign keys use, with their rows."""
+        from tripmart.plans.gold_validation import FOREIGN_KEYS
+
+        keys = [k.fact for k in FOREIGN_KEYS]
+        return self._of_fact("fact_members", lambda fact: states.fact_members(fact, keys))
+
+    @cached_property
+    def fact_sketches(self) -> DataFrame:
+        """Sketches of the fact's routes."""
+        return self._of_fact("fact_sketches", states.fact_sketches)
+
+    def counts(self, name: str) -> DataFrame:
+        """Rows per partition value of a published layer, from the footers of its files."""
+        getattr(self, name)
+        # Only the reader that `counts` asks for heeds this.
+        self.spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        return self.store.counts(self._layers[name], name)
+
 
 def _month(part: dict) -> Month:
     year, month, *_ = part["values"].values()
