@@ -107,7 +107,7 @@ def test_reports_on_states_read_no_fact(lake):
         plan = _plan(report(lake))
         assert "/fact_trips/" not in plan and ("/fact_states/" in plan or "/fact_members/" in plan), report.__name__
     plan = _plan(reports.bronze_reconciliation(lake))
-    assert plan.count("PushedAggregation: [COUNT(*)]") == 2 and "ReadSchema: struct<count(*):bigint>" in plan
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 2, plan
 
 
 def test_orphans_are_found_in_the_members(spark, lake):

@@ -471,12 +471,14 @@ class Lake:
         """Sketches of the fact's routes."""
         return self._of_fact("fact_sketches", states.fact_sketches)
 
-    def counts(self, name: str) -> DataFrame:
-        """Rows per partition value of a published layer, from the footers of its files."""
+    def counts(self, name: str, year: int) -> DataFrame:
+        """Rows per partition value of one year of a published layer, from the footers of its files."""
         getattr(self, name)
+        layer = self._layers[name]
+        parts = [p for p in layer["parts"] if _month(p)[0] == year]
         # Only the reader that `counts` asks for heeds this.
         self.spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-        return self.store.counts(self._layers[name], name)
+        return self.store.counts(layer | {"parts": parts}, name)
 
 
 def _month(part: dict) -> Month:

@@ -17,9 +17,8 @@ def bronze_reconciliation(lake) -> DataFrame:
 
     Both sides are answered from file footers; no row is read.
     """
-    year = str(lake.cfg.expected_pickup_year)
     source, bronze = (
-        lake.counts(layer).where(c("year") == year).withColumnRenamed("rows", name)
+        lake.counts(layer, lake.cfg.expected_pickup_year).withColumnRenamed("rows", name)
         for layer, name in (("raw_trips", "source_count"), ("bronze_trips", "bronze_count"))
     )
     both = source.join(bronze, ["year", "month"], "full").select(
