@@ -79,3 +79,43 @@ def test_one_pass_answers_as_two(docs_of):
 def test_digests_of_empty_tables(docs_of):
     assert bpe.round_trip(docs_of([])).count() == 0
     assert {r["n_tokens"] for r in bpe.round_trip(docs_of([None, ""])).collect()} == {0}
+
+
+def test_small_memories_and_steps_give_the_same_ids(monkeypatch):
+    library, t = Tokenizer.from_file(BYTE), bpe.transducer(BYTE)
+    monkeypatch.setattr(bpe, "TOGETHER", 50)
+    monkeypatch.setattr(bpe, "LONG", 300)
+    memory = bpe.Memory(room=20)
+    for _ in range(2):
+        got = t.encode_all(TEXTS, memory)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library.encode(x or "", add_special_tokens=False).ids for x in TEXTS]
+    assert len(memory.young) + len(memory.old) <= 2 * (20 + 50)
+
+
+def test_pieces_met_again_stay_in_memory():
+    memory = bpe.Memory(room=10)
+    for i in range(100):
+        memory.keep({"often": b"1"} | {f"{i}-{k}": b"2" for k in range(3)})
+        assert memory.known({"often"}) == {"often": b"1"} and len(memory.young) + len(memory.old) < 30
+
+
+def test_pieces_merged_together_as_one_by_one():
+    t = bpe.transducer(BYTE)
+    raws = ["".join(R.choice("aeiouthsnr é日") for _ in range(R.randint(1, 40))).encode() for _ in range(500)]
+    want = [np.array(t.merge(r), "<u4").tobytes() for r in raws]
+    assert t.merge_together(list(raws)) == want
+    t.ordered = False
+    assert t.merge_together(list(raws)) == want
+    t.ordered = True
+
+
+def test_memory_of_a_long_text():
+    """Beside a text of 30 MB the encoder holds a small multiple of it."""
+    import tracemalloc
+
+    t, text = bpe.transducer(BYTE), "the quick brown fox jumps over one lazy dog and " * 650_000
+    tracemalloc.start()
+    t.encode_all([text], bpe.Memory())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * len(text)

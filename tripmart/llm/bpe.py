@@ -14,6 +14,7 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import regex
@@ -21,10 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import map_rows, read_table
-from tripmart.llm.tokencount import byte_symbols
+from tripmart.llm.tokencount import NONE, _every_other, byte_symbols
 
-#: Bytes a window holds besides the lookahead, and pieces a worker remembers.
-WINDOW, REMEMBERED, SHORT = 1024, 150_000, 64
+#: Bytes a window holds besides the lookahead; pieces each of a task's two memories holds; bytes of a short piece.
+WINDOW, REMEMBERED, SHORT = 1024, 75_000, 64
+#: Pieces that are looked up together, and characters from which a text is split step by step.
+TOGETHER, LONG = 1 << 16, 1 << 20
 #: The pre-token pattern of the format (fixed value), with Unicode white space spelled out.
 _PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -55,6 +58,32 @@ def sufficient_lookahead(merges: list[tuple[int, int]], made: list[int], sizes:
     return max(max(own), max(following))
 
 
+class Memory:
+    """Pieces met lately with their ids: two generations of bounded size.
+
+    A piece that is met again moves to the younger one; when that is full it
+    becomes the older one, which goes. Frequent pieces so never leave.
+    """
+
+    def __init__(self, room: int = REMEMBERED):
+        self.room = room
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def known(self, pieces: set[str]) -> dict[str, bytes]:
+        found = {}
+        for p in pieces:
+            ids = self.young.get(p) or self.old.get(p)
+            if ids is not None:
+                found[p] = ids
+        return found
+
+    def keep(self, pieces: dict[str, bytes]) -> None:
+        self.young.update(pieces)
+        if len(self.young) >= self.room:
+            self.young, self.old = {}, self.young
+
+
 class Transducer:
     """Tables of a byte-level BPE file."""
 
@@ -66,6 +95,7 @@ class Transducer:
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
         self.byte = [vocab[c] for c in symbols]
         self.rule = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in reversed([*enumerate(pairs)])}
+        self._tables(vocab, pairs)
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*vocab.values(), *added.values()]) + 1
         self.bytes_of = [b""] * size
@@ -81,6 +111,48 @@ class Transducer:
         self.window = max(WINDOW, max(map(len, self.bytes_of)))
         self.path, self.library_split = path, None
 
+    def _tables(self, vocab: dict[str, int], pairs: list[tuple[str, str]]) -> None:
+        """The merge list as sorted arrays, for pieces that are merged side by side."""
+        self.size = max(vocab.values()) + 1
+        keys = np.array([vocab[a] * self.size + vocab[b] for a, b in pairs], dtype=np.int64)
+        made = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.ranks, self.made = keys[order], np.arange(len(keys))[order], made[order]
+        born = np.full(self.size, -1)
+        born[made] = np.arange(len(made))
+        parts = np.array([[vocab[a], vocab[b]] for a, b in pairs])
+        #: Every merge comes after those that make its parts: equal pairs of a piece may then merge at once.
+        self.ordered = bool((born[parts].max(axis=1) < np.arange(len(parts))).all())
+        self.first = np.array(self.byte, dtype=np.int64)
+
+    def merge_together(self, raws: list[bytes]) -> list[bytes]:
+        """Packed ids of short pieces, each round merging the lowest pair of every piece at once."""
+        sizes = np.fromiter(map(len, raws), dtype=np.int64, count=len(raws))
+        ids, owner = self.first[np.frombuffer(b"".join(raws), dtype=np.uint8)], np.repeat(np.arange(len(raws)), sizes)
+        done_ids, done_owner = [], []
+        while len(ids):
+            keys = ids[:-1] * self.size + ids[1:]
+            slot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            known = (self.keys[slot] == keys) & (owner[:-1] == owner[1:])
+            ranks = np.append(np.where(known, self.ranks[slot], NONE), NONE)
+            heads = np.flatnonzero(np.diff(owner, prepend=-1))
+            best = np.minimum.reduceat(ranks, heads)
+            best = np.repeat(best, np.diff(np.append(heads, len(ids))))
+            ended = best == NONE
+            done_ids.append(ids[ended])
+            done_owner.append(owner[ended])
+            at = np.flatnonzero((ranks == best) & ~ended)
+            at = _every_other(at) if self.ordered else at[np.diff(owner[at], prepend=-1) != 0]
+            keep = ~ended
+            ids[at] = self.made[slot[at]]
+            keep[at + 1] = False
+            ids, owner = ids[keep], owner[keep]
+        owners = np.concatenate(done_owner) if done_owner else np.empty(0, np.int64)
+        order = np.argsort(owners, kind="stable")
+        packed = np.concatenate(done_ids)[order].astype("<u4").tobytes() if len(owners) else b""
+        ends = np.cumsum(np.bincount(owners, minlength=len(raws))) * 4
+        return [packed[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+
     def merge(self, raw: bytes) -> list[int]:
         """BPE of bytes that are held whole."""
         ids, rule = [self.byte[b] for b in raw], self.rule
@@ -154,23 +226,48 @@ class Transducer:
             return [text[a:b] for _, (a, b) in self.library_split(text)]
         return _PIECES.findall(text)
 
-    def encode(self, text: str | None, seen: dict[str, bytes]) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers; ``seen`` remembers pieces, up to a bound."""
-        out = []
-        if len(seen) > REMEMBERED:
-            seen.clear()
-        for part in self.cut.split(text or ""):
-            if part in self.special:
-                out.append(self.special[part])
-                continue
-            for p in self.pieces(part):
-                ids = seen.get(p)
-                if ids is None:
-                    ids = self.piece(p)
-                    if len(p) <= SHORT:
-                        seen[p] = ids
-                out.append(ids)
-        return b"".join(out)
+    def steps(self, text: str) -> Iterator[list[str]]:
+        """Pieces of a text, a bounded number at a time if it is long."""
+        if len(text) <= LONG or (not text.isascii() and _RARE.search(text)):
+            yield self.pieces(text)
+            return
+        found = (m.group() for m in _PIECES.finditer(text))
+        while some := list(islice(found, TOGETHER)):
+            yield some
+
+    def encode_all(self, texts: list[str | None], memory: Memory) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        waiting: list[tuple[int, list[str] | bytes]] = []
+        count = 0
+        for i, text in enumerate(texts):
+            for part in self.cut.split(text or ""):
+                if part in self.special:
+                    waiting.append((i, self.special[part]))
+                    continue
+                for some in self.steps(part):
+                    waiting.append((i, some))
+                    count += len(some)
+                    if count >= TOGETHER:
+                        self._answer(waiting, out, memory)
+                        waiting, count = [], 0
+        self._answer(waiting, out, memory)
+        return [b"".join(x) for x in out]
+
+    def _answer(self, waiting: list[tuple[int, list[str] | bytes]], out: list[list[bytes]], memory: Memory) -> None:
+        """Append the ids of waiting pieces, merging each unknown one once."""
+        distinct = set().union(*[x for _, x in waiting if isinstance(x, list)])
+        table = memory.known(distinct)
+        fresh = {p: p.encode() for p in distinct if p not in table}
+        short = [p for p, raw in fresh.items() if len(raw) <= SHORT]
+        table.update(zip(short, self.merge_together([fresh[p] for p in short])))
+        memory.keep({p: table[p] for p in distinct if len(p) <= SHORT and p in table})
+        table.update((p, self.piece(p)) for p in fresh if p not in table)
+        for i, x in waiting:
+            out[i].append(x if isinstance(x, bytes) else b"".join(map(table.__getitem__, x)))
+
+    def encode(self, text: str | None, memory: Memory) -> bytes:
+        return self.encode_all([text], memory)[0]
 
     def decode(self, ids: bytes, step: int = 1 << 16) -> str:
         """Text of packed ids; a byte sequence cut between steps waits in the decoder's state."""
@@ -195,14 +292,14 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     Null and empty texts have no ids; special strings in a text become their
     token; repeated rows are encoded row by row; an empty table gives an
-    empty one. Only ``doc_id`` and ``text`` are read.
+    empty one. A very long text is split a bounded number of pieces at a time
+    (whole, where rare scripts need the library's own splitting), so beside it
+    only its ids are held. Only ``doc_id`` and ``text`` are read.
     """
-
-    seen: dict[str, bytes] = {}  # of one task: it goes when the task ends
+    memory = Memory()  # of one task: it goes when the task ends
 
     def run(cols: dict) -> dict:
-        t = transducer(path)
-        return {"doc_id": cols["doc_id"], "ids": [t.encode(x, seen) for x in cols["text"]]}
+        return {"doc_id": cols["doc_id"], "ids": transducer(path).encode_all(cols["text"], memory)}
 
     return map_rows(docs.select("doc_id", "text"), "doc_id bigint, ids binary", run)
 
@@ -223,11 +320,11 @@ def transcode(docs: DataFrame, path: str) -> DataFrame:
     Answers as :func:`encode` followed by :func:`decode`, with one Python
     worker for each running task instead of two.
     """
-    seen: dict[str, bytes] = {}
+    memory = Memory()
 
     def run(cols: dict) -> dict:
         t = transducer(path)
-        ids = [t.encode(x, seen) for x in cols["text"]]
+        ids = t.encode_all(cols["text"], memory)
         return {"doc_id": cols["doc_id"], "ids": ids, "text": [t.decode(x) for x in ids]}
 
     return map_rows(docs.select("doc_id", "text"), "doc_id bigint, ids binary, text string", run)
