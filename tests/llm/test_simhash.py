@@ -111,3 +111,11 @@ def test_one_of_each_group(spark, docs_of):
     kept = sorted(((r["doc_id"], r["text"]) for r in simhash.one_of_each_group(df).collect()), key=str)
     assert kept == sorted([(1, "alpha beta gamma delta"), (1, "other text entirely here"), (None, "quite alone it stands")], key=str)
     assert simhash.one_of_each_group(docs.limit(0)).count() == 0
+
+
+def test_repeated_ids_beside_a_column_of_the_helper_name(docs_of):
+    docs = docs_of(["one two three four", "other words stand here", "one two three four"]).selectExpr(
+        "IF(doc_id = 2, 0, doc_id) AS doc_id", "text", "lang", "source", "n_chars", "'x' AS __print", "'y' AS __PRINT_"
+    )
+    kept = simhash.one_of_each_group(docs)
+    assert kept.schema == docs.schema and sorted(r["doc_id"] for r in kept.collect()) == [0, 1]

@@ -204,15 +204,16 @@ def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RAD
     once = winners.join(again, same, "left_anti")
     more = winners.join(again, same, "left_semi").distinct()
     plain = docs.join(once, docs["doc_id"].eqNullSafe(once["__id"]), "left_semi")
-    marked = _with_fingerprint(docs, shingle)
-    marked = marked.join(
-        more, marked["doc_id"].eqNullSafe(more["__id"]) & (marked["__print"] == more["__fp"]), "left_semi"
-    )
-    return plain.select(cols).unionAll(marked.dropDuplicates(["doc_id", "__print"]).select(cols))
+    name = "__print"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    marked = _with_fingerprint(docs, shingle, name)
+    marked = marked.join(more, marked["doc_id"].eqNullSafe(more["__id"]) & (marked[name] == more["__fp"]), "left_semi")
+    return plain.select(cols).unionAll(marked.dropDuplicates(["doc_id", name]).select(cols))
 
 
-def _with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
-    at, schema = docs.columns.index("text"), T.StructType([*docs.schema.fields]).add("__print", T.LongType())
+def _with_fingerprint(docs: DataFrame, shingle: int, name: str) -> DataFrame:
+    at, schema = docs.columns.index("text"), T.StructType([*docs.schema.fields]).add(name, T.LongType())
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
