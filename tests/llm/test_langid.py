@@ -78,3 +78,27 @@ def test_labelled_texts_without_letters_do_not_stop_rejection(spark, docs_of, mo
     assert spoiled.languages == model.languages and (spoiled.floors == model.floors).all()
     known = langid.identify(docs.filter(langid.held_out()), spoiled).filter("lang_pred <> 'und'")
     assert known.agg(F.avg(F.col("rejected").cast("int"))).first()[0] < 0.01
+
+
+def test_every_language_is_learned_however_many(spark):
+    """300 languages, each with words of its own: no most frequent ones, and a few texts of each."""
+    rows = []
+    for lang in range(300):
+        words = [f"{chr(97 + lang % 26)}{chr(97 + lang // 26)}{v}" for v in ("aq", "ez", "ix", "ow", "uk")]
+        rows += [(lang * 20 + i, " ".join(words[(i + k) % 5] for k in range(12)), f"l{lang:03}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(docs, F.lit(True))
+    assert len(set(model.languages)) == 300
+
+
+def test_one_language_needs_no_window(spark, docs_of):
+    docs = docs_of([f"the words of text number {i} are plain" for i in range(50)])
+    model = langid.fit(docs, F.lit(True), sample_rows=10)
+    assert set(model.languages) == {"en"}
+
+
+def test_repeated_ids_give_one_model(spark):
+    rows = [(i % 7, f"text {i} of some words", "en") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    one, two = langid.fit(docs, F.lit(True)), langid.fit(docs.orderBy(F.desc("text")), F.lit(True))
+    assert (one.centroids == two.centroids).all() and (one.idf == two.idf).all()

@@ -14,16 +14,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import crc_mod, keep_rows, map_rows, read_table
+from tripmart.llm.common import crc_mod, hash_share, keep_rows, map_rows, read_table
 
 DIM_BITS = 12
 DIM = 1 << DIM_BITS
 UNKNOWN = "und"
-#: Bounds of the training sample, of the languages learned (the most frequent), and of a language's centroids.
-SAMPLE_ROWS, LANGUAGES, CENTROIDS, ROUNDS = 2000, 256, 4, 12
+#: About so many training texts in all, but so many of each language at least; centroids of a language.
+SAMPLE_ROWS, EACH_ROWS, CENTROIDS, ROUNDS = 2000, 8, 4, 12
 #: A text is rejected below this share of a low quantile of the held-out cosines of its language and size.
 SLACK, QUANTILE = 0.4, 0.01
 #: One sample text in so many is held out for that; sizes are powers of two of n-grams; fewer cosines than LEAST tell nothing.
@@ -133,21 +133,22 @@ def _k_means(x: np.ndarray, k: int) -> np.ndarray:
 
 
 def fit(docs: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Centroids from a bounded sample: ``sample_rows`` over all languages, the same number of each.
+    """Centroids of every language from a sample of about ``sample_rows`` texts, about as many of each language.
 
-    The sample is the rows of smallest id hash of each language, chosen over
-    the narrow columns; texts are turned into counts for them only. A text
-    without n-grams teaches nothing and is left out before.
+    Of each language the texts below a share of the id's hash are taken, the
+    share following from the language's count; with very many languages each
+    still has about ``EACH_ROWS``. A text without n-grams teaches nothing and
+    is left out before. Rows that share id and language count once, by their
+    smallest text.
     """
-    named = docs.filter(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(HAS_GRAMS)).select("doc_id", "lang")
-    by_size = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    each = max(1, sample_rows // max(1, len(by_size)))
-    named = named.filter(F.col("lang").isin([r["lang"] for r in by_size]))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = named.distinct().withColumn("at", F.row_number().over(order)).filter(F.col("at") <= each).drop("at")
-    rows = docs.select("doc_id", "lang", "text").filter(train & F.col("text").rlike(HAS_GRAMS))
-    rows = rows.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi")
-    rows = rows.dropDuplicates(["doc_id", "lang"]).select("lang", "text")
+    named = docs.filter(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(HAS_GRAMS))
+    named = named.select("doc_id", "lang", "text")
+    counts = named.groupBy("lang").count().collect()  # one row per language, as the model has
+    each = max(EACH_ROWS, sample_rows // max(1, len(counts)))
+    shares = [(r["lang"], min(1.0, each / r["count"])) for r in counts]
+    shares = docs.sparkSession.createDataFrame(shares, "lang string, share double")
+    picked = named.join(F.broadcast(shares), "lang").filter(hash_share("doc_id", "language") < F.col("share"))
+    rows = picked.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
     def sparse(cols: dict) -> dict:
         """Counts of every text (fold -1 where the text is held out, else 0), and of the pieces of held-out ones (fold 1)."""

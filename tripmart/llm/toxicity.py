@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.common import crc_mod, hash_share, keep_rows, map_rows, read_table, slices
 
-#: Bounds of the labelled sample and of the lexicon.
-SAMPLE_ROWS, LEXICON_ROWS = 20_000, 20_000
+#: Bound of the labelled sample, and with it of the lexicon learned from it.
+SAMPLE_ROWS = 20_000
 THRESHOLD = 0.7
 MIN_ODDS, MIN_TOXIC = 2.0, 3
 TREES, DEPTH, RATE, BINS, L2 = 60, 3, 0.2, 32, 1.0
@@ -202,7 +202,7 @@ def _lexicon(counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int) ->
     # A key seen in few toxic texts by chance alone has few of them; more texts lift the bar.
     least = max(MIN_TOXIC, 0.002 * n_toxic)
     strong = sorted(((v, k) for k, v in odds.items() if v >= MIN_ODDS and counts[k][0] >= least), reverse=True)
-    return {k: v for v, k in strong[:LEXICON_ROWS]}
+    return {k: v for v, k in strong}
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -219,7 +219,9 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample_rows: int = SA
     share = min(1.0, sample_rows / max(1, marked.count()))
     picked = marked.filter(hash_share("doc_id", "sample") < share)
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    rows = rows.dropDuplicates(["doc_id"]).select((F.xxhash64("doc_id", F.lit("half")) % 2 != 0).alias("half"), "text", "toxic")
+    # Rows that share an id count once, by their smallest text.
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = rows.select((F.xxhash64("doc_id", F.lit("half")) % 2 != 0).alias("half"), "text", "toxic")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[bool, bool], Counter] = {}
