@@ -45,4 +45,4 @@ def test_registered_and_rows_agree(spark):
 
     names = set(__spark_entry__.queries())
     assert {"pipeline", *[n for n in names if n.startswith("op")]} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 14))
