@@ -1,12 +1,15 @@
 """The commit log (versions, conflicts, split layers, clustered fact) and the triggered Bronze refresh stream."""
 
+import glob
 import json
 import tempfile
 import threading
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tripmart.session import fixed_zone
 from tripmart.sources.commits import CommitConflict, Store, rows_of
 from tripmart.sources.sinks import clustered
 from tripmart.streaming.refresh import refresh_bronze_trips
@@ -95,13 +98,51 @@ def test_counts_read_footers_only(spark):
 
 def test_clustered_fact_round_trip(spark, lake):
     fact = lake.fact_trips.select("source_record_hash", "pickup_date_key", "pickup_zone_key", "total_amount")
+    odd = fact.limit(1).selectExpr("source_record_hash", "CAST(NULL AS INT) AS pickup_date_key", "0 AS pickup_zone_key", "total_amount")
+    fact = fact.union(odd)
     store = Store(spark, _tmp())
-    layer, _ = store.write("fact", clustered(fact))
+    layer, _ = store.write("fact", clustered(fact, (19980101, 19981231), (1, 265)))
     back = store.read(layer, "fact")
     assert back.count() == fact.count()
     assert back.exceptAll(fact).count() == 0
 
 
+def test_one_day_and_one_zone_each_skip_most_files(spark):
+    """Days of several years, zones of which one holds a third of all rows, and unknown keys."""
+    rows = spark.range(200_000).selectExpr(
+        "CAST(date_format(date_add(DATE'2023-11-01', CAST(pmod(xxhash64(id), 500) AS INT)), 'yyyyMMdd') AS INT) AS pickup_date_key",
+        "CAST(CASE WHEN id % 3 = 0 THEN 132 WHEN id % 1000 = 1 THEN 0 ELSE 1 + pmod(xxhash64(id, 1), 265) END AS INT) AS pickup_zone_key",
+        "sha2(CAST(id AS STRING), 256) AS source_record_hash",
+    )
+    path = _tmp() + "/fact"
+    clustered(rows, (20231101, 20250314), (1, 265), files=128).write.parquet(path)
+    footers = [pq.ParquetFile(p).metadata for p in glob.glob(path + "/*.parquet")]
+    assert len(footers) >= 64
+
+    def bounds(meta, column):
+        stats = [meta.row_group(g).column(column).statistics for g in range(meta.num_row_groups)]
+        return min(s.min for s in stats), max(s.max for s in stats)
+
+    for column, wanted in ((0, (20231224, 20240315, 20250101)), (1, (7, 100, 132, 265))):
+        spans = [bounds(meta, column) for meta in footers]
+        for value in wanted:
+            assert sum(a <= value <= b for a, b in spans) < (0.25 if value != 132 else 0.5) * len(spans), value
+
+
+def test_zones_that_turn_clocks_are_refused(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name, fits in (("America/New_York", False), ("Etc/UTC", True), ("+02:00", True), ("Z", True)):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            if fits:
+                assert fixed_zone(spark)
+            else:
+                with pytest.raises(ValueError, match="fixed offset"):
+                    fixed_zone(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_triggered_refresh_takes_each_file_once(spark, lake):
     landing, target, ckpt = _tmp() + "/landing", _tmp() + "/bronze", _tmp() + "/ckpt"
     raw = lake.raw_trips.drop("_source_row_id")

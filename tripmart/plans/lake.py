@@ -29,7 +29,7 @@ from tripmart.operators.checks import ExpectationError, enforce
 from tripmart.operators.dedup import duplicate_groups_by
 from tripmart.operators.lookup import discard
 from tripmart.plans import gold, silver, states
-from tripmart.session import shared_folder
+from tripmart.session import fixed_zone, shared_folder
 from tripmart.sources import fixtures
 from tripmart.sources.commits import CommitConflict, Store, rows_of
 from tripmart.sources.sinks import CLUSTER_KEYS, clustered
@@ -41,7 +41,7 @@ _RUNS: dict[tuple, "Lake"] = {}
 RAW_BY = ("year", "month")
 SOURCE_BY = ("source_year", "source_month")
 #: Columns whose bounds the commit log keeps for every part.
-BOUNDS = {"fact_trips": CLUSTER_KEYS[:2]}
+BOUNDS = {"fact_trips": CLUSTER_KEYS}
 #: A source partition: year and month.
 Month = tuple[int, int]
 
@@ -64,8 +64,9 @@ class Lake:
         self.sf_dir = sf_dir
         self.cfg = cfg
         self.inputs = fixtures.input_state(spark, sf_dir)
+        self.zone = fixed_zone(spark)
         folder = cfg.shared_folder or shared_folder(spark)
-        self.store = Store(spark, f"{folder.rstrip('/')}/lake-{_digest(sf_dir, cfg)[:16]}")
+        self.store = Store(spark, f"{folder.rstrip('/')}/lake-{_digest(sf_dir, cfg, self.zone)[:16]}")
         self._adopt(self.store.head())
         self._written: list[dict] = []
         self._in_refresh = False
@@ -442,11 +443,18 @@ class Lake:
             if rules:
                 source = source.observe(seen, *[m.alias(k) for k, (_, m) in rules.items()])
             inside = [({k: n for k, (n, _) in rules.items()}, seen)] if rules else []
-            return clustered(gold.fact_trips(self, source)), inside
+            return clustered(gold.fact_trips(self, source), days, zones), inside
 
+        days = self._known_keys("dim_date", "date_key")
+        zones = self._known_keys("dim_pickup_zone", "pickup_zone_key")
         sources = self.sources_of("trips_classified", self._zone_digest, self._calendar)
         return self._monthly("fact_trips", SOURCE_BY, sources, build)
 
+    def _known_keys(self, dimension: str, key: str) -> tuple[int, int]:
+        """Least and largest key of a dimension beside its unknown member (0)."""
+        known = self.dimension(dimension).where(F.col(key) > 0)
+        return tuple(known.agg(F.coalesce(F.min(key), F.lit(0)), F.coalesce(F.max(key), F.lit(0))).first())
+
     def _of_fact(self, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """State of the fact by source partition, renewed where the fact was."""
         self.fact_trips

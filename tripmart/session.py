@@ -65,6 +65,20 @@ def shared_folder(spark: SparkSession) -> str:
     return named or checkpoint_dir(spark)
 
 
+def fixed_zone(spark: SparkSession) -> str:
+    """The session's time zone, which must have one offset all year.
+
+    Raw timestamps are wall-clock times. Zones that turn their clocks have no
+    such time for an hour a year, and would move it before it is hashed; layers
+    of sessions in different zones are kept apart.
+    """
+    name = spark.conf.get("spark.sql.session.timeZone")
+    zone = spark._jvm.java.time.ZoneId.of(name, spark._jvm.java.time.ZoneId.SHORT_IDS)
+    if not zone.getRules().isFixedOffset():
+        raise ValueError(f"spark.sql.session.timeZone is {name}: a zone of one fixed offset, such as UTC, is needed")
+    return zone.normalized().getId()
+
+
 def is_one_machine(master: str) -> bool:
     """Whether executors share the driver's machine and process (``local``, ``local[n]``)."""
     return master == "local" or master.startswith("local[")
