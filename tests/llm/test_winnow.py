@@ -24,11 +24,11 @@ def _case():
     return docs, items
 
 
-@pytest.mark.parametrize("block_bytes", [1, 60, 8 << 20])
-def test_matches_brute_force(spark, docs_of, block_bytes):
+@pytest.mark.parametrize("broadcast_bytes", [0, 64 << 20])
+def test_matches_brute_force(spark, docs_of, broadcast_bytes):
     docs, items = _case()
     bench = spark.createDataFrame([(int(i), t) for i, t in items], "item_id bigint, text string")
-    got = winnow.decontaminate(docs_of(docs, extra=True), bench, block_bytes).collect()
+    got = winnow.decontaminate(docs_of(docs, extra=True), bench, broadcast_bytes).collect()
     for r in got:
         n, hit, found, _ = winnow.brute_force(docs[r["doc_id"]], items)
         assert (r["n_words"], r["n_hit"], r["n_items"]) == (n, hit, found), docs[r["doc_id"]]
@@ -64,3 +64,23 @@ def test_filter_keeps_columns_and_clean_rows(spark, docs_of):
     kept = winnow.drop_contaminated(docs, bench)
     assert kept.schema == docs.schema
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4]
+
+
+def test_texts_of_one_word_cost_no_product_of_lengths(spark, docs_of):
+    """Equal contexts are one row on both sides, however often a text repeats itself."""
+    bench = spark.createDataFrame([(1, "a " * 5000), (2, "a " * 4000 + "b")], "item_id bigint, text string")
+    docs = docs_of(["a " * 20_000 + "b", "a " * 6000, "a " * 12, None])
+    got = {r["doc_id"]: r for r in winnow.decontaminate(docs, bench).collect()}
+    assert [(got[i]["n_words"], got[i]["n_hit"], got[i]["items"]) for i in range(4)] == [
+        (20_001, 20_001, ["1", "2"]), (6000, 6000, ["1", "2"]), (12, 0, []), (0, 0, []),
+    ]
+
+
+def test_repeated_ids_and_columns_of_helper_names(spark, docs_of):
+    item = " ".join(f"w{i}" for i in range(20))
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    docs = docs_of([item, "clean", item]).selectExpr("CASE WHEN doc_id < 2 THEN 7 END AS doc_id", "text", "'x' AS text_key", "1 AS n_hit", "2 AS spots")
+    got = winnow.decontaminate(docs, bench).collect()
+    assert sorted((r["doc_id"] or 0, r["n_hit"]) for r in got) == [(0, 20), (7, 0), (7, 20)]
+    kept = winnow.drop_contaminated(docs, bench)
+    assert kept.schema == docs.schema and [r["text"] for r in kept.collect()] == ["clean"]

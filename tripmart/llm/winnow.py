@@ -2,32 +2,34 @@
 
 Texts become word sequences; every run of ``w`` consecutive ``k``-grams keeps
 its k-gram of minimum hash, on both sides by the same rule, so a shared span
-of ``w + k - 1`` words shares a kept hash at the same place. A shared hash is
-then extended word by word in both directions, and only runs as long as a
-window count. Windows have 13 words (``k = w = 7``); an item of ``L < 13``
+of ``w + k - 1`` words shares a kept hash at the same place. The kept hashes of
+documents and benchmark are joined; a shared one is then extended word by word
+in both directions, as far as a window that keeps it can reach, and only runs
+as long as a window count. Windows have 13 words (``k = w = 7``); an item of ``L < 13``
 words is one window of ``L`` words with its own ``k`` and ``w``.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import keep_rows, map_rows, mix64, read_table, span_hashes, word_spans
+from tripmart.llm.common import map_rows, mix64, read_table, slices, span_hashes, word_spans
+from tripmart.operators.lookup import BROADCAST_BYTES, broadcast_bounded, discard, materialize
 
 WINDOW = 13
 #: ASCII other than letters and digits parts words; A-Z fold to a-z.
 FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-SCHEMA = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items array<string>"
+#: Bytes of text that a task works on at a time, and what one shared place is taken to weigh in a broadcast.
+SLICE, HIT_BYTES = 1 << 20, 64
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -55,26 +57,6 @@ def kept_grams(hashes: np.ndarray, owner: np.ndarray, span: int) -> tuple[np.nda
     return at, grams[at]
 
 
-class Block:
-    """Kept hashes and words of one bounded run of benchmark items."""
-
-    def __init__(self, items: list[tuple[str, list[bytes]]]):
-        self.items = items
-        self.spans: dict[int, tuple[np.ndarray, dict[int, list[tuple[int, int]]]]] = {}
-        by_span = defaultdict(list)
-        for i, (_, words) in enumerate(items):
-            if words:
-                by_span[min(WINDOW, len(words))].append(i)
-        for span, members in by_span.items():
-            places = defaultdict(list)
-            for i in members:
-                hashes, _, _ = hash_words([b" ".join(items[i][1])])
-                at, grams = kept_grams(hashes, np.zeros(len(hashes), np.int64), span)
-                for p, g in zip(at.tolist(), grams.tolist()):
-                    places[g].append((i, p))
-            self.spans[span] = np.array(sorted(places), dtype=np.uint64), dict(places)
-
-
 def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, tuple]:
     """Hashes of all words of folded texts, the text each is from, and their spans in the joined buffer."""
     joined = b" ".join(texts)
@@ -86,118 +68,183 @@ def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, tuple]:
     return span_hashes(buf, starts, ends), np.searchsorted(heads, starts, "right") - 1, (joined, starts, ends)
 
 
-def _extend(doc: list[bytes], p: int, item: list[bytes], q: int) -> tuple[int, int]:
-    a, i = p, q
-    while a and i and doc[a - 1] == item[i - 1]:
-        a, i = a - 1, i - 1
-    b, i = p, q
-    while b < len(doc) and i < len(item) and doc[b] == item[i]:
-        b, i = b + 1, i + 1
-    return a, b
+def context(words: list[bytes], p: int, span: int) -> tuple[bytes, bytes]:
+    """Words before the k-gram at ``p``, and words from it on, that windows of ``span`` words around it can hold."""
+    k, w = gram_sizes(span)
+    return b" ".join(words[max(0, p - w + 1) : p]), b" ".join(words[p : p + k + w - 1])
 
 
-def find_hits(texts: list[str | None], blocks: Iterator[Block]) -> tuple[list[int], list[int], list[list[str]]]:
-    """Words, hit words and occurring items of each text, over all blocks of the benchmark."""
-    folded = [(t or "").encode().translate(FOLD) for t in texts]
-    hashes, owner, (joined, starts, ends) = hash_words(folded)
+def extent(before: str, after: str, item_before: str, item_after: str) -> tuple[int, int]:
+    """How many words before the shared place and from it on are equal in both contexts."""
+    sides = (before.split()[::-1], item_before.split()[::-1]), (after.split(), item_after.split())
+    return tuple(next((i for i, (x, y) in enumerate(zip(*s)) if x != y), min(map(len, s))) for s in sides)
+
+
+def kept_places(texts: list[str | None], spans: list[int], own: bool = False) -> Iterator[tuple]:
+    """``(span, text numbers, places, k-grams)`` of the winnowed texts; with ``own`` each text has its own span only."""
+    hashes, owner, _ = hash_words([(t or "").encode().translate(FOLD) for t in texts])
     first = np.searchsorted(owner, np.arange(len(texts) + 1))
-    n_words = np.diff(first)
-    marks: dict[int, np.ndarray] = {}
-    items: dict[int, set[str]] = defaultdict(set)
-    kept: dict[int, tuple] = {}
-    for block in blocks:
-        words: dict[int, list[bytes]] = {}
-        for span, (known, places) in block.spans.items():
-            if span not in kept:
-                kept[span] = kept_grams(hashes, owner, span)
-            at, grams = kept[span]
-            slot = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-            hits = known[slot] == grams
-            done: dict[tuple[int, int, int], int] = {}
-            for p, g in zip(at[hits].tolist(), grams[hits].tolist()):
-                d = int(owner[p])
-                base = int(first[d])
-                if d not in words:
-                    words[d] = folded[d].split()
-                for i, q in places[g]:
-                    line = (d, i, p - q)
-                    if done.get(line, -1) >= p:
-                        continue  # inside a run that is already extended
-                    item_id, item = block.items[i]
-                    a, b = _extend(words[d], p - base, item, q)
-                    done[line] = b + base - 1
-                    if b - a >= span:
-                        items[d].add(item_id)
-                        if d not in marks:
-                            marks[d] = np.zeros(n_words[d], dtype=bool)
-                        marks[d][a:b] = True
-    n_hit = [int(marks[d].sum()) if d in marks else 0 for d in range(len(texts))]
-    return n_words.tolist(), n_hit, [sorted(items.get(d, ())) for d in range(len(texts))]
-
-
-def benchmark_blocks(benchmark: DataFrame, max_bytes: int) -> list:
-    """The benchmark as broadcast blocks of at most ``max_bytes`` of text (or one longer item).
-
-    The benchmark is the stated query set: it streams through the driver one
-    block at a time, and a task holds one block at a time, whatever its size.
-    """
-    sc = benchmark.sparkSession.sparkContext
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), "text").toLocalIterator(True)
-    blocks, items, size = [], [], 0
-    for item_id, text in rows:
-        words = words_of(text)
-        if items and size + len(text or "") > max_bytes:
-            blocks.append((uuid.uuid4().hex, sc.broadcast(items)))
-            items, size = [], 0
-        items.append((item_id, words))
-        size += len(text or "")
-    return [*blocks, *([(uuid.uuid4().hex, sc.broadcast(items))] if items else [])]
+    size = np.minimum(np.diff(first), WINDOW)
+    for span in spans:
+        at, grams = kept_grams(hashes, owner, span)
+        if own:
+            chosen = size[owner[at]] == span
+            at, grams = at[chosen], grams[chosen]
+        yield span, owner[at], at - first[owner[at]], grams.view(np.int64)
 
 
-_LOADED: dict = {}
+def document_prints(docs: DataFrame, spans: list[int]) -> DataFrame:
+    """``(text_key, span, gram, at)``: every kept k-gram of every text, for each size of window in use."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, SLICE):
+            for span, text, at, grams in kept_places(piece.column(1).to_pylist(), spans):
+                columns = piece.column(0).take(pa.array(text)), pa.array(np.full(len(at), span, np.int32)), pa.array(grams), pa.array(at)
+                yield pa.RecordBatch.from_arrays(list(columns), names=["text_key", "span", "gram", "at"])
 
-def _each(blocks: list) -> Iterator[Block]:
-    """The blocks in turn; a worker keeps only the one it used last."""
-    for name, sent in blocks:
-        if _LOADED.get("name") != name:
-            _LOADED.clear()
-            _LOADED.update(name=name, block=Block(sent.value))
-            sent.__dict__.pop("_value", None)
-        yield _LOADED["block"]
+    return _keyed(docs).mapInArrow(run, "text_key binary, span int, gram bigint, at bigint")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 8 << 20) -> DataFrame:
-    """Benchmark hits of every document: ``(doc_id, n_words, n_hit, n_items, items)``.
+def item_prints(benchmark: DataFrame) -> DataFrame:
+    """``(item, span, gram, before, after)``: the kept k-grams of every item in its own size of window, with their context."""
+
+    def run(cols: dict) -> dict:
+        words = [words_of(t) for t in cols["text"]]
+        out = {n: [] for n in ("item", "span", "gram", "before", "after")}
+        for span, text, at, grams in kept_places(cols["text"], list(range(1, WINDOW + 1)), own=True):
+            for i, p, gram in zip(text.tolist(), at.tolist(), grams.tolist()):
+                row = (cols["item"][i], span, gram, *(c.decode() for c in context(words[i], p, span)))
+                for column, value in zip(out.values(), row):
+                    column.append(value)
+        return out
+
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    return map_rows(items, "item string, span int, gram bigint, before string, after string", run, max_bytes=SLICE)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Texts under their digest: what is found holds for every row with that text."""
+    return docs.where(F.col("text").isNotNull()).select(_text_key(docs["text"]).alias("text_key"), docs["text"])
 
-    One pass over ``docs`` without a shuffle. Null and empty texts have no
-    words and no hits; rows with equal ``item_id`` are one item, a null id is
-    the empty id; an item without words occurs nowhere; repeated documents are
-    answered row by row; an empty benchmark hits nothing. Only ``doc_id`` and
-    ``text`` (``item_id`` and ``text``) are read, so other columns cannot clash.
+
+def _text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def _context_key(side: str) -> Column:
+    return F.unhex(F.md5(F.concat_ws("\0", "span", "gram", "before", "after"))).alias(side)
+
+
+def _places(docs: DataFrame, hits: DataFrame, max_bytes: int) -> DataFrame:
+    """``(text_key, n_words, span, gram, at, before, after)``: the context of every shared fingerprint of a text."""
+    schema = "text_key binary, n_words bigint, span int, gram bigint, at bigint, before string, after string"
+
+    def run(cols: dict) -> dict:
+        out = {n: [] for n in ("text_key", "n_words", "span", "gram", "at", "before", "after")}
+        for key, text, spots in zip(cols["text_key"], cols["text"], cols["spots"]):
+            words = words_of(text)
+            for spot in spots:
+                sides = (c.decode() for c in context(words, spot["at"], spot["span"]))
+                row = (key, len(words), spot["span"], spot["gram"], spot["at"], *sides)
+                for column, value in zip(out.values(), row):
+                    column.append(value)
+        return out
+
+    # As many entries as the winnowed text itself has places.
+    spots = hits.groupBy("text_key").agg(F.collect_list(F.struct("span", "gram", "at")).alias("spots"))
+    small = hits.count() * HIT_BYTES <= max_bytes
+    texts = _keyed(docs).join(F.broadcast(spots) if small else spots, "text_key").select("text_key", "text", "spots")
+    return map_rows(texts, schema, run, max_bytes=SLICE).distinct()
+
+
+def shared_spans(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Texts that share a window with the benchmark: ``(text_key, n_words, n_hit, items)``, written once.
+
+    The fingerprints of both sides are joined, the distinct ones of the
+    benchmark by broadcast where their counted size allows. Only places of a
+    shared fingerprint get their context, the words that a window around it
+    can hold; equal contexts are one row on either side, and pairs of contexts
+    that share a fingerprint are extended word by word.
     """
-    blocks = benchmark_blocks(benchmark, block_bytes)
+    items = materialize(item_prints(benchmark).distinct().select("*", _context_key("item_context")))
+    spans = sorted(r[0] for r in items.select("span").distinct().collect())  # 13 at most
+    known = items.select("span", "gram").distinct()
+    known = broadcast_bounded(known, items.count(), broadcast_bytes)
+    hits = materialize(document_prints(docs, spans).join(known, ["span", "gram"], "left_semi").distinct())
+    places = materialize(_places(docs, hits, broadcast_bytes).select("*", _context_key("context")))
+
+    sides = places.select("context", "span", "gram", "before", "after").distinct()
+    theirs = items.select("item_context", "span", "gram", F.col("before").alias("item_before"), F.col("after").alias("item_after"))
+    pairs = sides.join(broadcast_bounded(theirs.distinct(), items.count() * 4, broadcast_bytes), ["span", "gram"])
 
     def run(cols: dict) -> dict:
-        n_words, n_hit, items = find_hits(cols["text"], _each(blocks))
-        return {"doc_id": cols["doc_id"], "n_words": n_words, "n_hit": n_hit, "n_items": [len(x) for x in items], "items": items}
+        found = [extent(*c) for c in zip(cols["before"], cols["after"], cols["item_before"], cols["item_after"])]
+        return {n: cols[n] for n in ("context", "item_context", "span")} | {"back": [a for a, _ in found], "ahead": [b for _, b in found]}
+
+    extended = map_rows(pairs, "context binary, item_context binary, span int, back bigint, ahead bigint", run, max_bytes=SLICE)
+    whole = materialize(extended.where("back + ahead >= span").drop("span"))
+    # Every extent of a place holds the place itself, so their union is one run of words.
+    reach = whole.groupBy("context").agg(F.max("back").alias("back"), F.max("ahead").alias("ahead"))
+    n = whole.count()
+    runs = places.join(broadcast_bounded(reach, n, broadcast_bytes), "context").select(
+        "text_key", "n_words", (F.col("at") - F.col("back")).alias("a"), (F.col("at") + F.col("ahead")).alias("b")
+    )
+    earlier = Window.partitionBy("text_key").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.greatest(F.lit(0), F.col("b") - F.greatest("a", F.coalesce(F.max("b").over(earlier), F.lit(0))))
+    words = runs.distinct().select("text_key", "n_words", fresh.alias("new")).groupBy("text_key")
+    words = words.agg(F.first("n_words").alias("n_words"), F.sum("new").alias("n_hit"))
+    of_items = whole.select("context", "item_context").join(
+        broadcast_bounded(items.select("item_context", "item").distinct(), items.count(), broadcast_bytes), "item_context"
+    )
+    found = places.select("text_key", "context").distinct().join(of_items.select("context", "item").distinct(), "context")
+    found = found.groupBy("text_key").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    answers = materialize(words.join(found, "text_key"))
+    for copy in (items, hits, places, whole):
+        discard(copy)
+    return answers
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Benchmark hits of every document: ``(doc_id, n_words, n_hit, n_items, items)``.
+
+    Null and empty texts have no words and no hits; rows with equal
+    ``item_id`` are one item, a null id is the empty id; an item without words
+    occurs nowhere; repeated documents are answered row by row; an empty
+    benchmark hits nothing. A very long text is one row of its task, and its
+    places travel as rows of their own. Only ``doc_id`` and ``text``
+    (``item_id`` and ``text``) are read, so other columns cannot clash.
+    """
+    answers = shared_spans(docs, benchmark, broadcast_bytes)
 
-    return map_rows(docs.select("doc_id", "text"), SCHEMA, run, max_bytes=1 << 20)
+    def run(cols: dict) -> dict:
+        return {n: cols[n] for n in ("doc_id", "text_key")} | {"n_words": [len(words_of(t)) for t in cols["text"]]}
+
+    rows = docs.select("doc_id", "text", _text_key(docs["text"]).alias("text_key"))
+    counted = map_rows(rows, "doc_id bigint, text_key binary, n_words bigint", run, max_bytes=SLICE)
+    found = broadcast_bounded(answers.drop("n_words"), _weight(answers), broadcast_bytes)
+    none = F.array().cast("array<string>")
+    return counted.join(found, "text_key", "left").select(
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
+        F.greatest(F.size(F.coalesce("items", none)), F.lit(0)).cast("bigint").alias("n_items"),
+        F.coalesce("items", none).alias("items"),
+    )
 
 
-def is_contaminated(n_words: int, n_hit: int) -> bool:
-    return n_hit > 0 and 20 * n_hit >= n_words
+def _weight(answers: DataFrame) -> int:
+    """Rows of the answers with their items counted as rows too."""
+    return answers.agg(F.coalesce(F.sum(1 + F.size("items")), F.lit(0))).first()[0]
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = 8 << 20) -> DataFrame:
-    """``docs`` without contaminated rows, all columns as they are."""
-    blocks = benchmark_blocks(benchmark, block_bytes)
+def is_contaminated(n_words: Column, n_hit: Column) -> Column:
+    return (n_hit > 0) & (20 * n_hit >= n_words)
 
-    def clean(texts: list) -> list[bool]:
-        n_words, n_hit, _ = find_hits(texts, _each(blocks))
-        return [not is_contaminated(n, h) for n, h in zip(n_words, n_hit)]
 
-    return keep_rows(docs, "text", clean, max_bytes=1 << 20)
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``docs`` without contaminated rows, all columns as they are; null and empty texts stay."""
+    answers = shared_spans(docs, benchmark, broadcast_bytes)
+    bad = answers.where(is_contaminated(F.col("n_words"), F.col("n_hit"))).select("text_key")
+    bad = broadcast_bounded(bad, bad.count(), broadcast_bytes)
+    return docs.join(bad, _text_key(docs["text"]) == bad["text_key"], "left_anti")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +252,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        is_contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
     )
 
 
