@@ -44,5 +44,13 @@ def test_policies_and_ablation_agree_with_single_rules(docs_of):
                 assert f["kept_without"] == sum(b in (0, 1 << i) for b in bits)
 
 
+def test_only_rule_names_a_rule_failed_alone(docs_of):
+    for policy in ledger.POLICIES:
+        mask = ledger.policy_mask(policy)
+        alone = {1 << i: r.name for i, r in enumerate(ledger.RULES) if mask >> i & 1}
+        for r in ledger.ledger(docs_of(TEXTS)).withColumn("rule", ledger.only_rule(policy)).collect():
+            assert r["rule"] == alone.get(r["failures"] & mask)
+
+
 def test_empty(docs_of):
     assert ledger.ledger(docs_of([])).count() == 0

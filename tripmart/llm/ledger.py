@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import map_rows, read_table
+from tripmart.operators.lookup import materialize
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letter_words", "n_bullet_lines")
@@ -133,13 +134,27 @@ def ablation(book: DataFrame, policy: str = "v2", rules: tuple[Rule, ...] = RULE
     )
 
 
+def only_rule(policy: str | tuple[str, ...] = "v2", rules: tuple[Rule, ...] = RULES) -> Column:
+    """The one rule of a policy that a document fails; null if it fails none or several."""
+    mask = policy_mask(policy, rules)
+    bits = F.col("failures").bitwiseAND(F.lit(mask))
+    return F.coalesce(*[F.when(bits == 1 << i, r.name) for i, r in enumerate(rules) if mask >> i & 1])
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger of all ``documents`` with the base verdict and that of policy ``v2``."""
-    book = ledger(read_table(spark, sf_dir, "documents"))
-    return book.select(
+    """The ledger of all ``documents``, written once, with the verdict of every policy and the ablation of ``v2``.
+
+    A document that fails one rule of ``v2`` alone names it (``only_rule``)
+    with the documents that the policy would keep without it (``kept_without``).
+    """
+    book = materialize(ledger(read_table(spark, sf_dir, "documents")))
+    without = ablation(book).select(F.col("rule").alias("only_rule"), "kept_without")
+    rows = book.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~passes("base")).alias("base_failed"), passes("v2").alias("kept"), "failures",
+        passes("v1").alias("kept_v1"), only_rule().alias("only_rule"),
     )
+    return rows.join(F.broadcast(without), "only_rule", "left").select(*rows.columns, "kept_without")  # one row a rule
 
 
 _BLANK = r"\x20\x09-\x0D"
@@ -166,5 +181,8 @@ f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
   + CASE WHEN 10 * n_letters < 7 * n_words THEN 64 ELSE 0 END
   + CASE WHEN n_lines > 2 AND 10 * n_bullets > 9 * n_lines THEN 128 ELSE 0 END AS bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, bits = 0 AS kept,
-  CAST(bits AS BIGINT) AS failures FROM f
+  CAST(bits AS BIGINT) AS failures, bits & 31 = 0 AS kept_v1,
+  CASE bits {" ".join(f"WHEN {1 << i} THEN '{r.name}'" for i, r in enumerate(RULES))} END AS only_rule,
+  CASE WHEN bits IN ({", ".join(str(1 << i) for i in range(len(RULES)))}) THEN count(*) OVER (PARTITION BY bits)
+  + count(*) FILTER (bits = 0) OVER () END AS kept_without FROM f
 """
