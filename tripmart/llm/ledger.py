@@ -145,16 +145,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of all ``documents``, written once, with the verdict of every policy and the ablation of ``v2``.
 
     A document that fails one rule of ``v2`` alone names it (``only_rule``)
-    with the documents that the policy would keep without it (``kept_without``).
+    with the number of documents that the policy would keep besides if it lacked
+    that rule (``n_rescued``); other documents have no such rule and 0.
     """
     book = materialize(ledger(read_table(spark, sf_dir, "documents")))
-    without = ablation(book).select(F.col("rule").alias("only_rule"), "kept_without")
+    alone = ablation(book).select(F.col("rule").alias("only_rule"), "failed_alone")
     rows = book.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~passes("base")).alias("base_failed"), passes("v2").alias("kept"), "failures",
         passes("v1").alias("kept_v1"), only_rule().alias("only_rule"),
     )
-    return rows.join(F.broadcast(without), "only_rule", "left").select(*rows.columns, "kept_without")  # one row a rule
+    rescued = F.coalesce("failed_alone", F.lit(0).cast("bigint")).alias("n_rescued")
+    return rows.join(F.broadcast(alone), "only_rule", "left").select(*rows.columns, rescued)  # one row a rule
 
 
 _BLANK = r"\x20\x09-\x0D"
@@ -184,5 +186,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   CAST(bits AS BIGINT) AS failures, bits & 31 = 0 AS kept_v1,
   CASE bits {" ".join(f"WHEN {1 << i} THEN '{r.name}'" for i, r in enumerate(RULES))} END AS only_rule,
   CASE WHEN bits IN ({", ".join(str(1 << i) for i in range(len(RULES)))}) THEN count(*) OVER (PARTITION BY bits)
-  + count(*) FILTER (bits = 0) OVER () END AS kept_without FROM f
+  ELSE 0 END AS n_rescued FROM f
 """
