@@ -34,6 +34,35 @@ def test_list_blocks_exactly_its_pages(spark, pages, limit):
     assert blocked == {"http://m.b.org/1", "http://b.org/1/"}
 
 
+@pytest.mark.parametrize("limit", [0, 32 << 20])
+def test_one_url_on_a_third_of_the_pages(spark, limit):
+    rows = [(i, "http://www.hot.org/a?ref=x" if i % 3 == 0 else None if i % 3 == 1 else f"http://b.org/{i}") for i in range(900)]
+    rows += [(None, "http://hot.org/a"), (None, None), (7, "http://b.org/" + "x" * 200_000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    listed = spark.createDataFrame([("http://hot.org/a",), ("http://b.org/5",), (rows[-1][1],)], "url string")
+    got = urls.url_filter(pages, listed, broadcast_bytes=limit).collect()
+    assert len(got) == len(rows)
+    assert sum(r["listed"] for r in got) == 300 + 1 + 1 + 1
+    assert sorted(r["path"] for r in got if r["listed"])[-1] == "/" + "x" * 200_000
+
+
+@pytest.mark.parametrize("limit", [0, 32 << 20])
+def test_columns_of_the_same_names(spark, pages, limit):
+    listed = pages.select("url")
+    want = sorted(map(str, urls.url_filter(pages, listed, broadcast_bytes=limit).collect()))
+    for name in ("key", "block", "probe", "salt", "found", "listed", "lane0", "id", "rule", "sure", "wanted"):
+        pages = pages.selectExpr("*", f"'x' AS {name}")
+    assert sorted(map(str, urls.url_filter(pages, listed, broadcast_bytes=limit).collect())) == want
+
+
+def test_pages_are_read_once_and_not_shuffled(spark, pages, tmp_path):
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    found = urls.op10_url_filters(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("url#") and plan.count("Relation") == 3  # pages, the keys, and the keys again for the filter
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bloom_never_misses(spark):
     listed = spark.range(5000).selectExpr("concat('b.org/', id) AS key")
     bloom, n_blocks = urls.blocked_bloom(listed, "key")

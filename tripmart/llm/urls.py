@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import read_table
+from tripmart.operators.lookup import discard, materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed values of the contract: host, path, verdict.
@@ -19,6 +20,9 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 LANES = 4
+#: Copies of a block of a filter that is joined by shuffle; the share (one in so many) and the
+#: length from and up to which a URL among the possible hits is looked up by broadcast.
+SALTS, HOT, HOT_BYTES = 16, 1024, 4096
 
 
 def _rest(url: Column) -> Column:
@@ -68,19 +72,71 @@ def _bits(key: Column, n_blocks: int) -> tuple[Column, list[Column]]:
     return F.pmod(F.xxhash64(key), F.lit(n_blocks)), masks
 
 
-def blocked_bloom(listed: DataFrame, key: str, bits_per_key: int = 16) -> tuple[DataFrame, int]:
+def blocked_bloom(listed: DataFrame, key: str, bits_per_key: int = 16, n_keys: int | None = None) -> tuple[DataFrame, int]:
     """The filter as a table ``(block, lane0..lane3)`` of 256-bit blocks, and its number of blocks.
 
-    The number of blocks follows the exact count of distinct keys, so the share
-    of false hits does not change with the size of the list.
+    The number of blocks follows the exact count of distinct keys (``n_keys``
+    where it is known), so the share of false hits does not change with the
+    size of the list.
     """
-    n = listed.select(key).distinct().count()
+    n = listed.select(key).distinct().count() if n_keys is None else n_keys
     n_blocks = max(1, math.ceil(n * bits_per_key / (64 * LANES)))
     block, masks = _bits(F.col(key), n_blocks)
     rows = listed.select(block.alias("block"), *[m.alias(f"m{i}") for i, m in enumerate(masks)])
     return rows.groupBy("block").agg(*[F.bit_or(f"m{i}").alias(f"lane{i}") for i in range(LANES)]), n_blocks
 
 
+def _possible_hits(judged: DataFrame, bloom: DataFrame, n_blocks: int, small: bool) -> DataFrame:
+    """``judged`` with ``probe``: the key of a row without a rule that passes the filter, else null.
+
+    A filter too large to broadcast is joined by block, each block in
+    ``SALTS`` copies among which the rows are dealt, so that a URL on many
+    pages is spread; rows that are not tested carry blocks of no key.
+    """
+    block, masks = _bits(F.col("key"), n_blocks)
+    asked = F.col("rule").isNull() & (F.col("key") != "")
+    if small:
+        rows = judged.withColumn("block", F.when(asked, block))
+        tested = rows.join(F.broadcast(bloom), "block", "left")
+    else:
+        spread = F.xxhash64("id", "host", "path")
+        rows = judged.withColumn("block", F.when(asked, block).otherwise(-1 - F.pmod(spread, F.lit(n_blocks))))
+        rows = rows.withColumn("salt", F.pmod(spread, F.lit(SALTS)).cast("int"))
+        copies = bloom.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+        tested = rows.join(copies, ["block", "salt"], "left")
+    hit = asked
+    for i, m in enumerate(masks):
+        hit = hit & (F.col(f"lane{i}").bitwiseAND(m) == m)
+    return tested.withColumn("probe", F.when(hit, F.col("key"))).select("id", "host", "path", "rule", "said", "probe")
+
+
+def _exactly_listed(tested: DataFrame, keys: DataFrame, small: bool) -> DataFrame:
+    """``tested`` with ``listed``, by an exact hash join of the probes with the listed keys.
+
+    Keys too many to broadcast are shuffled. Then the probes that make up at
+    least one in ``HOT`` of all (so there are at most ``HOT`` of them, of at
+    most ``HOT_BYTES`` each) are looked up by broadcast, and all other rows
+    without a probe are dealt by a salt that no key carries.
+    """
+    found = keys.select(F.col("key").alias("probe"), F.lit(True).alias("found"))
+    if small:
+        joined = tested.join(F.broadcast(found), "probe", "left")
+        return joined.withColumn("listed", F.coalesce("found", F.lit(False)))
+    short = tested.filter("probe IS NOT NULL").groupBy("probe").agg(F.count("*").alias("n"))
+    short = materialize(short)
+    total = short.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = short.filter((F.col("n") * HOT >= total) & (F.octet_length("probe") <= HOT_BYTES)).select("probe")
+    verdicts = materialize(hot.join(found, "probe", "left").select("probe", F.coalesce("found", F.lit(False)).alias("sure")))
+    discard(short)
+    known = tested.join(F.broadcast(verdicts), "probe", "left")
+    open_ = F.col("probe").isNotNull() & F.col("sure").isNull()
+    salt = F.when(open_, F.lit(-1)).otherwise(F.pmod(F.xxhash64("id", "host", "path"), F.lit(1 << 20)).cast("int"))
+    known = known.withColumn("salt", salt).withColumn("wanted", F.when(open_, F.col("probe")))
+    right = found.select(F.col("probe").alias("wanted"), F.lit(-1).alias("salt"), "found")
+    joined = known.join(right, ["wanted", "salt"], "left")
+    return joined.withColumn("listed", F.coalesce("sure", "found", F.lit(False)))
+
+
 def url_filter(
     pages: DataFrame,
     listed: DataFrame,
@@ -92,14 +148,18 @@ def url_filter(
 ) -> DataFrame:
     """Judge every page: the longest fitting rule decides, else the list of canonical URLs.
 
-    ``listed`` has a column ``url``. Pages without a rule are tested against
-    the blocked Bloom filter; only possible hits take part in the exact join,
-    which removes false positives. The filter is broadcast when its counted
-    blocks are under ``broadcast_bytes``, else joined by block number. Returns
-    ``(id, host, path, rule, verdict, listed)``, one row per page, repeated
-    pages included. A null URL has empty host and path, no rule, and is
-    allowed (an empty canonical URL is never listed); an empty list blocks
-    nothing; columns of ``pages`` other than the two named are not read.
+    ``listed`` has a column ``url``. Its distinct canonical keys are written
+    once and counted; pages without a rule are tested against the blocked
+    Bloom filter of these keys, and only possible hits take part in the exact
+    join, which removes false positives. Filter and keys are each broadcast
+    when their counted bytes are under ``broadcast_bytes``, else joined by
+    shuffle with hot URLs spread; in the first case ``pages`` is read once
+    and nothing of it is shuffled. Returns ``(id, host, path, rule, verdict,
+    listed)``, one row per page, repeated pages included. A null URL has empty
+    host and path, no rule, and is allowed (an empty canonical URL is never
+    listed); a null id is kept; an empty list blocks nothing; a very long URL
+    is handled whole; columns of ``pages`` other than the two named are not
+    read.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     judged = (
@@ -111,30 +171,14 @@ def url_filter(
             _first_rule(F.col("host"), F.col("path"), rules, lambda r: r[2]).alias("said"),
         )
     )
-    keys = listed.select(canonical_url(F.col("url")).alias("key")).filter("key != ''").distinct()
-    bloom, n_blocks = blocked_bloom(keys, "key", bits_per_key)
-    if n_blocks * 8 * (LANES + 1) <= broadcast_bytes:
-        bloom = F.broadcast(bloom)
-    block, masks = _bits(F.col("key"), n_blocks)
-    hit = F.lit(True)
-    for i, m in enumerate(masks):
-        hit = hit & (F.col(f"lane{i}").bitwiseAND(m) == m)
-    tested = judged.filter("rule IS NULL").withColumn("block", block).join(bloom, "block", "left")
-    tested = tested.withColumn("maybe", F.coalesce(hit, F.lit(False))).select(*judged.columns, "maybe")
-    # Equal URLs share one key: what is joined is each distinct possible hit once.
-    confirmed = tested.filter("maybe").select("key").distinct().join(keys, "key", "left_semi")
-    confirmed = confirmed.select("key", F.lit(True).alias("found"))
-    passed = tested.filter("NOT maybe").withColumn("listed", F.lit(False))
-    hits = tested.filter("maybe").join(confirmed, "key", "left").withColumn("listed", F.coalesce("found", F.lit(False)))
-    ruled = judged.filter("rule IS NOT NULL").withColumn("listed", F.lit(False))
-    cols = ["id", "host", "path", "rule", "said", "listed"]
-    return (
-        ruled.select(cols).unionAll(passed.select(cols)).unionAll(hits.select(cols))
-        .select(
-            F.col("id").alias(id_col), "host", "path", "rule",
-            F.coalesce("said", F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
-            "listed",
-        )
+    keys = materialize(listed.select(canonical_url(F.col("url")).alias("key")).filter("key != ''").distinct())
+    size = keys.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("key") + 16), F.lit(0)).alias("bytes")).first()
+    bloom, n_blocks = blocked_bloom(keys, "key", bits_per_key, size["n"])
+    tested = _possible_hits(judged, bloom, n_blocks, n_blocks * 8 * (LANES + 1) <= broadcast_bytes)
+    return _exactly_listed(tested, keys, size["bytes"] <= broadcast_bytes).select(
+        F.col("id").alias(id_col), "host", "path", "rule",
+        F.coalesce("said", F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
+        "listed",
     )
 
 
