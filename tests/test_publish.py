@@ -18,6 +18,7 @@ from tripmart.operators.resolve import Field, MissingColumns, resolve
 from tripmart.plans import gold_validation, validation
 from tripmart.plans.lake import Lake
 from tripmart.session import checkpoint_dir, is_one_machine
+from tripmart.sources import commits
 from tripmart.sources.commits import CommitConflict, Store
 
 SMALL = "/root/testdata/sf0.001"
@@ -246,3 +247,27 @@ def test_a_contract_reports_all_absent_columns_at_once():
     assert resolve(["a2", "B", "A"], contract) == {"a": "A", "b": "B", "c": None}
     with pytest.raises(MissingColumns, match="a .any of a, A2.; b"):
         resolve(["x"], contract)
+
+
+def _tasks_of(layer: dict) -> int:
+    """Tasks that wrote a layer, as the names of its files tell."""
+    return len({name.split("-")[1] for part in layer["parts"] for name, _ in part["files"]})
+
+
+def test_tasks_of_a_layer_grow_in_number_with_its_rows(spark, monkeypatch):
+    lake = Lake(spark, SMALL, _settings())
+    lake.raw_trips  # 22 and one columns, 8 partitions of the session
+    monkeypatch.setattr(commits, "TASK_VALUES", 23 * 300)
+    large = Lake(spark, SMALL, _settings())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        same = large.raw_trips.exceptAll(lake.raw_trips).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    assert same == 0
+    assert _tasks_of(large._layers["raw_trips"]) > lines // 400 > 8
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

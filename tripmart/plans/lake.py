@@ -31,7 +31,7 @@ from tripmart.operators.lookup import discard
 from tripmart.plans import gold, silver, states
 from tripmart.session import fixed_zone, shared_folder
 from tripmart.sources import fixtures
-from tripmart.sources.commits import CommitConflict, Store, rows_of
+from tripmart.sources.commits import CommitConflict, Store, bytes_of, rows_of
 from tripmart.sources.sinks import CLUSTER_KEYS, clustered
 from tripmart.sources.trips import bronze_trips
 from tripmart.sources.zones import read_zones, stamp_zone_lookup_lineage, write_zones
@@ -42,6 +42,12 @@ RAW_BY = ("year", "month")
 SOURCE_BY = ("source_year", "source_month")
 #: Columns whose bounds the commit log keeps for every part.
 BOUNDS = {"fact_trips": CLUSTER_KEYS}
+#: The layer by trips that each layer by trips reads: its size tells how many tasks make the layer.
+MADE_FROM = {
+    "bronze_trips": "raw_trips", "duplicate_groups": "bronze_trips", "trips_classified": "bronze_trips",
+    "silver_baseline": "trips_classified", "fact_trips": "trips_classified", "fact_states": "fact_trips",
+    "fact_members": "fact_trips", "fact_sketches": "fact_trips",
+}
 #: A source partition: year and month.
 Month = tuple[int, int]
 
@@ -156,7 +162,8 @@ class Lake:
     def publish(self, name: str, df: DataFrame, by: tuple[str, ...] = (), inside: list | None = None) -> dict:
         """Write a layer and check the rules observed on the way; raises, and keeps nothing, if one is broken."""
         rules = self._rules(name)
-        layer, seen = self.store.write(name, df, by, {k: m for k, (_, m) in rules.items()}, BOUNDS.get(name, ()))
+        observed = {k: m for k, (_, m) in rules.items()}
+        layer, seen = self.store.write(name, df, by, observed, BOUNDS.get(name, ()), *self._read_for(name))
         self._written.append(layer)
         try:
             self._check({k: n for k, (n, _) in rules.items()}, seen)
@@ -168,6 +175,13 @@ class Lake:
             raise
         return layer
 
+    def _read_for(self, name: str) -> tuple[int, int]:
+        """Rows, and bytes of files, that a layer is made from (the bytes only of layers; raw inputs are shuffled)."""
+        if name == "raw_trips":
+            return fixtures.raw_lines(self.spark, self.sf_dir), 0
+        made_from = self._layers.get(MADE_FROM.get(name))
+        return (rows_of(made_from), bytes_of(made_from)) if made_from else (0, 0)
+
     def _rules(self, name: str) -> dict[str, tuple[str, Column]]:
         """Broken-rule counters of a layer: ``counter -> (expectation, count of rows that break it)``."""
         from tripmart.plans.expectations import enforced

@@ -26,6 +26,8 @@ from pyspark.sql.types import StructType
 
 #: Name of the innermost folder level, which tells the writes of one partition apart.
 VERSION = "v"
+#: Values (rows by columns) of a layer that one task is given, whatever the size of the layer.
+TASK_VALUES = 1 << 24
 
 
 class CommitConflict(RuntimeError):
@@ -127,11 +129,12 @@ class Store:
     # -- layers ------------------------------------------------------------------
     def write(
         self, name: str, df: DataFrame, by: Sequence[str] = (), observed: dict[str, Column] | None = None,
-        bounds: Sequence[str] = (),
+        bounds: Sequence[str] = (), rows_in: int = 0, bytes_in: int = 0,
     ) -> tuple[dict, dict]:
         """Write a layer's rows as new parts; returns them, not yet published, and the observed metrics.
 
         ``bounds`` are number or date columns without nulls whose least and largest value each part keeps.
+        ``rows_in`` and ``bytes_in`` are what the layer is made from: the tasks grow in number with it, not in size.
         """
         write_id = uuid.uuid4().hex
         seen = Observation()
@@ -140,10 +143,11 @@ class Store:
         rows = rows.observe(seen, *[m.alias(k) for k, m in measures.items()])
         try:
             # Dynamic overwrite stages each job in a folder of its own, so two writers cannot meet.
-            (
-                rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*by, VERSION).parquet(f"{self.path}/{name}")
-            )
+            with sized_tasks(self.spark, rows_in, bytes_in, len(df.columns)):
+                (
+                    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                    .partitionBy(*by, VERSION).parquet(f"{self.path}/{name}")
+                )
             layer = {"schema": df.schema.json(), "by": list(by), "parts": self._parts(name, by, write_id)}
             self._add_counts(layer, name, bounds)
         except Exception:
@@ -223,5 +227,21 @@ def _setting(spark: SparkSession, key: str, value: str):
         spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
 
 
+@contextmanager
+def sized_tasks(spark: SparkSession, rows: int, size: int, columns: int):
+    """Shuffles cut by rows for the length of a block, so a task's memory does not grow with the input.
+
+    Shuffles get no fewer partitions than the session says; AQE still merges small ones.
+    """
+    most = max(1, TASK_VALUES // max(1, columns))
+    shuffled = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // most))
+    with _setting(spark, "spark.sql.shuffle.partitions", str(shuffled)):
+        yield
+
+
 def rows_of(layer: dict) -> int:
     return sum(p["rows"] for p in layer["parts"])
+
+
+def bytes_of(layer: dict) -> int:
+    return sum(size for p in layer["parts"] for _, size in p["files"])

@@ -72,6 +72,11 @@ def _location(nation_key: Column) -> Column:
     return F.when(nation_key == 0, F.lit(1)).otherwise(nation_key + 120)
 
 
+def raw_lines(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the table that trips are derived from, as its footers say."""
+    return _table(spark, sf_dir, "lineitem").count()
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trip records (source column names and physical types)."""
     # Spread before the joins: the per-line work (joins, dirty buckets, the
