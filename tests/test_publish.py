@@ -6,6 +6,7 @@ import shutil
 import tempfile
 from types import SimpleNamespace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,3 +272,21 @@ def test_tasks_of_a_layer_grow_in_number_with_its_rows(spark, monkeypatch):
     assert same == 0
     assert _tasks_of(large._layers["raw_trips"]) > lines // 400 > 8
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_scans_for_a_layer_are_cut_by_rows(spark):
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with commits.sized_tasks(spark, 40 << 20, 1 << 30, 104):
+        few = int(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    with commits.sized_tasks(spark, 1000, 100_000, 104):
+        small = int(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    assert few * (40 << 20) / (1 << 30) * 104 <= commits.TASK_VALUES
+    assert small <= 128 << 20 and spark.conf.get("spark.sql.files.maxPartitionBytes") == held
+
+
+def test_a_file_of_a_layer_can_be_read_by_many_tasks(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    rows = spark.range(0, 3_000_000, 1, 1).select("id", F.xxhash64("id").alias("a"), F.xxhash64("id", F.lit(1)).alias("b"))
+    layer, _ = store.write("wide", rows)
+    (file,) = [f"{tmp_path}/{layer['parts'][0]['folder']}/{name}" for name, _ in layer["parts"][0]["files"]]
+    assert pq.ParquetFile(file).metadata.num_row_groups > 2

@@ -26,8 +26,9 @@ from pyspark.sql.types import StructType
 
 #: Name of the innermost folder level, which tells the writes of one partition apart.
 VERSION = "v"
-#: Values (rows by columns) of a layer that one task is given, whatever the size of the layer.
-TASK_VALUES = 1 << 24
+#: Values (rows by columns) of a layer that one task is given, whatever the size of the layer, and the bytes of a
+#: row group, the least part of a file that a reader's task takes.
+TASK_VALUES, ROW_GROUP_BYTES = 1 << 24, 16 << 20
 
 
 class CommitConflict(RuntimeError):
@@ -146,7 +147,7 @@ class Store:
             with sized_tasks(self.spark, rows_in, bytes_in, len(df.columns)):
                 (
                     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                    .partitionBy(*by, VERSION).parquet(f"{self.path}/{name}")
+                    .option("parquet.block.size", ROW_GROUP_BYTES).partitionBy(*by, VERSION).parquet(f"{self.path}/{name}")
                 )
             layer = {"schema": df.schema.json(), "by": list(by), "parts": self._parts(name, by, write_id)}
             self._add_counts(layer, name, bounds)
@@ -229,13 +230,20 @@ def _setting(spark: SparkSession, key: str, value: str):
 
 @contextmanager
 def sized_tasks(spark: SparkSession, rows: int, size: int, columns: int):
-    """Shuffles cut by rows for the length of a block, so a task's memory does not grow with the input.
+    """Shuffles and scans cut by rows for the length of a block, so a task's memory does not grow with the input.
 
-    Shuffles get no fewer partitions than the session says; AQE still merges small ones.
+    ``rows`` of ``columns`` are made from ``size`` bytes of files. Shuffles get no fewer partitions than the session
+    says, and scans no larger ones; AQE still merges small ones.
     """
     most = max(1, TASK_VALUES // max(1, columns))
     shuffled = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // most))
-    with _setting(spark, "spark.sql.shuffle.partitions", str(shuffled)):
+    # Spark's own parser of sizes: the session's value may have any unit.
+    held = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    scanned = min(held, max(1 << 20, size * most // rows)) if rows and size else held
+    with (
+        _setting(spark, "spark.sql.shuffle.partitions", str(shuffled)),
+        _setting(spark, "spark.sql.files.maxPartitionBytes", str(scanned)),
+    ):
         yield
 
 
