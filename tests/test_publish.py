@@ -255,23 +255,22 @@ def _tasks_of(layer: dict) -> int:
     return len({name.split("-")[1] for part in layer["parts"] for name, _ in part["files"]})
 
 
-def test_tasks_of_a_layer_grow_in_number_with_its_rows(spark, monkeypatch):
-    lake = Lake(spark, SMALL, _settings())
-    lake.raw_trips  # 22 and one columns, 8 partitions of the session
-    monkeypatch.setattr(commits, "TASK_VALUES", 23 * 300)
-    large = Lake(spark, SMALL, _settings())
+def test_tasks_of_a_layer_grow_in_number_with_its_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits, "TASK_VALUES", 2000)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        same = large.raw_trips.exceptAll(lake.raw_trips).count()
+        layer, _ = Store(spark, str(tmp_path)).write("rows", spark.range(20_000).selectExpr("id", "-id AS b").repartition("b"), rows_in=20_000)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
-    assert same == 0
-    assert _tasks_of(large._layers["raw_trips"]) > lines // 400 > 8
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert _tasks_of(layer) == 20 > int(before) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_layers_know_what_they_are_made_from(spark):
+    lake = Lake(spark, SMALL, _settings())
+    assert lake._read_for("raw_trips")[0] == spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    rows, size = lake.raw_trips.count(), sum(os.path.getsize(f.removeprefix("file://")) for f in lake.raw_trips.inputFiles())
+    assert lake._read_for("bronze_trips") == (rows, size)
 
 
 def test_scans_for_a_layer_are_cut_by_rows(spark):
@@ -290,3 +289,12 @@ def test_a_file_of_a_layer_can_be_read_by_many_tasks(spark, tmp_path):
     layer, _ = store.write("wide", rows)
     (file,) = [f"{tmp_path}/{layer['parts'][0]['folder']}/{name}" for name, _ in layer["parts"][0]["files"]]
     assert pq.ParquetFile(file).metadata.num_row_groups > 2
+
+
+def test_wide_rows_are_made_by_code_that_the_jvm_compiles(spark):
+    """The JVM interprets methods of more than 8,000 bytes: stages with such code run operator by operator in a write."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = int(spark.conf.get(limit))
+    with commits.sized_tasks(spark, 0, 0, 1):
+        assert int(spark.conf.get(limit)) == 8000 < before
+    assert int(spark.conf.get(limit)) == before

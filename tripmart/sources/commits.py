@@ -29,6 +29,8 @@ VERSION = "v"
 #: Values (rows by columns) of a layer that one task is given, whatever the size of the layer, and the bytes of a
 #: row group, the least part of a file that a reader's task takes.
 TASK_VALUES, ROW_GROUP_BYTES = 1 << 24, 16 << 20
+#: Bytes of generated code from which a stage runs operator by operator: the JVM compiles no longer methods.
+METHOD_BYTES = 8000
 
 
 class CommitConflict(RuntimeError):
@@ -243,6 +245,7 @@ def sized_tasks(spark: SparkSession, rows: int, size: int, columns: int):
     with (
         _setting(spark, "spark.sql.shuffle.partitions", str(shuffled)),
         _setting(spark, "spark.sql.files.maxPartitionBytes", str(scanned)),
+        _setting(spark, "spark.sql.codegen.hugeMethodLimit", str(METHOD_BYTES)),
     ):
         yield
 
