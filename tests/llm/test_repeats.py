@@ -1,7 +1,9 @@
+import os
 import random
 from collections import Counter
 from hashlib import sha256
 
+import numpy as np
 import pytest
 
 from odd_texts import ODD
@@ -129,3 +131,14 @@ def test_queue_and_sort_beyond_memory():
         key = np.array([R.randrange(top) for _ in range(n)], dtype=np.uint64)
         order = sorted_order(key, 1000)
         assert sorted(order.tolist()) == list(range(n)) and (np.diff(key[order].astype(np.int64)) >= 0).all()
+
+
+def test_shared_prefixes_are_those_of_the_bytes():
+    """Any byte, prefixes of any length up to the limit, ends of bodies."""
+    bodies = [b"\xff\x00" * 90, b"\xff\x00" * 60 + b"\xfe" * 30, b"\xff" * 33, b"\x00" * 8, b"\x00" * 9 + b"\xff", b""]
+    shard = Shard(bodies, 50)
+    rest = {a + k: body[k : k + 50] for a, body in zip(shard.starts.tolist(), bodies) for k in range(len(body))}
+    order = np.array(sorted(rest, key=lambda at: (rest[at], at)))
+    found = shard._shared(order)
+    want = [len(os.path.commonprefix([rest[p], rest[q]])) for p, q in zip(order[:-1].tolist(), order[1:].tolist())]
+    assert found[1:].tolist() == want

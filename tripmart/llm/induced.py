@@ -115,13 +115,13 @@ def _runs(blocks: list[Tuples]) -> Iterator[Tuples]:
 
 
 def sorted_order(key: np.ndarray, memory: int) -> np.ndarray:
-    """Positions of ``key`` in rising order: sorted runs, merged block by block when there are several."""
+    """Positions of ``key`` in rising order, those of equal keys in any: sorted runs, merged block by block when there are several."""
     size = max(BLOCK // 16, memory // 32)
     if len(key) <= size:
-        return np.argsort(key, kind="stable")
+        return np.argsort(key)
     runs = []
     for a in range(0, len(key), size):
-        order = np.argsort(key[a : a + size], kind="stable")
+        order = np.argsort(key[a : a + size])
         pair = [scratch(len(order), np.uint64, 0), scratch(len(order), np.int64, 0)]
         pair[0][:], pair[1][:] = np.asarray(key[a : a + size])[order], order + a
         runs.append(pair)
@@ -138,7 +138,7 @@ def sorted_order(key: np.ndarray, memory: int) -> np.ndarray:
             keys_now.append(keys[at[i] : stop])
             order_now.append(order[at[i] : stop])
             at[i] = stop
-        order = np.concatenate(order_now)[np.argsort(np.concatenate(keys_now), kind="stable")]
+        order = np.concatenate(order_now)[np.argsort(np.concatenate(keys_now))]
         out[done : done + len(order)] = order
         done += len(order)
     return out
@@ -243,21 +243,24 @@ class Shard:
         return order, self._shared(order)
 
     def _shared(self, order: np.ndarray) -> np.ndarray:
-        """Prefix that each suffix shares with the one before it, four symbols at a time."""
-        out = scratch(len(order), np.uint8, self.memory)
-        words = np.ndarray((self.n,), dtype=np.uint64, buffer=self.text, strides=(2,))
+        """Prefix that each suffix shares with the one before it, eight bytes at a time (none is looked at beyond a separator)."""
+        out, raw = scratch(len(order), np.uint8, self.memory), scratch(self.n + 256, np.uint8, self.memory)
+        for a in range(0, self.n, BLOCK):
+            raw[a : a + BLOCK] = self.text[a : a + BLOCK]
+        words = np.ndarray((self.n + 248,), dtype="<u8", buffer=raw, strides=(1,))
         for a in range(1, len(order), BLOCK):
             p, q = order[a - 1 : a - 1 + BLOCK][: len(order) - a], order[a : a + BLOCK]
             most = np.minimum(self.left[p], self.left[q]).astype(np.int64)
-            same, live = np.zeros(len(q), dtype=np.int64), np.arange(len(q))
-            for r in range(0, self.limit, 4):
-                live = live[same[live] < most[live]]
+            same, live = most.copy(), np.flatnonzero(most)
+            for r in range(0, self.limit, 8):
+                x = words[p[live] + r] ^ words[q[live] + r]
+                parted = x != 0
+                x = x[parted]
+                # The lowest bit set lies in the first byte that differs.
+                same[live[parted]] = r + (np.frexp((x & (~x + np.uint64(1))).astype(np.float64))[1] - 1) // 8
+                live = live[~parted & (most[live] > r + 8)]
                 if not len(live):
                     break
-                x = words[p[live] + r] ^ words[q[live] + r]
-                first = np.where(x & np.uint64(0xFFFF), 0, np.where(x & np.uint64(0xFFFFFFFF), 1, np.where(x & np.uint64(0xFFFFFFFFFFFF), 2, np.where(x, 3, 4))))
-                same[live] = r + first
-                live = live[first == 4]
             out[a : a + len(q)] = np.minimum(same, most)
         return out
 
