@@ -128,3 +128,24 @@ def test_weights_are_carried_through_a_whole_text():
             w[gate[t]] -= lm.RATE * (p - bit[t]) * s
         assert together[i] == pytest.approx(log2, rel=1e-4)
         assert lm.score_streams(model, [streams[i]])[0][0] == pytest.approx(log2, rel=1e-4)
+
+
+def test_lanes_hold_every_decision_once_and_in_order(monkeypatch):
+    """Decisions of one text with one gate lie one after another, so that a step needs no look-up of weights; tables count the same ones."""
+    texts = _texts(40) + [LONG, ""]
+    model = _model(_texts(200))
+    streams = [lm.stream_of(lm.words_of(t)) for t in texts]
+    ends, bit, slots = lm.decisions(model.codes, streams)
+    x, gate = lm.inputs_of(model, slots)
+    signed = np.stack([*x, np.ones(len(bit), np.int8)], axis=1) * np.where(bit == 1, 1, -1)[:, None]
+    for cut in (500, 1 << 20):
+        monkeypatch.setattr(lm, "CUT_BYTES", cut)
+        packed, first, size, text, of = lm.lanes_of(model, streams)
+        assert size.sum() == len(bit) and len(packed) >= len(bit) + lm.STEPS
+        for p, n, t, g in zip(first.tolist(), size.tolist(), text.tolist(), of.tolist()):
+            inside = np.arange(ends[t - 1] if t else 0, ends[t])
+            assert (packed[p : p + n].view(np.int8).reshape(-1, 4) == signed[inside[gate[inside] == g]]).all()
+    counts = [np.zeros(2 << 18, np.uint32) for _ in range(lm.CONTEXTS)]
+    lm.count_streams(model.codes, streams, counts)
+    for table, s in zip(counts, slots):
+        assert (table == np.bincount((s.astype(np.int64) << 1) | bit, minlength=2 << 18)).all()

@@ -17,13 +17,13 @@ from __future__ import annotations
 
 import heapq
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,11 +40,13 @@ FREQUENT, LONGEST = 1 << 20, 64
 #: One training text in so many fits the first weights before the tables count it.
 WEIGHT_SHARE, WEIGHT_ROUNDS = 64, 3
 CONTEXTS, GATES, SHORT_WORD = 3, 16, 3
-#: Texts that advance together go on one by one once fewer than ``NARROW`` of them last.
-NARROW, STEPS, RATE, ODDS = 16, 64, 0.015, 15.5
-SCALE, EACH = RATE**0.5, np.ones((CONTEXTS + 1, CONTEXTS + 1), dtype=np.float32)
+#: ``LANES`` sequences of decisions advance together, ``STEPS`` at a time; they go on one by one once fewer than ``NARROW`` last.
+LANES, NARROW, STEPS, RATE, ODDS = 4096, 8, 32, 0.015, 15.5
+SCALE = RATE**0.5
+#: What the four signed bytes of a packed decision are multiplied with.
+FACTORS, EACH = np.array([SCALE / ODDS] * CONTEXTS + [SCALE * 0.5], dtype=np.float32), np.ones(CONTEXTS + 1, dtype=np.float32)
 #: Bytes of text counted at a time, scored side by side, and hashed at a time.
-BATCH_BYTES, SCORE_BYTES, CUT_BYTES = 2 << 20, 8 << 20, 1 << 18
+BATCH_BYTES, SCORE_BYTES, CUT_BYTES = 1 << 18, 8 << 20, 1 << 16
 RAW_NODE = 255
 END = b"\n"
 
@@ -59,16 +61,15 @@ def stream_of(words: list[bytes]) -> bytes:
 
 @dataclass
 class Codes:
-    """Prefix codes by context: paths of (node, bit) laid one after another, found by (code, byte).
+    """Prefix codes by context: paths of nodes and bits laid one after another, found by (code, byte).
 
     ``table_bits`` is the size of the tables that go with them.
     """
 
     code_of_pair: np.ndarray  # of the two bytes before
-    start: np.ndarray  # of (code, byte) in node and bit
+    start: np.ndarray  # of (code, byte) in step
     length: np.ndarray
-    node: np.ndarray
-    bit: np.ndarray
+    step: np.ndarray  # uint16: twice the node, and the bit
     table_bits: int = TABLE_BITS
 
 
@@ -103,16 +104,15 @@ def build_codes(singles: dict[int, dict[int, int]], pairs: dict[int, dict[int, i
     for pair in sorted(pairs):
         code_of_pair[pair] = len(tables)
         tables.append(pairs[pair])
-    start, length, nodes, bits = [], [], [], []
+    start, length, steps = [], [], []
     for counts in tables:
         paths = huffman(counts)
         for s in range(256):
             path = paths.get(s) or paths[256] + [(RAW_NODE, s >> i & 1) for i in range(7, -1, -1)]
-            start.append(len(nodes))
+            start.append(len(steps))
             length.append(len(path))
-            nodes += [p[0] for p in path]
-            bits += [p[1] for p in path]
-    return Codes(code_of_pair, np.array(start, np.int64), np.array(length, np.int32), np.array(nodes, np.uint8), np.array(bits, np.uint8), table_bits)
+            steps += [node << 1 | bit for node, bit in path]
+    return Codes(code_of_pair, np.array(start, np.int64), np.array(length, np.int32), np.array(steps, np.uint16), table_bits)
 
 
 @dataclass
@@ -152,22 +152,22 @@ def _contexts(buf: np.ndarray, heads: np.ndarray, table_bits: int) -> tuple[np.n
     pair = _before(buf, heads, 2) * np.uint32(256) + one
     three = _before(buf, heads, 3)
     up, down = _powers(n + 1)
-    up, down = up.astype(np.uint32), down.astype(np.uint32)
     sums = np.zeros(n + 1, dtype=np.uint32)
-    np.cumsum((buf.astype(np.uint32) + np.uint32(1)) * up[:n], out=sums[1:], dtype=np.uint32)
-    first = np.flatnonzero(one <= 32)  # where words begin
-    sizes = np.diff(np.append(first, n))
-    prefix = (sums[:n] - np.repeat(sums[first], sizes)) * np.repeat(down[first], sizes)
+    np.cumsum((buf.astype(np.uint32) + np.uint32(1)) * up[:n].astype(np.uint32), out=sums[1:], dtype=np.uint32)
+    begins = one <= 32
+    first = np.flatnonzero(begins)  # where words begin
+    sizes, word = np.diff(first, append=n), np.cumsum(begins) - 1
+    prefix = (sums[:n] - sums[first].take(word)) * down[first].astype(np.uint32).take(word)
     hashes = prefix[first + sizes - 1]  # of whole words
     number = np.arange(len(first))
     short = np.maximum.accumulate(np.where((sizes - 1 <= SHORT_WORD) & (sizes > 1), number, -1))
     last = np.concatenate(([-1], short[:-1]))
-    text = np.searchsorted(heads, first, "right")
-    known = (last >= 0) & (text == text[np.maximum(last, 0)])
+    text = np.searchsorted(first, heads)  # the first word of each text
+    known = (last >= 0) & (last >= np.repeat(text, np.diff(text, append=len(first))))
     hint = np.where(known, hashes[np.maximum(last, 0)], np.uint32(7)) * np.uint32(0x9E3779B1)
     prefix ^= prefix >> np.uint32(13)
-    inside = np.arange(n) - np.repeat(first, sizes)
-    begun = prefix * np.uint32(0x27D4EB2F) + np.repeat(hint, sizes)
+    inside = np.arange(n) - first.take(word)
+    begun = prefix * np.uint32(0x27D4EB2F) + hint.take(word)
     five = ((pair << np.uint32(16)) + (three << np.uint32(8)) + _before(buf, heads, 4)) * np.uint32(0x9E3779B1) + _before(buf, heads, 5)
     keys = ((pair << np.uint32(8)) + three + np.uint32(1 << 30), prefix, np.where(inside < 3, begun, five))
     return pair, [_scatter(k, table_bits) for k in keys]
@@ -181,86 +181,112 @@ def count_decisions(codes: Codes, streams: list[bytes]) -> int:
     return int(codes.length[codes.code_of_pair[pair] * 256 + buf].sum())
 
 
-def decisions(codes: Codes, streams: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Ends of the texts in decisions, the decided bits, and the slot of each context for each decision."""
+def _steps(codes: Codes, streams: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Ends of the texts in decisions, the byte of each decision and its step, and the hashed contexts of each byte."""
     buf = np.frombuffer(b"".join(streams), dtype=np.uint8)
     sizes = np.array([len(s) for s in streams])
     heads = np.cumsum(sizes) - sizes
     pair, hashed = _contexts(buf, heads, codes.table_bits)
-    at = codes.code_of_pair[pair] * 256 + buf
-    lengths = codes.length[at]
-    stops = np.cumsum(lengths)
-    path = np.repeat(codes.start[at] - (stops - lengths), lengths) + np.arange(stops[-1])
-    node = codes.node[path].astype(np.uint32)
-    return stops[heads + sizes - 1], codes.bit[path], [np.repeat(h, lengths) ^ node for h in hashed]
-
+    at = codes.code_of_pair.take(pair) * 256 + buf
+    lengths = codes.length.take(at)
+    stops = np.cumsum(lengths, dtype=np.int64)
+    owner = np.repeat(np.arange(len(buf)), lengths)
+    path = (codes.start.take(at) - (stops - lengths)).take(owner)
+    path += np.arange(len(path))
+    return stops[heads + sizes - 1], owner, codes.step.take(path), hashed
 
-def mix(packed: np.ndarray, ends: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log2 probability of each text, and the mean of the weights at their ends by the texts' lengths.
 
-    ``packed`` holds a decision in four bytes: the log odds of the contexts,
-    then gate and bit; it goes on for ``STEPS`` unused places. All texts
-    advance together, one decision a step; each has its own weights, that
-    start from ``start`` and learn from all its own past decisions alone.
+def decisions(codes: Codes, streams: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Ends of the texts in decisions, the decided bits, and the slot of each context for each decision."""
+    ends, owner, step, hashed = _steps(codes, streams)
+    node = (step >> np.uint16(1)).astype(np.uint32)
+    return ends, (step & np.uint16(1)).astype(np.uint8), [h.take(owner) ^ node for h in hashed]
+
+
+def count_streams(codes: Codes, streams: list[bytes], tables: list[np.ndarray]) -> None:
+    """Add the decisions of the streams to the tables: one count for each slot and bit."""
+    _, owner, step, hashed = _steps(codes, streams)
+    step = step.astype(np.int64)
+    for table, h in zip(tables, hashed):
+        place = (h.astype(np.int64) << 1).take(owner)
+        place ^= step
+        np.add.at(table, place, np.uint32(1))
+
+
+def mix(packed: np.ndarray, first: np.ndarray, size: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log2 probability of each lane, and its last weights.
+
+    A lane is a run of decisions in ``packed`` that share weights: those of one
+    text with one gate. It has its first weights in ``start`` and learns from
+    all its own past decisions alone, so lanes advance together, one decision a
+    step. ``packed`` holds a decision in four signed bytes (the log odds of the
+    contexts and a one, negative where the bit is 0) and goes on for ``STEPS``
+    unused places.
     """
-    heads = np.concatenate(([0], ends[:-1]))
-    order = np.argsort(heads - ends, kind="stable")
-    first, size = heads[order], (ends - heads)[order]
-    active = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), "left")
-    wide, lanes = int((active >= NARROW).sum()), len(first)
-    # Four numbers lie side by side and move as one of 16 bytes. Signals carry the sign of what happened
-    # and the root of the rate, weights are divided by it: the chance of the other bit is the step's length.
-    w = np.tile(start / SCALE, (lanes, 1)).astype(np.float32)
-    moved, total, lane = w.view(np.complex128).ravel(), np.zeros(lanes), np.arange(lanes) * GATES
-    for t0 in range(0, wide, STEPS):
-        # A run of steps is copied out step by step, so that a step reads neighbouring memory.
-        counts = active[t0 : min(t0 + STEPS, wide)]
-        owns, signals = _signals(packed.take(first[None, : counts[0]] + (t0 + np.arange(len(counts)))[:, None]))
-        owns = owns + lane[: counts[0]]
-        wrong = np.zeros(owns.shape, dtype=np.float32)
-        with np.errstate(over="ignore"):
-            for signal, own, other, n in zip(signals, owns, wrong, counts.tolist()):
-                signal, own, other = signal[:n], own[:n], other[:n]
-                held = moved.take(own).view(np.float32).reshape(n, 4)
-                step = (held * signal) @ EACH  # the sum, in all four places
-                np.exp(step, out=step)
-                step += 1
-                np.reciprocal(step, out=step)
-                other[:] = step[:, 0]
-                step *= signal
-                held += step
-                moved[own] = held.reshape(-1).view(np.complex128)
-        total[: counts[0]] += np.log2(np.maximum(1 - wrong, 1e-7)).sum(axis=0, dtype=np.float64)
-    for i in range(int(active[wide]) if wide < len(active) else 0):
-        total[i] += _go_on(packed[first[i] + wide : first[i] + size[i]], w[i * GATES : (i + 1) * GATES])
-    log2 = np.empty(lanes)
-    log2[order] = total
-    mean = np.average(w.reshape(lanes, GATES, -1), axis=0, weights=size) * SCALE if lanes else start
-    return log2, mean
-
-
-def _signals(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Gates of packed decisions, and their four inputs as ``mix`` wants them."""
-    raw = packed.view(np.uint8).reshape(*packed.shape, 4)
-    signals = raw.view(np.int8) * np.float32(SCALE / ODDS)
-    signals[..., 3] = SCALE * 0.5
-    signals *= ((raw[..., 3] & 1) * np.float32(2) - 1)[..., None]
-    return raw[..., 3] >> 1, signals
+    order = np.argsort(-size, kind="stable")
+    log2, last = np.zeros(len(first)), start.astype(np.float64)
+    windows = np.lib.stride_tricks.sliding_window_view(packed, STEPS)
+    for a in range(0, len(order), LANES):
+        lanes = order[a : a + LANES]
+        at, rest = first[lanes], size[lanes]
+        # Signals carry the sign of what happened and the root of the rate, weights are divided by it:
+        # the chance of the other bit is the step's length.
+        w = np.ascontiguousarray((start[lanes] / SCALE).astype(np.float32).T)
+        while len(lanes) >= NARROW:
+            signals = _signals(windows[at])
+            wrong = np.zeros((STEPS, len(lanes)), dtype=np.float32)
+            ended = int(np.searchsorted(-rest, -STEPS, "right"))  # lanes from here on end in these steps
+            over = np.arange(STEPS)[:, None] >= rest[ended:]
+            signals[:, :, ended:] *= ~over[:, None]  # a signal of 0 leaves the weights as they are
+            _advance(w, signals, wrong)
+            wrong[:, ended:][over] = 0
+            log2[lanes] += np.log2(np.maximum(1 - wrong, 1e-7)).sum(axis=0, dtype=np.float64)
+            ended = int(np.searchsorted(-rest, -STEPS, "left"))
+            if ended < len(lanes):
+                last[lanes[ended:]] = w[:, ended:].T * SCALE
+                lanes, at, rest, w = lanes[:ended], at[:ended], rest[:ended], np.ascontiguousarray(w[:, :ended])
+            at, rest = at + STEPS, rest - STEPS
+        for lane, p, n, own in zip(lanes.tolist(), at.tolist(), rest.tolist(), w.T):
+            log2[lane] += _go_on(packed[p : p + n], own)
+            last[lane] = own * SCALE
+    return log2, last
+
+
+def _advance(w: np.ndarray, signals: np.ndarray, wrong: np.ndarray) -> None:
+    """Bring weights forward step by step; ``wrong`` takes the chance of what did not happen."""
+    multiply, add, exp, reciprocal, dot = np.multiply, np.add, np.exp, np.reciprocal, np.dot
+    product, one = np.empty_like(w), np.ones(w.shape[1], dtype=np.float32)
+    with np.errstate(over="ignore"):
+        for signal, other in zip(signals, wrong):
+            multiply(w, signal, product)
+            dot(EACH, product, other)
+            exp(other, other)
+            add(other, one, other)
+            reciprocal(other, other)
+            multiply(signal, other, signal)
+            add(w, signal, w)
+
+
+def _signals(packed: np.ndarray) -> np.ndarray:
+    """The four inputs of packed decisions (lane by step), as (step, input, lane)."""
+    raw = np.ascontiguousarray(packed.T).view(np.int8).reshape(*packed.shape[::-1], CONTEXTS + 1)
+    out = np.empty((packed.shape[1], CONTEXTS + 1, packed.shape[0]), dtype=np.float32)
+    for k, factor in enumerate(FACTORS):
+        np.multiply(raw[..., k], factor, out=out[:, k])
+    return out
 
 
 def _go_on(packed: np.ndarray, w: np.ndarray) -> float:
-    """The decisions of one text in turn, as in ``mix``; ``w`` (its weights) is brought forward."""
-    rows, log2 = w.tolist(), 0.0
+    """The decisions of one lane in turn, as in ``mix``; ``w`` (its weights) is brought forward."""
+    (i, j, k, c), log2 = w.tolist(), 0.0
     for a in range(0, len(packed), 1 << 14):
-        gates, signals = _signals(packed[a : a + (1 << 14)])
         wrong = []
-        for gate, x, y, z, one in zip(gates.tolist(), *signals.T.tolist()):
-            i, j, k, c = own = rows[gate]
+        for x, y, z, one in _signals(packed[None, a : a + (1 << 14)])[..., 0].tolist():
             other = 1 / (1 + math.exp(min(i * x + j * y + k * z + c * one, 700.0)))
             wrong.append(other)
-            own[:] = i + other * x, j + other * y, k + other * z, c + other * one
+            i, j, k, c = i + other * x, j + other * y, k + other * z, c + other * one
         log2 += float(np.log2(np.maximum(1 - np.array(wrong), 1e-7)).sum())
-    w[:] = rows
+    w[:] = i, j, k, c
     return log2
 
 
@@ -268,10 +294,10 @@ def inputs_of(model: Model, slots: list[np.ndarray]) -> tuple[list[np.ndarray],
     """Log odds of every context for each decision, and the gate."""
     x, gate = [], np.zeros(len(slots[0]), dtype=np.uint8)
     for k, (table, slot) in enumerate(zip(model.tables, slots)):
-        found = table[slot.astype(np.int64)]
-        x.append((found >> 8).astype(np.uint8).view(np.int8))
+        found = table.take(slot, mode="clip").view(np.int8).reshape(-1, 2)
+        x.append(found[:, 1])
         if k >= CONTEXTS - 2:
-            gate = gate * np.uint8(4) + (found & 3).astype(np.uint8)
+            gate = (gate << np.uint8(2)) | (found[:, 0].view(np.uint8) & np.uint8(3))
     return x, gate
 
 
@@ -279,22 +305,54 @@ def first_weights() -> np.ndarray:
     return np.tile(np.array([0.4, 0.4, 0.4, 0.0], dtype=np.float32), (GATES, 1))
 
 
-def score_streams(model: Model, streams: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Log2 probability of each stream, and the mean last weights."""
+def lanes_of(model: Model, streams: list[bytes]) -> tuple[np.ndarray, ...]:
+    """The streams as lanes for ``mix``: packed decisions, then first place, size, text and gate of each lane.
+
+    Decisions with different gates share no weights, so each gate of each text is a lane.
+    """
     cuts, codes = list(batches_of(streams, CUT_BYTES)), model.codes  # what lies in the caches is quick to hash and look up
-    # Some room behind the last decision: texts read ahead in whole steps.
-    packed = np.zeros((sum(count_decisions(codes, streams[a:b]) for a, b in cuts) + STEPS, 4), dtype=np.uint8)
+    # Some room behind the last decision: lanes read ahead in whole steps.
+    packed = np.zeros(sum(count_decisions(codes, streams[a:b]) for a, b in cuts) + STEPS, dtype=np.uint32)
     parts, done = [], 0
     for a, b in cuts:
         ends, bit, slots = decisions(codes, streams[a:b])
         x, gate = inputs_of(model, slots)
-        out = packed[done : done + len(bit)]
-        for k, c in enumerate(x):
-            out[:, k] = c.view(np.uint8)
-        out[:, 3] = gate << np.uint8(1) | bit
-        parts.append(ends + done)
-        done += len(bit)
-    return mix(packed.view(np.uint32).ravel(), np.concatenate(parts), model.weights)
+        rows, sign = np.empty((len(bit), CONTEXTS + 1), dtype=np.int8), (bit.view(np.int8) << np.int8(1)) - np.int8(1)
+        for k, c in enumerate([*x, np.int8(1)]):
+            np.multiply(c, sign, out=rows[:, k])
+        rows = rows.view(np.uint32).ravel()
+        # Most decisions have the last gate, so only the others are sorted.
+        most = gate == GATES - 1
+        others = np.flatnonzero(~most)
+        of = gate.take(others)
+        edges = np.cumsum(np.bincount(of, minlength=GATES))[: GATES - 1]
+        by_gate = np.split(others.take(np.argsort(of, kind="stable")), edges)
+        by_gate[GATES - 1] = np.flatnonzero(most)
+        for g, at in enumerate(by_gate):
+            stop = np.searchsorted(at, ends)
+            size = np.diff(stop, prepend=0)
+            own = np.flatnonzero(size)
+            rows.take(at, out=packed[done : done + len(at)], mode="clip")
+            parts.append((done + (stop - size)[own], size[own], own + a, np.full(len(own), g)))
+            done += len(at)
+    return packed, *map(np.concatenate, zip(*parts))
+
+
+def score_streams(model: Model, streams: list[bytes], rounds: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Log2 probability of each stream, and the mean of the weights at their ends by their decisions.
+
+    In further rounds the streams start from these weights.
+    """
+    mean, log2 = model.weights.astype(np.float64), np.zeros(len(streams))
+    if not streams:
+        return log2, mean
+    packed, first, size, text, gate = lanes_of(model, streams)
+    share = np.bincount(text, size)[text] / size.sum()
+    for _ in range(rounds):
+        start = mean[gate]
+        by_lane, last = mix(packed, first, size, start)
+        np.add.at(mean, gate, (last - start) * share[:, None])
+    return np.bincount(text, by_lane), mean
 
 
 def batches_of(texts: list, size: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
@@ -365,16 +423,15 @@ def count_chunks(train: DataFrame, codes: Codes) -> DataFrame:
     size, step = 1 << codes.table_bits, 2 << min(CHUNK_BITS, codes.table_bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1).compress
         tables = [np.zeros(2 * size, dtype=np.uint32) for _ in range(CONTEXTS)]
         for piece in slices(batches, CUT_BYTES):
-            _, bit, slots = decisions(sent.value, [stream_of(words_of(t)) for t in piece.column(0).to_pylist()])
-            for table, slot in zip(tables, slots):
-                np.add.at(table, ((slot << np.uint32(1)) | bit).astype(np.int64), np.uint32(1))
+            count_streams(sent.value, [stream_of(words_of(t)) for t in piece.column(0).to_pylist()], tables)
         for k, table in enumerate(tables):
             for c in range(0, len(table), step):
                 part = table[c : c + step]
                 if part.any():
-                    blob = zlib.compress(part.tobytes(), 1)
+                    blob = press(part)
                     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([c // step], pa.int32()), pa.array([blob], pa.binary())], names=["k", "chunk", "counts"])
 
     return train.select("text").mapInArrow(count, "k int, chunk int, counts binary")
@@ -385,10 +442,10 @@ def sum_chunks(chunks: DataFrame, table_bits: int) -> DataFrame:
     step = 2 << min(CHUNK_BITS, table_bits)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, None
+        key, held, press = None, None, zstandard.ZstdCompressor(level=1).compress
 
         def close() -> pa.RecordBatch:
-            blob = zlib.compress(held.tobytes(), 1)
+            blob = press(held)
             return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([blob], pa.binary())], names=["k", "chunk", "counts"])
 
         for batch in batches:
@@ -397,7 +454,7 @@ def sum_chunks(chunks: DataFrame, table_bits: int) -> DataFrame:
                     if key is not None:
                         yield close()
                     key, held = (k, c), np.zeros(step, dtype=np.uint64)
-                raw = zlib.decompress(blob)
+                raw = zstandard.decompress(blob)
                 held += np.frombuffer(raw, dtype=np.uint32 if len(raw) == 4 * step else np.uint64)
         if key is not None:
             yield close()
@@ -411,7 +468,7 @@ def learn_tables(summed: DataFrame, table_bits: int) -> list[np.ndarray]:
     def odds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, blob in enumerate(batch.column(2).to_pylist()):
-                held = np.frombuffer(zlib.decompress(blob), dtype=np.uint64)
+                held = np.frombuffer(zstandard.decompress(blob), dtype=np.uint64)
                 packed = pa.array([pack(held[0::2], held[1::2]).tobytes()], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), packed], names=["k", "chunk", "odds"])
 
@@ -436,10 +493,8 @@ def learn_weights(sample: DataFrame, model: Model) -> np.ndarray:
 
     def run(cols: dict) -> dict:
         streams = [stream_of(words_of(t)) for t in cols["text"]]
-        held = Model(sent.value.codes, sent.value.tables, sent.value.weights)
-        for _ in range(WEIGHT_ROUNDS):
-            _, held.weights = score_streams(held, streams)
-        return {"size": [sum(map(len, streams))], "w": [held.weights.ravel().astype(float).tolist()]}
+        _, weights = score_streams(sent.value, streams, WEIGHT_ROUNDS)
+        return {"size": [sum(map(len, streams))], "w": [weights.ravel().tolist()]}
 
     found = map_rows(sample.select("text"), "size bigint, w array<double>", run, max_bytes=SCORE_BYTES).collect()
     sent.unpersist()
@@ -498,9 +553,10 @@ def score(docs: DataFrame, train: Column, table_bits: int = TABLE_BITS, frequent
             words = words_of(text)
             streams.append(stream_of(words))
             out["n_tokens"].append(len(words) + 1)
-            found = [known.get(w, -1.0) for w in [*words, b""]]
-            rare = Counter(w for w, f in zip([*words, b""], found) if f < 0)
-            out["near"].append(math.fsum(f for f in found if f > 0))
+            words.append(b"")
+            found = [*map(known.get, words)]
+            rare = Counter([w for w, f in zip(words, found) if f is None])
+            out["near"].append(math.fsum(filter(None, found)))
             out["n_near"].append(len(found) - rare.total())
             out["rare"].append(list(rare))
             out["times"].append(list(rare.values()))
