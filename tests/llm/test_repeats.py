@@ -4,6 +4,7 @@ from collections import Counter
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from odd_texts import ODD
@@ -142,3 +143,38 @@ def test_shared_prefixes_are_those_of_the_bytes():
     found = shard._shared(order)
     want = [len(os.path.commonprefix([rest[p], rest[q]])) for p, q in zip(order[:-1].tolist(), order[1:].tolist())]
     assert found[1:].tolist() == want
+
+
+def test_only_what_whole_suffixes_need_is_induced():
+    """Classes are those of the strings, and most shorter suffixes are left out."""
+    for limit in (20, 60):
+        tail = prose(9).encode()
+        bodies = [prose(R.randint(2, 30)).encode()[: limit + R.randint(-5, 25)] + R.choice([b"", tail]) for _ in range(300)] + [b"ab" * 70, b"a" * 90] * 2
+        shard = Shard(bodies, limit)
+        string = {int(a) + i: b[i : i + limit] for a, b in zip(shard.starts, bodies) for i in range(len(b) - limit + 1)}
+        found = [(p, c) for pos, number in shard.classes() for p, c in zip(pos.tolist(), number.tolist())]
+        assert sorted(p for p, _ in found) == sorted(string)
+        assert len({c for _, c in found}) == len(set(string.values())) == len({(c, string[p]) for p, c in found})
+    shard = Shard([prose(300).encode()[:260] for _ in range(50)], 200)
+    assert sum(len(pos) for pos, _ in shard.suffixes(whole=True)) < shard.n // 2
+
+
+def test_pieces_that_share_no_side_are_not_compared(spark, docs_of):
+    """Texts that have a gram in common and nothing else: their pieces meet no other."""
+    gram = "gram of thirty-two bytes in all."
+    texts = [f"{prose(40)}{gram}{prose(40)}" for _ in range(400)]
+    copied = prose(25) + texts[0][200:500]
+    _, distinct, _ = repeats.distinct_pieces(docs_of([*texts, copied]), 200, 32)
+    kept = repeats.comparable(distinct)
+    assert 0 < kept.count() < distinct.count()
+    assert answer(docs_of([*texts, copied]), 200) == sorted(brute_force([*texts, copied], 200))
+
+
+def test_runs_of_many_rows_become_spans():
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("size", pa.int64())]))
+    rows = [[(0, 1)], None, [(50, 3), (0, 5), (14, 1)], [], [(15, 1), (0, 5)], [(0, 30), (2, 1)]]
+    runs = pa.array([None if x is None else [{"start": a, "size": n} for a, n in x] for x in rows], kind)
+    want = [[(0, 10)], [], [(0, 24), (50, 62)], [], [(0, 14), (15, 25)], [(0, 39)]]
+    assert repeats.cut_spans(runs, 10) == want
+    assert repeats.cut_spans(runs.slice(2, 3), 10) == want[2:5]
+    assert repeats.cut_spans(runs.slice(1, 1), 10) == [[]] and repeats.cut_spans(runs.slice(0, 0), 10) == []

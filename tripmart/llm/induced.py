@@ -13,6 +13,8 @@ separator 0; separators count as distinct, so nothing is compared beyond one.
   the symbols before it (so the text itself is rarely looked at), and the
   prefix it shares with the tuple before it. The shared prefix of an induced
   pair is one more than the least one between the two that induce it.
+* Where only suffixes of ``limit`` bytes or more are asked for, LMS suffixes
+  that induce none of them are left out once all are ranked.
 
 Queues and arrays beyond ``memory`` bytes live in unnamed scratch files of
 the task, so a shard may be far larger than memory. Work goes in blocks of
@@ -223,8 +225,11 @@ class Shard:
         out[tied] = self._ranks(order, key[order], sorted_old - start)
         return out
 
-    def sorted_lms(self) -> tuple[np.ndarray, np.ndarray]:
-        """LMS positions in suffix order, as far as ``limit`` bytes tell, with the prefix shared with the one before."""
+    def sorted_lms(self, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """LMS positions in suffix order, as far as ``limit`` bytes tell, with the prefix shared with the one before.
+
+        With ``whole``, only those between which and the LMS position before them a suffix of ``limit`` bytes or more starts.
+        """
         lms = self._lms()
         ranks, reach = self._names(lms), 1
         m = len(lms)
@@ -239,6 +244,11 @@ class Shard:
             three = m < 1 << 21
             ranks = self._refined(ranks, tied, step[0], step[1] if three else None)
             reach *= 3 if three else 2
+        if whole:
+            # An LMS position induces the suffixes from the one before it on, itself not included.
+            known = np.concatenate(([0], np.cumsum(self.left[: self.n] >= self.limit, dtype=np.int64)))
+            wanted = np.diff(known[lms], prepend=0) > 0
+            lms, ranks = lms[wanted], ranks[wanted]
         order = lms[sorted_order(ranks.astype(np.uint64), self.memory)]
         return order, self._shared(order)
 
@@ -335,11 +345,14 @@ class Shard:
                 self._induce(queue, low, (pos, prev, lcp), before, before > symbol)
         return queue
 
-    def suffixes(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """All suffixes from the largest to the smallest, with the prefix each shares with the one before."""
+    def suffixes(self, whole: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All suffixes from the largest to the smallest, with the prefix each shares with the one before.
+
+        With ``whole``, all of ``limit`` bytes or more and few others.
+        """
         if self.n <= 1:
             return
-        large = self._large(*self.sorted_lms())
+        large = self._large(*self.sorted_lms(whole))
         queue, low = Buckets(self.memory), np.full(SYMBOLS, -1, dtype=np.int64)
         for symbol in range(SYMBOLS - 1, 0, -1):
             last = None
@@ -360,7 +373,7 @@ class Shard:
     def classes(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Starts of whole ``limit``-byte strings and the class of each, a class never split over two blocks."""
         held_pos, held_class, current = np.empty(0, np.int64), np.empty(0, np.int64), 0
-        for pos, lcp in self.suffixes():
+        for pos, lcp in self.suffixes(whole=True):
             whole = self.left[pos] >= self.limit
             number = current + np.cumsum(lcp < self.limit)
             current = int(number[-1])

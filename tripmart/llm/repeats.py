@@ -10,8 +10,11 @@ to meet in one shard:
    the bytes their strings cover. Each start is in exactly one piece.
 2. Grams that occur once belong to no repeated string. The other pieces are
    reduced to distinct ones with their number of copies, so a text copied any
-   number of times is sorted once, and go into shards by their gram. A gram
-   with more bytes of pieces than a shard holds is dealt over several.
+   number of times is sorted once. A string holds its gram and half of its other
+   bytes on one side, so a piece without copies that shares neither side with
+   any other piece has no repeated string either. The rest go into shards by
+   their gram. A gram with more bytes of pieces than a shard holds is dealt
+   over several.
 3. A shard is suffix-sorted by external induced sorting with shared prefixes
    (:mod:`tripmart.llm.induced`): strings that share ``length`` bytes stand
    side by side, and a string of two or more copies or members is repeated. For
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +47,8 @@ SHARD_BYTES, MEMORY = 2 << 20, 96 << 20
 #: A key with one row in so many is hot: there are no more such keys than this.
 HOT = 4096
 CHUNK, PLACE = 1 << 20, 21
+#: Bytes whose windows are searched at a time, so that they lie in the caches.
+WINDOWS = 1 << 16
 
 
 def text_key() -> tuple[Column, Column]:
@@ -54,12 +60,23 @@ def text_key() -> tuple[Column, Column]:
 
 
 def pieces(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
-    """``(text, start, starts, gram, digest)`` of all pieces, a megabyte of bytes at a time."""
+    """``(text, start, starts, gram, digest)`` of all pieces."""
+    for *found, _, _ in sided_pieces(texts, length, gram):
+        yield tuple(found)
+
+
+def sided_pieces(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
+    """``(text, start, starts, gram, digest, left, right)`` of all pieces, ``WINDOWS`` bytes at a time.
+
+    ``left`` and ``right`` are hashes of the gram with half of a string's other
+    bytes before or behind it; 0 where no string of the piece holds as many there.
+    """
+    side = (length - gram + 1) // 2
     joined = b"".join(texts)
     heads = np.cumsum([0, *map(len, texts)])
-    for a in range(0, len(joined), CHUNK):
-        buf = np.frombuffer(joined, dtype=np.uint8, offset=a, count=min(CHUNK + length - 1, len(joined) - a))
-        n = min(CHUNK, len(buf) - length + 1)
+    for a in range(0, len(joined), WINDOWS):
+        buf = np.frombuffer(joined, dtype=np.uint8, offset=a, count=min(WINDOWS + length - 1, len(joined) - a))
+        n = min(WINDOWS, len(buf) - length + 1)
         if n <= 0:
             continue
         at = np.arange(len(buf) - gram + 1)
@@ -85,10 +102,14 @@ def pieces(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Iterat
         stop = np.flatnonzero(fits & np.append(new[1:] | ~fits[1:], True))
         view, digest = memoryview(joined), xxhash.xxh3_128_digest
         found = [digest(view[x:y]) for x, y in zip((starts + a).tolist(), (stop + a + length).tolist())]
-        yield text[starts], starts + a - heads[text[starts]], stop - starts + 1, grams[chosen[starts]].view(np.int64), found
+        at = chosen[starts]
+        left = np.where(at - starts >= side, span_hashes(buf, np.maximum(at - side, 0), at + gram), np.uint64(0))
+        right = np.where(stop + length - gram - at >= side, span_hashes(buf, at, np.minimum(at + gram + side, len(buf))), np.uint64(0))
+        hashes = (x.view(np.int64) for x in (left, right))
+        yield text[starts], starts + a - heads[text[starts]], stop - starts + 1, grams[at].view(np.int64), found, *hashes
 
 
-PIECE = "k1 bigint, k2 bigint, start bigint, starts int, gram bigint, piece binary"
+PIECE = "k1 bigint, k2 bigint, start bigint, starts int, gram bigint, piece binary, left bigint, right bigint"
 
 
 def all_pieces(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -98,13 +119,13 @@ def all_pieces(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataF
         for part in slices(batches, CHUNK):
             texts = [t.encode() for t in part.column(2).to_pylist()]
             k1, k2 = part.column(0).to_numpy(), part.column(1).to_numpy()
-            for text, start, starts, grams, found in pieces(texts, length, gram):
+            for text, start, starts, grams, found, left, right in sided_pieces(texts, length, gram):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(k1[text]), pa.array(k2[text]), pa.array(start), pa.array(starts, pa.int32()),
-                        pa.array(grams), pa.array(found, pa.binary()),
+                        pa.array(grams), pa.array(found, pa.binary()), pa.array(left), pa.array(right),
                     ],
-                    names=["k1", "k2", "start", "starts", "gram", "piece"],
+                    names=["k1", "k2", "start", "starts", "gram", "piece", "left", "right"],
                 )
 
     rows = docs.select(*text_key(), F.col("text").alias("text")).where(F.octet_length("text") >= length)
@@ -131,13 +152,25 @@ def distinct_pieces(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame,
     again = materialize(every.groupBy("gram").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"))
     kept = materialize(join_unique(every, again, ["gram"], total))
     place = F.min(F.struct("k1", "k2", "start")).alias("place")
-    distinct = kept.groupBy("gram", "piece", "starts").agg(F.count(F.lit(1)).alias("copies"), place)
-    distinct = materialize(distinct.select("gram", "piece", "starts", "copies", "place.*"))
+    # Pieces alike have like sides.
+    sides = F.array(F.first("left"), F.first("right")).alias("sides")
+    distinct = kept.groupBy("gram", "piece", "starts").agg(F.count(F.lit(1)).alias("copies"), place, sides)
+    distinct = materialize(distinct.select("gram", "piece", "starts", "copies", "place.*", "sides"))
     discard(every)
     discard(again)
     return kept, distinct, kept.count()
 
 
+def comparable(distinct: DataFrame) -> DataFrame:
+    """Distinct pieces that can hold a repeated string: those with copies, and those that share a side with another."""
+    found = distinct.select("*", F.explode(F.array_remove("sides", 0)).alias("side"))
+    shared = materialize(found.groupBy("side").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"))
+    single = found.where("copies = 1").drop("copies", "sides")
+    met = join_unique(single, shared, ["side"], max(1, found.count())).dropDuplicates(["gram", "piece", "starts"])
+    columns = distinct.drop("sides").columns
+    return distinct.where("copies > 1").select(*columns).unionByName(met.withColumn("copies", F.lit(1).cast("bigint")).select(*columns))
+
+
 def dealt(distinct: DataFrame, length: int, shard_bytes: int) -> DataFrame:
     """Distinct pieces with their shard, and whether their gram is dealt over several."""
     size = F.col("starts") + F.lit(length - 1)
@@ -165,7 +198,7 @@ def packed(docs: DataFrame, length: int) -> DataFrame:
     """``(doc_id, k1, k2, packed)`` of the texts of ``length`` bytes or more, compressed for the way through a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3).compress
+        press = zstandard.ZstdCompressor(level=1).compress
         for part in slices(batches, CHUNK):
             small = pa.array([press(t.as_buffer()) for t in part.column(3)], pa.binary())
             yield pa.RecordBatch.from_arrays([*part.columns[:3], small], names=["doc_id", "k1", "k2", "packed"])
@@ -184,14 +217,15 @@ def bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, CHUNK):
-            for text, cuts in zip(part.column(0), part.column(1)):
-                raw, rows = memoryview(zstandard.decompress(text.as_buffer())), cuts.values
-                start, starts = rows.field("start").to_pylist(), rows.field("starts").to_pylist()
-                cut = [bytes(raw[a : a + n + length - 1]) for a, n in zip(start, starts)]
-                yield pa.RecordBatch.from_arrays(
-                    [*(rows.field(n) for n in ("shard", "split", "gram", "piece", "copies")), pa.array(cut, pa.binary())],
-                    names=["shard", "split", "gram", "piece", "copies", "body"],
-                )
+            rows, cut = part.column(1).flatten(), []
+            places = zip(rows.field("start").to_pylist(), rows.field("starts").to_pylist())
+            for text, count in zip(part.column(0), part.column(1).value_lengths().to_pylist()):
+                raw = zstandard.decompress(text.as_buffer())
+                cut += [raw[a : a + n + length - 1] for a, n in islice(places, count)]
+            yield pa.RecordBatch.from_arrays(
+                [*(rows.field(n) for n in ("shard", "split", "gram", "piece", "copies")), pa.array(cut, pa.binary())],
+                names=["shard", "split", "gram", "piece", "copies", "body"],
+            )
 
     return joined.mapInArrow(run, BODY)
 
@@ -278,7 +312,7 @@ def repeated_starts(docs: DataFrame, wanted: DataFrame, length: int, shard_bytes
 def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, memory: int = MEMORY) -> DataFrame:
     """``(k1, k2, runs)``: for every text with repeated strings, the runs ``(start, size)`` of their starts."""
     kept, distinct, total = distinct_pieces(docs, length, gram)
-    wanted = materialize(dealt(distinct, length, shard_bytes))
+    wanted = materialize(dealt(materialize(comparable(distinct)), length, shard_bytes))
     found = repeated_starts(docs, wanted, length, shard_bytes, memory)
     counted = found.join(distinct.select("gram", "piece", "copies"), ["gram", "piece"])
     rows = join_unique(kept.select("k1", "k2", "start", "gram", "piece"), counted, ["gram", "piece"], total)
@@ -294,16 +328,19 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard
 SCHEMA = "doc_id bigint, n_bytes bigint, spans array<struct<start: bigint, stop: bigint>>, kept binary"
 
 
-def cut_spans(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
-    """Maximal removed runs ``(start, stop)`` of the bytes that runs of starts cover."""
-    out: list[tuple[int, int]] = []
-    for start, size in sorted(runs):
-        stop = start + size - 1 + length
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(stop, out[-1][1]))
-        else:
-            out.append((start, stop))
-    return out
+def cut_spans(runs: pa.ListArray, length: int) -> list[list[tuple[int, int]]]:
+    """Maximal removed runs ``(start, stop)`` of each row: of the bytes that its runs of starts cover."""
+    flat, counts = runs.flatten(), runs.value_lengths().fill_null(0).to_numpy()
+    start, row = flat.field("start").to_numpy(), np.repeat(np.arange(len(runs)), counts)
+    stop = start + flat.field("size").to_numpy() - 1 + length
+    order = np.lexsort((start, row))  # rows stay where they are
+    # One row's bytes lie behind those of all rows before it.
+    behind = row * (stop.max(initial=0) + 1)
+    start, reach = start[order] + behind, np.maximum.accumulate(stop[order] + behind)
+    first = np.flatnonzero(np.concatenate(([True], start[1:] > reach[:-1]))[: len(start)])
+    last = np.append(first[1:], len(start))[: len(first)] - 1
+    spans = iter(zip((start - behind)[first].tolist(), (reach - behind)[last].tolist()))
+    return [list(islice(spans, n)) for n in np.bincount(row[first], minlength=len(runs)).tolist()]
 
 
 def with_runs(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
@@ -339,7 +376,7 @@ def _described(docs: DataFrame, runs: DataFrame, length: int, texts: bool) -> Da
                 zstandard.decompress(z.as_buffer()) if z.is_valid else (t.as_py() or "").encode()
                 for t, z in zip(part.column(1), part.column(2))
             ]
-            spans = [cut_spans([(r["start"], r["size"]) for r in x or ()], length) for x in part.column(3).to_pylist()]
+            spans = cut_spans(part.column(3), length)
             left = []
             for body, cuts in zip(raw, spans):
                 edges = [0, *(x for cut in cuts for x in cut), len(body)]
