@@ -174,10 +174,11 @@ class Shard:
 
     def _word(self, at: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Seven symbols from ``at`` on, those past ``end`` larger than any."""
-        out = np.zeros(len(at), dtype=np.uint64)
+        out, rest = np.zeros(len(at), dtype=np.uint64), end - at
+        symbols = np.lib.stride_tricks.sliding_window_view(self.text, 7)[at]
         for k in range(7):
-            symbol = np.where(at + k <= end, self.text[np.minimum(at + k, self.n)], USED_UP)
-            out = (out << np.uint64(FIELD)) | symbol.astype(np.uint64)
+            out <<= np.uint64(FIELD)
+            out |= np.where(rest >= k, symbols[:, k], np.uint16(USED_UP))
         return out
 
     def _names(self, lms: np.ndarray) -> np.ndarray:

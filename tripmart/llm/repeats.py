@@ -103,10 +103,17 @@ def sided_pieces(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) ->
         view, digest = memoryview(joined), xxhash.xxh3_128_digest
         found = [digest(view[x:y]) for x, y in zip((starts + a).tolist(), (stop + a + length).tolist())]
         at = chosen[starts]
-        left = np.where(at - starts >= side, span_hashes(buf, np.maximum(at - side, 0), at + gram), np.uint64(0))
-        right = np.where(stop + length - gram - at >= side, span_hashes(buf, at, np.minimum(at + gram + side, len(buf))), np.uint64(0))
-        hashes = (x.view(np.int64) for x in (left, right))
-        yield text[starts], starts + a - heads[text[starts]], stop - starts + 1, grams[at].view(np.int64), found, *hashes
+        left = np.where(at - starts >= side, _hash_of_grams(grams, at - side, side, gram), 0)
+        right = np.where(stop + length - gram - at >= side, _hash_of_grams(grams, at, side, gram), 0)
+        yield text[starts], starts + a - heads[text[starts]], stop - starts + 1, grams[at].view(np.int64), found, left, right
+
+
+def _hash_of_grams(grams: np.ndarray, at: np.ndarray, size: int, gram: int) -> np.ndarray:
+    """Hashes of ``size`` bytes and a gram behind them, from the grams that cover them (places outside give anything)."""
+    out = np.zeros(len(at), dtype=np.uint64)
+    for offset in [*range(0, size, gram), size]:
+        out = mix64(out + grams.take(at + offset, mode="clip"))
+    return out.view(np.int64)
 
 
 PIECE = "k1 bigint, k2 bigint, start bigint, starts int, gram bigint, piece binary, left bigint, right bigint"
@@ -151,11 +158,11 @@ def distinct_pieces(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame,
     total = every.count()
     again = materialize(every.groupBy("gram").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"))
     kept = materialize(join_unique(every, again, ["gram"], total))
-    place = F.min(F.struct("k1", "k2", "start")).alias("place")
-    # Pieces alike have like sides.
-    sides = F.array(F.first("left"), F.first("right")).alias("sides")
-    distinct = kept.groupBy("gram", "piece", "starts").agg(F.count(F.lit(1)).alias("copies"), place, sides)
-    distinct = materialize(distinct.select("gram", "piece", "starts", "copies", "place.*", "sides"))
+    # The row with the least hash of its place; pieces alike have like sides.
+    numbered = kept.withColumn("order", F.xxhash64("k1", "k2", "start"))
+    one = [F.min_by(c, "order").alias(c) for c in ("k1", "k2", "start", "left", "right")]
+    distinct = numbered.groupBy("gram", "piece", "starts").agg(F.count(F.lit(1)).alias("copies"), *one)
+    distinct = materialize(distinct.select("*", F.array("left", "right").alias("sides")).drop("left", "right"))
     discard(every)
     discard(again)
     return kept, distinct, kept.count()
