@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +150,34 @@ def test_lanes_hold_every_decision_once_and_in_order(monkeypatch):
     lm.count_streams(model.codes, streams, counts)
     for table, s in zip(counts, slots):
         assert (table == np.bincount((s.astype(np.int64) << 1) | bit, minlength=2 << 18)).all()
+
+
+def test_bytes_that_recur_in_a_context_are_spelled_once(monkeypatch):
+    """Counting takes the path of a byte once for all its places with the same context, and counts each place."""
+    streams = [lm.stream_of(lm.words_of(t)) for t in _texts(300) + [LONG]]
+    model, spelled = _model(_texts(200)), []
+    spell = lm._spell
+    monkeypatch.setattr(lm, "_spell", lambda codes, at: spelled.append(len(at)) or spell(codes, at))
+    counts = [np.zeros(2 << 18, np.uint32) for _ in range(lm.CONTEXTS)]
+    lm.count_streams(model.codes, streams, counts)
+    assert sum(spelled) < sum(map(len, streams))
+    _, bit, slots = lm.decisions(model.codes, streams)
+    for table, s in zip(counts, slots):
+        assert (table == np.bincount((s.astype(np.int64) << 1) | bit, minlength=2 << 18)).all()
+    lm.count_streams(model.codes, [], counts)
+
+
+def test_words_are_found_and_counted_without_python_objects():
+    texts = _texts(40) + ODD + [LONG, "", None, " \t\n\x0b\x0c\r", " aB\x1cc  d\u0085e\u00a0f ", "\u0130K"]
+    words = lm.words_in(pa.array(texts, pa.string()))
+    expected = [lm.words_of(t) for t in texts]
+    assert words.to_pylist() == expected
+    assert lm.streams_in(words) == [lm.stream_of(w) for w in expected]
+    for known in ({b"the": 1.5, b"": 0.25}, {}):
+        got = lm.count_words(words, pa.array(list(known), pa.binary()), np.array(list(known.values())))
+        for i, w in enumerate(expected):
+            tokens = Counter([*w, b""])
+            assert got["n_tokens"][i] == tokens.total() and got["n_near"][i] == sum(tokens[k] for k in known)
+            assert got["near"][i] == pytest.approx(sum(tokens[k] * v for k, v in known.items()))
+            rare = dict(zip(got["rare"][i].as_py(), got["times"][i].as_py()))
+            assert rare == {k: n for k, n in tokens.items() if k not in known}

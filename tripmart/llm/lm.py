@@ -17,17 +17,17 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import _powers, crc_mod, map_rows, read_table, slices
+from tripmart.llm.common import _arrow_schema, _powers, crc_mod, map_rows, read_table, slices
 from tripmart.operators.lookup import discard, materialize
 
 #: Slots of each context's table (as a power of two) and of one chunk that is summed at a time.
@@ -40,13 +40,13 @@ FREQUENT, LONGEST = 1 << 20, 64
 #: One training text in so many fits the first weights before the tables count it.
 WEIGHT_SHARE, WEIGHT_ROUNDS = 64, 3
 CONTEXTS, GATES, SHORT_WORD = 3, 16, 3
-#: ``LANES`` sequences of decisions advance together, ``STEPS`` at a time; they go on one by one once fewer than ``NARROW`` last.
-LANES, NARROW, STEPS, RATE, ODDS = 4096, 8, 32, 0.015, 15.5
+#: ``LANES`` sequences of decisions advance together, up to ``STEPS`` at a time (fewer of many, for the caches); they go on one by one once fewer than ``NARROW`` last.
+LANES, NARROW, STEPS, RATE, ODDS = 4096, 8, 256, 0.015, 15.5
 SCALE = RATE**0.5
 #: What the four signed bytes of a packed decision are multiplied with.
 FACTORS, EACH = np.array([SCALE / ODDS] * CONTEXTS + [SCALE * 0.5], dtype=np.float32), np.ones(CONTEXTS + 1, dtype=np.float32)
-#: Bytes of text counted at a time, scored side by side, and hashed at a time.
-BATCH_BYTES, SCORE_BYTES, CUT_BYTES = 1 << 18, 8 << 20, 1 << 16
+#: Bytes of text whose words and whose decisions are counted at a time, scored side by side, and hashed at a time.
+BATCH_BYTES, COUNT_BYTES, SCORE_BYTES, CUT_BYTES = 1 << 18, 2 << 20, 8 << 20, 1 << 16
 RAW_NODE = 255
 END = b"\n"
 
@@ -59,6 +59,21 @@ def stream_of(words: list[bytes]) -> bytes:
     return b" ".join(words) + END
 
 
+def words_in(texts: pa.Array) -> pa.ListArray:
+    """The words of every text, as ``words_of`` finds them."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null(""))).cast(pa.list_(pa.binary()))
+    flat, offsets = split.values, split.offsets.to_numpy()
+    whole = pc.binary_length(flat).to_numpy() > 0  # white space at an end of a text parts off an empty one
+    if not whole.all():
+        offsets = np.concatenate(([0], np.cumsum(whole)))[offsets].astype(np.int32)
+        flat = flat.filter(pa.array(whole))
+    return pa.ListArray.from_arrays(offsets, flat)
+
+
+def streams_in(words: pa.ListArray) -> list[bytes]:
+    return [w + END for w in pc.binary_join(words, b" ").to_pylist()]
+
+
 @dataclass
 class Codes:
     """Prefix codes by context: paths of nodes and bits laid one after another, found by (code, byte).
@@ -112,7 +127,7 @@ def build_codes(singles: dict[int, dict[int, int]], pairs: dict[int, dict[int, i
             start.append(len(steps))
             length.append(len(path))
             steps += [node << 1 | bit for node, bit in path]
-    return Codes(code_of_pair, np.array(start, np.int64), np.array(length, np.int32), np.array(steps, np.uint16), table_bits)
+    return Codes(code_of_pair, np.array(start, np.int32), np.array(length, np.uint8), np.array(steps, np.uint16), table_bits)
 
 
 @dataclass
@@ -131,6 +146,13 @@ def _before(buf: np.ndarray, heads: np.ndarray, back: int) -> np.ndarray:
     return out
 
 
+def _owners(first: np.ndarray, n: int) -> np.ndarray:
+    """The number of the run each of ``n`` places lies in, from where the runs begin."""
+    edge = np.zeros(n, dtype=np.int64)
+    edge[first[1:]] = 1
+    return np.cumsum(edge, out=edge)
+
+
 def _scatter(key: np.ndarray, table_bits: int) -> np.ndarray:
     """Table slots of 32-bit keys."""
     key = key * np.uint32(0x85EBCA6B)
@@ -153,10 +175,13 @@ def _contexts(buf: np.ndarray, heads: np.ndarray, table_bits: int) -> tuple[np.n
     three = _before(buf, heads, 3)
     up, down = _powers(n + 1)
     sums = np.zeros(n + 1, dtype=np.uint32)
-    np.cumsum((buf.astype(np.uint32) + np.uint32(1)) * up[:n].astype(np.uint32), out=sums[1:], dtype=np.uint32)
-    begins = one <= 32
+    terms = up[:n].astype(np.uint32)
+    terms *= buf + np.uint32(1)
+    np.cumsum(terms, out=sums[1:])
+    begins = np.ones(n, dtype=bool)
+    np.less_equal(buf[:-1], 32, out=begins[1:])  # texts end in a line feed
     first = np.flatnonzero(begins)  # where words begin
-    sizes, word = np.diff(first, append=n), np.cumsum(begins) - 1
+    sizes, word = np.diff(first, append=n), _owners(first, n)
     prefix = (sums[:n] - sums[first].take(word)) * down[first].astype(np.uint32).take(word)
     hashes = prefix[first + sizes - 1]  # of whole words
     number = np.arange(len(first))
@@ -166,21 +191,15 @@ def _contexts(buf: np.ndarray, heads: np.ndarray, table_bits: int) -> tuple[np.n
     known = (last >= 0) & (last >= np.repeat(text, np.diff(text, append=len(first))))
     hint = np.where(known, hashes[np.maximum(last, 0)], np.uint32(7)) * np.uint32(0x9E3779B1)
     prefix ^= prefix >> np.uint32(13)
-    inside = np.arange(n) - first.take(word)
+    early = begins  # the first three bytes of a word
+    early[1:] |= begins[:-1].copy()
+    early[1:] |= begins[:-1].copy()
     begun = prefix * np.uint32(0x27D4EB2F) + hint.take(word)
     five = ((pair << np.uint32(16)) + (three << np.uint32(8)) + _before(buf, heads, 4)) * np.uint32(0x9E3779B1) + _before(buf, heads, 5)
-    keys = ((pair << np.uint32(8)) + three + np.uint32(1 << 30), prefix, np.where(inside < 3, begun, five))
+    keys = ((pair << np.uint32(8)) + three + np.uint32(1 << 30), prefix, np.where(early, begun, five))
     return pair, [_scatter(k, table_bits) for k in keys]
 
 
-def count_decisions(codes: Codes, streams: list[bytes]) -> int:
-    buf = np.frombuffer(b"".join(streams), dtype=np.uint8)
-    sizes = np.array([len(s) for s in streams])
-    heads = np.cumsum(sizes) - sizes
-    pair = _before(buf, heads, 2) * np.uint32(256) + _before(buf, heads, 1)
-    return int(codes.length[codes.code_of_pair[pair] * 256 + buf].sum())
-
-
 def _steps(codes: Codes, streams: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """Ends of the texts in decisions, the byte of each decision and its step, and the hashed contexts of each byte."""
     buf = np.frombuffer(b"".join(streams), dtype=np.uint8)
@@ -188,29 +207,63 @@ def _steps(codes: Codes, streams: list[bytes]) -> tuple[np.ndarray, np.ndarray,
     heads = np.cumsum(sizes) - sizes
     pair, hashed = _contexts(buf, heads, codes.table_bits)
     at = codes.code_of_pair.take(pair) * 256 + buf
-    lengths = codes.length.take(at)
+    stops, owner, step = _spell(codes, at)
+    return stops[heads + sizes - 1], owner, step, hashed
+
+
+def _spell(codes: Codes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The paths of (code, byte) pairs one after another: their ends, the pair of each decision and its step."""
+    begin, lengths = codes.start.take(at), codes.length.take(at)
     stops = np.cumsum(lengths, dtype=np.int64)
-    owner = np.repeat(np.arange(len(buf)), lengths)
-    path = (codes.start.take(at) - (stops - lengths)).take(owner)
-    path += np.arange(len(path))
-    return stops[heads + sizes - 1], owner, codes.step.take(path), hashed
+    first, n = stops - lengths, int(stops[-1]) if len(stops) else 0
+    owner = _owners(first, n)
+    path = (begin - first).take(owner, mode="clip")
+    path += np.arange(n)
+    return stops, owner, codes.step.take(path, mode="clip")
 
 
 def decisions(codes: Codes, streams: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Ends of the texts in decisions, the decided bits, and the slot of each context for each decision."""
     ends, owner, step, hashed = _steps(codes, streams)
-    node = (step >> np.uint16(1)).astype(np.uint32)
-    return ends, (step & np.uint16(1)).astype(np.uint8), [h.take(owner) ^ node for h in hashed]
+    return ends, (step & np.uint16(1)).astype(np.uint8), [slot.copy() for slot in _slots(owner, step, hashed)]
+
+
+def _slots(owner: np.ndarray, step: np.ndarray, hashed: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """The slots of each context, one context after another in the same memory."""
+    node, slot = (step >> np.uint16(1)).astype(np.int64), np.empty(len(owner), dtype=np.int64)
+    for h in hashed:
+        h.astype(np.int64).take(owner, out=slot, mode="clip")
+        slot ^= node
+        yield slot
 
 
 def count_streams(codes: Codes, streams: list[bytes], tables: list[np.ndarray]) -> None:
-    """Add the decisions of the streams to the tables: one count for each slot and bit."""
-    _, owner, step, hashed = _steps(codes, streams)
-    step = step.astype(np.int64)
-    for table, h in zip(tables, hashed):
-        place = (h.astype(np.int64) << 1).take(owner)
-        place ^= step
-        np.add.at(table, place, np.uint32(1))
+    """Add the decisions of the streams to the tables: one count for each slot and bit.
+
+    Bytes that recur in a context are spelled once, with their number.
+    """
+    keys: list[list] = [[] for _ in tables]
+    for a, b in batches_of(streams, CUT_BYTES):
+        buf = np.frombuffer(b"".join(streams[a:b]), dtype=np.uint8)
+        sizes = np.array([len(s) for s in streams[a:b]])
+        pair, hashed = _contexts(buf, np.cumsum(sizes) - sizes, codes.table_bits)
+        at = codes.code_of_pair.take(pair) * 256 + buf
+        for held, h in zip(keys, hashed):
+            held.append(h.astype(np.uint64) << np.uint64(32) | at.astype(np.uint64))
+    for table, held in zip(tables, keys):
+        if not held:
+            continue
+        key = np.concatenate(held)
+        held.clear()
+        key.sort()
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        times, key = np.diff(first, append=len(key)).astype(np.uint32), key[first]
+        for c in range(0, len(key), CUT_BYTES):
+            some = key[c : c + CUT_BYTES]
+            _, owner, step = _spell(codes, (some & np.uint64(0xFFFFFFFF)).astype(np.int64))
+            place = (some >> np.uint64(32) << np.uint64(1)).astype(np.int64).take(owner, mode="clip")
+            place ^= step
+            np.add.at(table, place, times[c : c + CUT_BYTES].take(owner, mode="clip"))
 
 
 def mix(packed: np.ndarray, first: np.ndarray, size: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,7 +278,7 @@ def mix(packed: np.ndarray, first: np.ndarray, size: np.ndarray, start: np.ndarr
     """
     order = np.argsort(-size, kind="stable")
     log2, last = np.zeros(len(first)), start.astype(np.float64)
-    windows = np.lib.stride_tricks.sliding_window_view(packed, STEPS)
+    windows = {n: np.lib.stride_tricks.sliding_window_view(packed, n) for n in (STEPS // 8, STEPS)}
     for a in range(0, len(order), LANES):
         lanes = order[a : a + LANES]
         at, rest = first[lanes], size[lanes]
@@ -233,19 +286,20 @@ def mix(packed: np.ndarray, first: np.ndarray, size: np.ndarray, start: np.ndarr
         # the chance of the other bit is the step's length.
         w = np.ascontiguousarray((start[lanes] / SCALE).astype(np.float32).T)
         while len(lanes) >= NARROW:
-            signals = _signals(windows[at])
-            wrong = np.zeros((STEPS, len(lanes)), dtype=np.float32)
-            ended = int(np.searchsorted(-rest, -STEPS, "right"))  # lanes from here on end in these steps
-            over = np.arange(STEPS)[:, None] >= rest[ended:]
+            steps = STEPS if len(lanes) <= LANES // 2 else STEPS // 8
+            signals = _signals(windows[steps][at])
+            wrong = np.zeros((steps, len(lanes)), dtype=np.float32)
+            ended = int(np.searchsorted(-rest, -steps, "right"))  # lanes from here on end in these steps
+            over = np.arange(steps)[:, None] >= rest[ended:]
             signals[:, :, ended:] *= ~over[:, None]  # a signal of 0 leaves the weights as they are
             _advance(w, signals, wrong)
             wrong[:, ended:][over] = 0
             log2[lanes] += np.log2(np.maximum(1 - wrong, 1e-7)).sum(axis=0, dtype=np.float64)
-            ended = int(np.searchsorted(-rest, -STEPS, "left"))
+            ended = int(np.searchsorted(-rest, -steps, "left"))
             if ended < len(lanes):
                 last[lanes[ended:]] = w[:, ended:].T * SCALE
                 lanes, at, rest, w = lanes[:ended], at[:ended], rest[:ended], np.ascontiguousarray(w[:, :ended])
-            at, rest = at + STEPS, rest - STEPS
+            at, rest = at + steps, rest - steps
         for lane, p, n, own in zip(lanes.tolist(), at.tolist(), rest.tolist(), w.T):
             log2[lane] += _go_on(packed[p : p + n], own)
             last[lane] = own * SCALE
@@ -292,13 +346,33 @@ def _go_on(packed: np.ndarray, w: np.ndarray) -> float:
 
 def inputs_of(model: Model, slots: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """Log odds of every context for each decision, and the gate."""
-    x, gate = [], np.zeros(len(slots[0]), dtype=np.uint8)
-    for k, (table, slot) in enumerate(zip(model.tables, slots)):
-        found = table.take(slot, mode="clip").view(np.int8).reshape(-1, 2)
-        x.append(found[:, 1])
-        if k >= CONTEXTS - 2:
-            gate = (gate << np.uint8(2)) | (found[:, 0].view(np.uint8) & np.uint8(3))
-    return x, gate
+    found = _look_up(model, slots)
+    return [(f >> np.uint16(8)).astype(np.uint8).view(np.int8) for f in found], _gates(found)
+
+
+def _look_up(model: Model, slots: Iterable[np.ndarray]) -> list[np.ndarray]:
+    return [table.take(slot, mode="clip") for table, slot in zip(model.tables, slots)]
+
+
+def _gates(found: list[np.ndarray]) -> np.ndarray:
+    """How much was seen of the two last contexts."""
+    return ((found[-2] & np.uint16(3)) << np.uint16(2) | (found[-1] & np.uint16(3))).astype(np.uint8)
+
+
+def _pack_signed(found: list[np.ndarray], bit: np.ndarray) -> np.ndarray:
+    """Four signed bytes a decision: the log odds of the contexts and a one, all negative where the bit is 0."""
+    one, two, three = found
+    turn = bit - np.uint16(1)
+    carry = turn & np.uint16(0x0101)
+    rows = np.empty((len(bit), 2), dtype=np.uint16)
+    for k, pair in enumerate(((one >> np.uint16(8)) | (two & np.uint16(0xFF00)), (three >> np.uint16(8)) | np.uint16(0x0100))):
+        # Two's complement of each byte: all bits turned, and one added without a carry into the next byte.
+        pair ^= turn
+        high = pair & np.uint16(0x8080)
+        pair &= np.uint16(0x7F7F)
+        pair += carry
+        np.bitwise_xor(pair, high, out=rows[:, k])
+    return rows.view(np.uint32).ravel()
 
 
 def first_weights() -> np.ndarray:
@@ -310,32 +384,33 @@ def lanes_of(model: Model, streams: list[bytes]) -> tuple[np.ndarray, ...]:
 
     Decisions with different gates share no weights, so each gate of each text is a lane.
     """
-    cuts, codes = list(batches_of(streams, CUT_BYTES)), model.codes  # what lies in the caches is quick to hash and look up
-    # Some room behind the last decision: lanes read ahead in whole steps.
-    packed = np.zeros(sum(count_decisions(codes, streams[a:b]) for a, b in cuts) + STEPS, dtype=np.uint32)
-    parts, done = [], 0
-    for a, b in cuts:
-        ends, bit, slots = decisions(codes, streams[a:b])
-        x, gate = inputs_of(model, slots)
-        rows, sign = np.empty((len(bit), CONTEXTS + 1), dtype=np.int8), (bit.view(np.int8) << np.int8(1)) - np.int8(1)
-        for k, c in enumerate([*x, np.int8(1)]):
-            np.multiply(c, sign, out=rows[:, k])
-        rows = rows.view(np.uint32).ravel()
+    packed, parts, done = np.empty(3 * sum(map(len, streams)), dtype=np.uint32), [], 0
+    for a, b in batches_of(streams, CUT_BYTES):  # what lies in the caches is quick to hash and look up
+        ends, owner, step, hashed = _steps(model.codes, streams[a:b])
+        n, found = len(step), _look_up(model, _slots(owner, step, hashed))
+        rows, gate = _pack_signed(found, step & np.uint16(1)), _gates(found)
         # Most decisions have the last gate, so only the others are sorted.
-        most = gate == GATES - 1
-        others = np.flatnonzero(~most)
+        last = gate == GATES - 1
+        main, others = np.flatnonzero(last), np.flatnonzero(~last)
         of = gate.take(others)
-        edges = np.cumsum(np.bincount(of, minlength=GATES))[: GATES - 1]
-        by_gate = np.split(others.take(np.argsort(of, kind="stable")), edges)
-        by_gate[GATES - 1] = np.flatnonzero(most)
-        for g, at in enumerate(by_gate):
-            stop = np.searchsorted(at, ends)
-            size = np.diff(stop, prepend=0)
-            own = np.flatnonzero(size)
-            rows.take(at, out=packed[done : done + len(at)], mode="clip")
-            parts.append((done + (stop - size)[own], size[own], own + a, np.full(len(own), g)))
-            done += len(at)
-    return packed, *map(np.concatenate, zip(*parts))
+        order = np.argsort(of, kind="stable")
+        others = others.take(order)
+        # Where each text ends in each gate: places are told apart by gate for one search.
+        place = others + of.take(order).astype(np.int64) * n
+        stop = np.searchsorted(place, (np.arange(GATES - 1)[:, None] * n + ends).ravel())
+        stop = np.concatenate((stop, len(others) + np.searchsorted(main, ends)))
+        size = np.diff(stop, prepend=0)
+        own = np.flatnonzero(size)
+        if done + n + STEPS > len(packed):  # some room behind the last decision: lanes read ahead in whole steps
+            packed.resize((done + n + STEPS) * 9 // 8, refcheck=False)
+        middle = done + len(others)
+        rows.take(others, out=packed[done:middle], mode="clip")
+        rows.take(main, out=packed[middle : done + n], mode="clip")
+        gates, texts = np.divmod(own, len(ends))
+        parts.append((done + (stop - size)[own], size[own], texts + a, gates))
+        done += n
+    packed[done : done + STEPS] = 0
+    return packed[: done + STEPS], *map(np.concatenate, zip(*parts))
 
 
 def score_streams(model: Model, streams: list[bytes], rounds: int = 1) -> tuple[np.ndarray, np.ndarray]:
@@ -371,33 +446,26 @@ def gather_counts(train: DataFrame) -> DataFrame:
     """Counts over training texts: ``kind, key, n`` for words (0; the end is the empty key) and byte triples (1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
         triples = np.zeros(1 << 24, dtype=np.uint32)
 
-        def rows(kind: int, keys: list, n: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([kind] * len(n), pa.int32()), pa.array(keys, pa.binary()), pa.array(n, pa.int64())], names=["kind", "key", "n"]
-            )
-
-        for piece in slices(batches, BATCH_BYTES):
-            split = [words_of(t) for t in piece.column(0).to_pylist()]
-            for words in split:
-                seen.update(words)
-            seen[b""] += len(split)
-            streams = [stream_of(w) for w in split]
-            buf = np.frombuffer(b"".join(streams), dtype=np.uint8)
-            sizes = np.array([len(s) for s in streams])
-            heads = np.cumsum(sizes) - sizes
-            key = (_before(buf, heads, 2) << np.uint32(16)) + (_before(buf, heads, 1) << np.uint32(8)) + buf
-            np.add.at(triples, key.astype(np.int64), np.uint32(1))
-            if len(seen) > 300_000:  # a bounded memory: what is counted so far goes on as a partial count
-                yield rows(0, list(seen), list(seen.values()))
-                seen.clear()
-        if seen:
-            yield rows(0, list(seen), list(seen.values()))
+        def rows(kind: int, keys: pa.Array, n: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), keys, n], names=["kind", "key", "n"])
+
+        for piece in slices(batches, SCORE_BYTES):  # a bounded memory: what is counted so far goes on as a partial count
+            words = words_in(piece.column(0))
+            seen = words.values.value_counts()
+            yield rows(0, seen.field("values"), seen.field("counts"))
+            yield rows(0, pa.array([b""]), pa.array([len(words)], pa.int64()))
+            streams = streams_in(words)
+            for a, b in batches_of(streams, BATCH_BYTES):
+                buf = np.frombuffer(b"".join(streams[a:b]), dtype=np.uint8)
+                sizes = np.array([len(s) for s in streams[a:b]])
+                heads = np.cumsum(sizes) - sizes
+                key = (_before(buf, heads, 2) << np.uint32(16)) + (_before(buf, heads, 1) << np.uint32(8)) + buf
+                np.add.at(triples, key.astype(np.int64), np.uint32(1))
         found = np.flatnonzero(triples)
         if len(found):
-            yield rows(1, [int(k).to_bytes(3, "big") for k in found], triples[found].tolist())
+            yield rows(1, pa.array([int(k).to_bytes(3, "big") for k in found], pa.binary()), pa.array(triples[found].astype(np.int64)))
 
     counted = train.select("text").mapInArrow(run, "kind int, key binary, n bigint")
     return materialize(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")))
@@ -425,8 +493,8 @@ def count_chunks(train: DataFrame, codes: Codes) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1).compress
         tables = [np.zeros(2 * size, dtype=np.uint32) for _ in range(CONTEXTS)]
-        for piece in slices(batches, CUT_BYTES):
-            count_streams(sent.value, [stream_of(words_of(t)) for t in piece.column(0).to_pylist()], tables)
+        for piece in slices(batches, COUNT_BYTES):
+            count_streams(sent.value, streams_in(words_in(piece.column(0))), tables)
         for k, table in enumerate(tables):
             for c in range(0, len(table), step):
                 part = table[c : c + step]
@@ -525,6 +593,26 @@ def train_model(docs: DataFrame, train: Column, counts: DataFrame, table_bits: i
 
 
 # -- Scoring ------------------------------------------------------------------
+def count_words(words: pa.ListArray, known: pa.Array, logs: np.ndarray) -> dict:
+    """Per text the number of its tokens, the sum and number of the known ones, and the distinct others with their numbers."""
+    n, sizes = len(words), np.diff(words.offsets.to_numpy())
+    tokens = pa.concat_arrays([words.values, pa.array([b""] * n, pa.binary())])  # and the ends
+    text = np.concatenate((np.repeat(np.arange(n), sizes), np.arange(n)))
+    found = pc.index_in(tokens, value_set=known).fill_null(-1).to_numpy()
+    near, far = np.flatnonzero(found >= 0), np.flatnonzero(found < 0)
+    others = tokens.take(pa.array(far)).dictionary_encode()
+    distinct = max(1, len(others.dictionary))
+    pairs, times = np.unique(text[far] * distinct + others.indices.to_numpy(), return_counts=True)
+    offsets = np.searchsorted(pairs, np.arange(n + 1) * distinct).astype(np.int32)
+    return {
+        "n_tokens": sizes + 1,
+        "near": np.bincount(text[near], logs[found[near]], minlength=n),
+        "n_near": np.bincount(text[near], minlength=n),
+        "rare": pa.ListArray.from_arrays(offsets, others.dictionary.take(pa.array(pairs % distinct))),
+        "times": pa.ListArray.from_arrays(offsets, times.astype(np.int32)),
+    }
+
+
 def score(docs: DataFrame, train: Column, table_bits: int = TABLE_BITS, frequent_words: int = FREQUENT) -> DataFrame:
     """Model and base scores of every row of ``docs``.
 
@@ -545,27 +633,23 @@ def score(docs: DataFrame, train: Column, table_bits: int = TABLE_BITS, frequent
     model = train_model(marked, F.col("trained"), counts, table_bits)
     sent, common = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(frequent)
 
-    def run(cols: dict) -> dict:
-        known, streams = common.value, []
-        out: dict = {"doc_id": cols["doc_id"], "trained": cols["trained"]}
-        out |= {n: [] for n in ("n_tokens", "near", "n_near", "rare", "times")}
-        for text in cols["text"]:  # the words of one text at a time
-            words = words_of(text)
-            streams.append(stream_of(words))
-            out["n_tokens"].append(len(words) + 1)
-            words.append(b"")
-            found = [*map(known.get, words)]
-            rare = Counter([w for w, f in zip(words, found) if f is None])
-            out["near"].append(math.fsum(filter(None, found)))
-            out["n_near"].append(len(found) - rare.total())
-            out["rare"].append(list(rare))
-            out["times"].append(list(rare.values()))
-        out["n_bytes"] = [len(s) for s in streams]
-        out["log2"] = score_streams(sent.value, streams)[0].tolist()
-        return out
-
     schema = "doc_id bigint, trained boolean, n_tokens bigint, near double, n_near bigint, rare array<binary>, times array<int>, log2 double, n_bytes bigint"
-    scored = map_rows(marked, schema, run, max_bytes=SCORE_BYTES)
+    target = _arrow_schema(spark, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = replace(sent.value, tables=[t.copy() for t in sent.value.tables])  # in memory that numpy lays out for look-ups
+        known, logs = pa.array(list(common.value), pa.binary()), np.array(list(common.value.values()))
+        for piece in slices(batches, SCORE_BYTES):
+            words, n = words_in(piece.column("text")), piece.num_rows
+            streams = streams_in(words)
+            out = {"doc_id": piece.column("doc_id"), "trained": piece.column("trained")}
+            out |= count_words(words, known, logs)
+            del words
+            out["n_bytes"] = [len(s) for s in streams]
+            out["log2"] = score_streams(model, streams)[0]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c := out[f.name], pa.Array) else pa.array(c, type=f.type) for f in target], schema=target)
+
+    scored = marked.mapInArrow(run, schema)
     scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()))
     pairs = scored.select("row", F.explode(F.arrays_zip(F.col("rare").alias("key"), F.col("times").alias("times"))).alias("p"))
     far = pairs.select("row", "p.key", "p.times").join(vocabulary, "key", "left").groupBy("row").agg(
