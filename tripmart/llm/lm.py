@@ -18,7 +18,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +45,8 @@ LANES, NARROW, STEPS, RATE, ODDS = 4096, 8, 256, 0.015, 15.5
 SCALE = RATE**0.5
 #: What the four signed bytes of a packed decision are multiplied with.
 FACTORS, EACH = np.array([SCALE / ODDS] * CONTEXTS + [SCALE * 0.5], dtype=np.float32), np.ones(CONTEXTS + 1, dtype=np.float32)
-#: Bytes of text whose words and whose decisions are counted at a time, scored side by side, and hashed at a time.
-BATCH_BYTES, COUNT_BYTES, SCORE_BYTES, CUT_BYTES = 1 << 18, 2 << 20, 8 << 20, 1 << 16
+#: Bytes of text whose triples, decisions and words are counted at a time, scored side by side, and hashed at a time.
+BATCH_BYTES, COUNT_BYTES, WORD_BYTES, SCORE_BYTES, CUT_BYTES = 1 << 18, 1 << 20, 2 << 20, 8 << 20, 1 << 15
 RAW_NODE = 255
 END = b"\n"
 
@@ -451,7 +451,7 @@ def gather_counts(train: DataFrame) -> DataFrame:
         def rows(kind: int, keys: pa.Array, n: pa.Array) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), keys, n], names=["kind", "key", "n"])
 
-        for piece in slices(batches, SCORE_BYTES):  # a bounded memory: what is counted so far goes on as a partial count
+        for piece in slices(batches, WORD_BYTES):  # a bounded memory: what is counted so far goes on as a partial count
             words = words_in(piece.column(0))
             seen = words.values.value_counts()
             yield rows(0, seen.field("values"), seen.field("counts"))
@@ -463,6 +463,8 @@ def gather_counts(train: DataFrame) -> DataFrame:
                 heads = np.cumsum(sizes) - sizes
                 key = (_before(buf, heads, 2) << np.uint32(16)) + (_before(buf, heads, 1) << np.uint32(8)) + buf
                 np.add.at(triples, key.astype(np.int64), np.uint32(1))
+            del words, seen
+        pa.default_memory_pool().release_unused()
         found = np.flatnonzero(triples)
         if len(found):
             yield rows(1, pa.array([int(k).to_bytes(3, "big") for k in found], pa.binary()), pa.array(triples[found].astype(np.int64)))
@@ -637,17 +639,22 @@ def score(docs: DataFrame, train: Column, table_bits: int = TABLE_BITS, frequent
     target = _arrow_schema(spark, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = replace(sent.value, tables=[t.copy() for t in sent.value.tables])  # in memory that numpy lays out for look-ups
+        model = sent.value
+        model.tables = [t.copy() for t in model.tables]  # in memory that numpy lays out for look-ups
         known, logs = pa.array(list(common.value), pa.binary()), np.array(list(common.value.values()))
         for piece in slices(batches, SCORE_BYTES):
-            words, n = words_in(piece.column("text")), piece.num_rows
-            streams = streams_in(words)
-            out = {"doc_id": piece.column("doc_id"), "trained": piece.column("trained")}
-            out |= count_words(words, known, logs)
-            del words
-            out["n_bytes"] = [len(s) for s in streams]
-            out["log2"] = score_streams(model, streams)[0]
-            yield pa.RecordBatch.from_arrays([c if isinstance(c := out[f.name], pa.Array) else pa.array(c, type=f.type) for f in target], schema=target)
+            streams, counted = [], []
+            for part in slices(iter([piece]), WORD_BYTES):
+                words = words_in(part.column("text"))
+                out = {"doc_id": part.column("doc_id"), "trained": part.column("trained")} | count_words(words, known, logs)
+                streams += (own := streams_in(words))
+                counted.append(out | {"n_bytes": [len(s) for s in own]})
+                del words
+            pa.default_memory_pool().release_unused()  # the lanes need it more
+            log2 = score_streams(model, streams)[0]
+            for out in counted:
+                out["log2"], log2 = np.split(log2, [len(out["n_bytes"])])
+                yield pa.RecordBatch.from_arrays([c if isinstance(c := out[f.name], pa.Array) else pa.array(c, type=f.type) for f in target], schema=target)
 
     scored = marked.mapInArrow(run, schema)
     scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()))
